@@ -59,7 +59,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
 
     ``whole`` counts whole repetitions, ``taken`` all words taken.
     """
-    sized = docs.select(*keep, F.col("source").alias("_source"), word_count(text_of()).alias("size"), F.shiftright(_draw(seed, 8, 0), 20).alias("_cell"), (_draw(seed, 8, 8) / F.lit(2.0**32)).alias("_part"))
+    return _mixed(docs, weights, share, epochs, seed, keep).select("_kept.*", "size", "source_size", "target", "whole", "taken")
+
+
+def _mixed(docs: DataFrame, weights: tuple[int, ...], share: float, epochs: int, seed: str, keep: tuple[str, ...]) -> DataFrame:
+    sized = docs.select(F.struct(*keep).alias("_kept"), F.col("source").alias("_source"), word_count(text_of()).alias("size"), F.shiftright(_draw(seed, 8, 0), 20).alias("_cell"), (_draw(seed, 8, 8) / F.lit(2.0**32)).alias("_part"))
     cells = sized.groupBy(F.col("_source").alias("source"), F.col("_cell").alias("cell")).agg(F.sum("size").alias("words"))
     sizes = cells.groupBy("source").agg(F.sum("words").alias("source_size"))
     plan = water_fill(sizes, weights, share, epochs).select(
@@ -78,25 +82,26 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     plan = plan.join(edge, F.col("source").eqNullSafe(F.col("e")), "left").drop("e")
     out = sized.join(plan, F.col("_source").eqNullSafe(F.col("source")))
     extra = F.when(F.col("_cell") < F.col("cell"), F.col("size")).when(F.col("_cell") == F.col("cell"), F.floor(F.col("part") * F.col("size") + F.col("_part"))).otherwise(0)
-    return out.select(*keep, "size", "source_size", "target", "whole", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"))
+    return out.select("_kept", "size", "source_size", "target", "whole", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"))
 
 
-def repeated(docs: DataFrame, **how) -> DataFrame:
+def repeated(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0, epochs: int = 3, seed: str = "mix") -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them.
 
     A fractional repetition has the document's first words.
     """
-    named = [c for c in docs.columns]
-    mixed = mix(docs, keep=tuple(named), **how)
+    mixed = _mixed(docs, weights, share, epochs, seed, tuple(docs.columns))
     rest = F.col("taken") - F.col("whole") * F.col("size")
     copies = F.concat(
         F.array_repeat(F.lit(-1).cast("long"), F.when(F.col("taken") > 0, F.col("whole")).otherwise(0).cast("int")),
         F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")),
     )
-    out = mixed.select(*named, "size", F.explode(copies).alias("_words"))
-    first = F.array_join(F.slice(F.split(F.ltrim(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", "")), r"[\x20\x09-\x0D]+"), F.lit(1), F.col("_words").cast("int")), " ")
+    out = mixed.select("_kept", "size", F.explode(copies).alias("_words"))
+    text = F.col("_kept.text")
+    bare = F.regexp_replace(text, r"^[\x20\x09-\x0D]+", "")
+    first = F.array_join(F.slice(F.split(bare, r"[\x20\x09-\x0D]+"), F.lit(1), F.col("_words").cast("int")), " ")
     cut = F.col("_words").between(0, F.col("size") - 1)
-    replaced = {"text": F.when(cut, first).otherwise(F.col("text"))}
-    if "n_chars" in named:
-        replaced["n_chars"] = F.when(cut, F.length(first).cast("long")).otherwise(F.col("n_chars"))
-    return out.select(*[replaced[c].alias(c) if c in replaced else c for c in named])
+    new = {"text": F.when(cut, first).otherwise(text)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(cut, F.length(first).cast("long")).otherwise(F.col("_kept.n_chars"))
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"_kept.`{c}`") for c in docs.columns])

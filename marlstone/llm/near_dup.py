@@ -27,7 +27,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import durable, mix64, shingles, text_of
@@ -186,6 +186,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("uid", F.col("label").alias("group_id"))
 
 
+def identity() -> Column:
+    """doc_id, or a negative hash of the text where there is none."""
+    return F.coalesce(F.col("doc_id").cast("long"), -F.shiftrightunsigned(F.xxhash64(text_of()), 2) - 2**62)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text).
 
@@ -195,7 +200,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
     """
     text = text_of()
     named = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), -F.shiftrightunsigned(F.xxhash64(text), 2) - 2**62).alias("uid"),
+        identity().alias("uid"),
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
     )

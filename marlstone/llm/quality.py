@@ -191,10 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     return train(np.concatenate(xs).astype(np.float32), np.array([len(v) for v in xs]), y, weight)
 
 
-def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns of ``docs`` and the score of each whole text."""
+def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """``keep`` columns of ``docs`` and, as ``name``, the score of each whole text."""
     if "constant" in model:
-        return docs.select(*keep, F.lit(model["constant"]).alias("score"))
+        return docs.select(*keep, F.lit(model["constant"]).alias(name))
     columns = docs.select(*keep, text_of().alias("_scored"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +203,7 @@ def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) ->
                 b = batch.slice(lo, 64)
                 x, counts = passages(b.column("_scored").to_pylist())
                 p = forward(model, (x - model["mean"]) / model["scale"], Bags(counts))["p"]
-                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(p.astype(np.float64))], names=[*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(p.astype(np.float64))], names=[*keep, name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.schema if f.name != "_scored")
-    return columns.mapInArrow(run, schema + ", score double")
+    return columns.mapInArrow(run, f"{schema}, `{name}` double")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import media, mixing, near_dup, packing, pii, quality, secrets, sharding, topk
-from marlstone.llm.common import table
+from marlstone.llm.common import durable, table
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return secrets.digest(secrets.findings(docs, secrets.extend(docs)))
+    return secrets.digest(secrets.findings(docs, durable(secrets.extend(docs))))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

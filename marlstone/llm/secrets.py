@@ -62,27 +62,40 @@ def blobs_of(versions: DataFrame) -> DataFrame:
 def extend(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """What the ledger lacks: (blob, rules, spans) of the pairs not yet scanned.
 
-    ``ledger`` has the same columns and may hold several rows of a blob.
+    A ledger has the same columns and one row for each blob; the result is one
+    itself, and :func:`merged` joins the two.
     """
     blobs, rules = blobs_of(versions), F.array(*map(F.lit, VERSIONS.values()))
     if ledger is None:
         return scan(blobs).select("blob", rules.alias("rules"), "spans")
-    seen = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
-    todo = blobs.join(seen, "blob", "left").withColumn("rules", F.array_except(rules, F.coalesce("seen", F.array().cast("array<string>"))))
+    todo = blobs.join(ledger.select("blob", F.col("rules").alias("seen")), "blob", "left")
+    todo = todo.withColumn("rules", F.array_except(rules, F.coalesce("seen", F.array().cast("array<string>"))))
     return scan(todo.where(F.size("rules") > 0), "rules").select("blob", "rules", "spans")
 
 
+def merged(ledger: DataFrame, new: DataFrame) -> DataFrame:
+    """One ledger of both."""
+    both = ledger.unionByName(new).groupBy("blob")
+    return both.agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+
+
 def findings(versions: DataFrame, ledger: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns of every version and the spans of its content.
 
-    Only current rule versions count; ``ledger`` must cover the versions.
+    Only current rule versions count; ``ledger`` must cover the versions.  It
+    is best a written table, so that a blob with very many paths is split
+    among tasks as it joins.
     """
     live = ledger.select("blob", F.filter("spans", lambda s: s["rule"].isin(*VERSIONS.values())).alias("spans"))
-    live = live.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     named = versions.select(*keep, F.sha2(text_of(), 256).alias("blob"))
     return named.join(live, "blob").select(*keep, "blob", "spans")
 
 
+def with_base(ledger: DataFrame) -> DataFrame:
+    """The rows of the ledger in which a base rule found something."""
+    return ledger.where(F.exists("spans", lambda s: s["kind"].isin(*BASE)))
+
+
 def digest(found: DataFrame) -> DataFrame:
     """Counts and joined positions from ``spans``."""
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
