@@ -226,7 +226,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
         .withColumn("pair", F.xxhash64("band", "key", "lo", "hi"))
     )
     members = durable(members)
-    needed = members.select("uid").distinct()
+    # texts meet their few takers by one exchange at every size of the input
+    needed = members.select("uid").distinct().hint("merge")
     texts = named.select("uid", "text").join(needed, "uid", "left_semi").groupBy("uid").agg(F.min("text").alias("text"))
     rich = members.join(classes.select("uid", "n_shingles", "sig"), "uid").join(texts, "uid").drop("key")
     floors = [(n, least_matches(n, threshold, tolerance)) for n in range(STEP, HASHES + 1, STEP)]
