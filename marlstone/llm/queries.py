@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import media, mixing, near_dup, packing, pii, quality, secrets, sharding, topk
+from marlstone.llm import media, mixing, near_dup, packing, pii, quality, secrets, sharding, suffix_dedup, topk
 from marlstone.llm.common import durable, table
 
 
@@ -20,6 +20,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -51,4 +55,4 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.described(media.stored(table(spark, sf_dir, "documents"))).drop("tracks")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_near_duplicates, op4_sharding, op5_packing, op6_secrets, op7_mixing, op8_topk, op9_pii, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_suffix_dedup, op4_sharding, op5_packing, op6_secrets, op7_mixing, op8_topk, op9_pii, op10_media)}
