@@ -76,7 +76,7 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...], share: float, epochs: int,
         reached.join(plan.select(F.col("source").alias("s"), "rest"), F.col("source").eqNullSafe(F.col("s")))
         .where(F.col("upto") > F.col("rest"))
         .groupBy("source")
-        .agg(F.min_by(F.struct("cell", ((F.col("rest") - (F.col("upto") - F.col("words"))) / F.col("words")).alias("part")), "cell").alias("edge"))
+        .agg(F.min_by(F.struct("cell", F.try_divide(F.col("rest") - (F.col("upto") - F.col("words")).cast("double"), F.col("words").cast("double")).alias("part")), "cell").alias("edge"))
         .select(F.col("source").alias("e"), "edge.*")
     )
     plan = plan.join(edge, F.col("source").eqNullSafe(F.col("e")), "left").drop("e")

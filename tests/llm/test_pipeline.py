@@ -1,0 +1,66 @@
+"""The stages on a small corpus."""
+
+import os
+import random
+
+import pytest
+
+import corpus_pipeline
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rng = random.Random(8)
+    good = lambda n: " ".join(f"{rng.choice('abcdefgh')}ord{rng.randint(0, 99)}" for _ in range(n))
+    rows = [(i, good(60) if i % 4 else "!!".join("#|$" for _ in range(80)) + str(i)) for i in range(120)]
+    base = good(100)
+    rows += [(200, base), (201, base), (202, base + " more"), (203, good(50) + " token=abcdefgh12"), (204, None), (205, "")]
+    where = str(tmp_path_factory.mktemp("t"))
+    spark.createDataFrame([(i, t, "en", f"s{i % 3}" if i % 5 else None, len(t or "")) for i, t in rows], SCHEMA).write.parquet(f"{where}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(120)], "doc_id long, quality int").write.parquet(f"{where}/labels.parquet")
+    return where
+
+
+def test_stages(spark, folder, tmp_path):
+    docs, seen = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, folder).write.parquet(str(tmp_path / str(n)))
+        out = spark.read.parquet(str(tmp_path / str(n)))
+        seen[n] = (docs.collect(), out.collect())
+        if n < 4:
+            assert out.columns == docs.columns
+        docs = out
+    kept = {r.doc_id for r in seen[0][1]}
+    assert not any(i % 4 == 0 for i in kept if i < 120) and sum(i < 120 for i in kept) == 90 and {200, 201, 202, 203} <= kept
+    after = {r.doc_id for r in seen[1][1]}
+    assert 200 in after and not {201, 202} & after and len(after) == len(seen[1][1])
+    text = {r.doc_id: r.text for r in seen[2][1]}
+    assert text[203].endswith(" [SECRET]") and len(text) == len(after)
+    assert {r.doc_id for r in seen[3][1]} <= after
+    words = lambda rs: sum(len((r.text or "").split()) for r in rs)
+    assert sum(r.n_words for r in seen[4][1]) == words(seen[3][1])
+
+
+def test_run(spark, folder):
+    assert corpus_pipeline.run(spark, folder).count() > 0 and len(corpus_pipeline.STAGES) == 5
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables here")
+@pytest.mark.parametrize("name", ["op7_mixing", "op8_topk"])
+def test_sql(spark, name):
+    from pathlib import Path
+
+    import duckdb
+
+    from marlstone.llm.queries import QUERIES
+    from marlstone.llm.sql import ORACLE_SQL
+
+    con = duckdb.connect()
+    for f in Path("/root/testdata/sf0.001").glob("*.parquet"):
+        con.execute(f"create view {f.stem} as select * from '{f}'")
+    ours, theirs = QUERIES[name](spark, "/root/testdata/sf0.001").toPandas(), con.execute(ORACLE_SQL[name]).fetchdf()
+    key = [c for c in ("query_id", "rank", "doc_id") if c in ours.columns]
+    ours, theirs = ours[sorted(ours)].sort_values(key).reset_index(drop=True), theirs[sorted(theirs)].sort_values(key).reset_index(drop=True)
+    assert ours.astype(float).round(6).equals(theirs.astype(float).round(6))
