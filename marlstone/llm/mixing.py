@@ -19,9 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import text_of, word_count
+from marlstone.llm.common import durable, text_of, word_count
 
 CELLS = 4096
+BROADCAST_BYTES, SALTS = 8 << 20, 64
 
 
 def _draw(seed: str, digits: int, skip: int) -> Column:
@@ -79,12 +80,28 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...], share: float, epochs: int,
         .agg(F.min_by(F.struct("cell", F.try_divide(F.col("rest") - (F.col("upto") - F.col("words")).cast("double"), F.col("words").cast("double")).alias("part")), "cell").alias("edge"))
         .select(F.col("source").alias("e"), "edge.*")
     )
-    plan = plan.join(edge, F.col("source").eqNullSafe(F.col("e")), "left").drop("e")
-    out = sized.join(plan, F.col("_source").eqNullSafe(F.col("source")))
+    plan = durable(plan.join(edge, F.col("source").eqNullSafe(F.col("e")), "left").drop("e"))
+    out = _with_plan(sized, plan)
     extra = F.when(F.col("_cell") < F.col("cell"), F.col("size")).when(F.col("_cell") == F.col("cell"), F.floor(F.col("part") * F.col("size") + F.col("_part"))).otherwise(0)
     return out.select("_kept", "size", "source_size", "target", "whole", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"))
 
 
+def _with_plan(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """Each document with its source's plan.
+
+    The plan has one row for each source.  Up to ``BROADCAST_BYTES`` it goes to
+    every task, so no text moves; a larger one meets the documents by source
+    and salt, so a hot source spreads over ``SALTS`` tasks.
+    """
+    bytes_ = plan.agg(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + 128)).first()[0] or 0
+    same = F.col("_source").eqNullSafe(F.col("source"))
+    if bytes_ <= BROADCAST_BYTES:
+        return sized.join(F.broadcast(plan), same)
+    salted = sized.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)))
+    wide = plan.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    return salted.join(wide, same & (F.col("_salt") == F.col("_other"))).drop("_salt", "_other")
+
+
 def repeated(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0, epochs: int = 3, seed: str = "mix") -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them.
 

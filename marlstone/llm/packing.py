@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.common import durable, text_of, word_count
 
-GROUP_ROWS = 8192
+GROUP_ROWS = 4096
 
 
 def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int, per_source: int) -> list[int]:
@@ -74,7 +74,7 @@ def pieces(docs: DataFrame, capacity: int, cluster: Column | None = None) -> Dat
     return cut.select("doc_id", "source", "cluster", "piece", first.alias("first_word"), F.least(F.lit(capacity), F.col("words") - first).cast("int").alias("n_words"))
 
 
-def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 4, cluster: Column | None = None, group_bins: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 4, cluster: Column | None = None, group_bins: int = 256) -> DataFrame:
     """doc_id, piece, first_word, n_words, bin_group, bin and position."""
     cut = durable(pieces(docs, capacity, cluster))
     t = cut.agg(F.sum("n_words").alias("words"), F.count(F.lit(1)).alias("rows")).first()

@@ -360,6 +360,12 @@ def test_mix_meets_targets(docs, rows, empty):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_a_large_plan_is_salted(docs, monkeypatch):
+    plain = sorted(map(str, mixing.mix(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 0)
+    assert sorted(map(str, mixing.mix(docs).collect())) == plain
+
+
 def test_repeated_rows_hold_the_taken_words(docs):
     out = mixing.repeated(docs)
     assert out.columns == docs.columns
