@@ -98,7 +98,7 @@ def _with_plan(sized: DataFrame, plan: DataFrame) -> DataFrame:
     if bytes_ <= BROADCAST_BYTES:
         return sized.join(F.broadcast(plan), same)
     salted = sized.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)))
-    wide = plan.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    wide = plan.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return salted.join(wide, same & (F.col("_salt") == F.col("_other"))).drop("_salt", "_other")
 
 
