@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import durable, mix64, prefix_hash, shared_folder, span_hash, text_of
@@ -300,9 +300,9 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     texts = _bucketed(texts.join(classes.select(*keys, "uid"), keys).select("uid", "text"), "uid")
     found = texts.mapInArrow(_find, "hash long, place long, span long, n long, more array<struct<place:bigint,span:bigint>>")
     # of one hash there are as many rows as batches at most
-    total = found.groupBy("hash").agg(F.sum("n").alias("total")).where("total > 1")
+    total = F.sum("n").over(Window.partitionBy("hash"))
     all_of = F.concat(F.array(F.struct("place", "span")), F.coalesce("more", F.array().cast("array<struct<place:bigint,span:bigint>>")))
-    marked = found.join(total, "hash").select(F.explode(all_of).alias("at"), (F.col("total") > HOT).alias("hot")).select("at.*", "hot")
+    marked = found.withColumn("total", total).where("total > 1").select(F.explode(all_of).alias("at"), (F.col("total") > HOT).alias("hot")).select("at.*", "hot")
     marks = marked.groupBy(F.shiftright("place", PLACE_BITS).alias("uid")).agg(F.collect_list(F.struct("place", "span", "hot")).alias("marks"))
     cut = texts.join(marks.hint("merge"), "uid").select("uid", "text", "marks").mapInArrow(_cut, "key long, place long, n long, piece binary, w1 long, w2 long")
     sorted_ = durable(cut.repartition("key").sortWithinPartitions("key", "place").mapInArrow(_sort, "place long, n long, w1 long, w2 long"))
