@@ -8,8 +8,10 @@ max(q * low, q * high), and the visit ends when the best box left can't beat
 the k-th score so far.  That score starts from the query's home shard, which is
 searched first and whose k-th score goes along to all others.
 
-Queries travel in blocks of ``block`` rows, so a task holds one tree and one
-block.  Scores are integers; they are computed in doubles only where those are
+Queries travel in blocks of about ``block`` rows, so a task holds one tree and
+one block.  Trees go to as many tasks as there are blocks, and queries to as
+many as there are shards; with blocks as large as shards both cost alike.  In
+the home search a tree meets its own queries only.  Scores are integers; they are computed in doubles only where those are
 exact, in Python's integers otherwise.
 
 Defined results: vectors that are null or hold a null or non-finite component
@@ -106,7 +108,7 @@ def _matrix(vectors: pd.Series) -> tuple[np.ndarray, bool]:
     return np.array([[int(v) for v in row] for row in x], object).reshape(x.shape), False
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = 16384, block: int = 2048) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = 16384, block: int = 16384) -> DataFrame:
     """query_id, rank, vec_id and score; both inputs have vec_id and embedding."""
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf"))
     fit = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(F.exists("embedding", bad), F.lit(True))
@@ -115,7 +117,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int =
     asked = durable(queries.where(fit).groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min(scaled.cast("array<double>")).alias("v")))
     sizes = {r.d: r.n for r in rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
     shards = max([1, *(-(-n // shard_rows) for n in sizes.values())])
-    blocks = max(1, -(-asked.count() // block))
+    n_asked = asked.count()
+    blocks, home_blocks = max(1, -(-n_asked // block)), max(1, -(-n_asked // (block * shards)))
 
     def tree(frame: pd.DataFrame) -> pd.DataFrame:
         x, exact = _matrix(frame.v)
@@ -124,7 +127,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int =
 
     by_hash = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")
     trees = durable(rows.select("*", F.size("v").alias("d"), by_hash).groupBy("d", "shard").applyInPandas(tree, "d int, shard int, tree binary"))
-    dealt = asked.select("*", F.size("v").alias("d"), F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(shards)).cast("int").alias("home"), F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(blocks)).cast("int").alias("block"))
+    dealt = asked.select("*", F.size("v").alias("d"), F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(shards)).cast("int").alias("home"))
 
     def visit(keys: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -139,20 +142,21 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int =
         flat = [(int(i), -n, min(max(s, LEAST), MOST)) for i, hits in zip(right.vec_id, found) for s, n in hits]
         return pd.DataFrame(flat, columns=["query_id", "vec_id", "score"]).astype("int64")
 
-    def search(sent: DataFrame) -> DataFrame:
-        """``sent`` (vec_id, v, d, block, floor, shard) against those shards."""
+    def search(sent: DataFrame, n: int) -> DataFrame:
+        """``sent`` (vec_id, v, d, floor, shard) against those shards, in ``n`` blocks."""
         by = ["d", "shard", "block"]
-        wide = trees.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        wide = trees.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"))
+        sent = sent.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(n)).cast("int"))
         return wide.groupBy(*by).cogroup(sent.groupBy(*by)).applyInPandas(visit, "query_id long, vec_id long, score long")
 
     none = F.lit(LEAST).alias("floor")
-    home = durable(search(dealt.select("vec_id", "v", "d", "block", none, F.col("home").alias("shard"))))
+    home = durable(search(dealt.select("vec_id", "v", "d", none, F.col("home").alias("shard")), home_blocks))
     if shards == 1:
         found = home
     else:
         kth = home.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), F.col("least").alias("floor"))
-        away = dealt.join(kth, "vec_id", "left").select("vec_id", "v", "d", "block", F.coalesce("floor", F.lit(LEAST)).alias("floor"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "home").where("shard <> home").drop("home")
-        found = home.union(durable(search(away)))
+        away = dealt.join(kth, "vec_id", "left").select("vec_id", "v", "d", F.coalesce("floor", F.lit(LEAST)).alias("floor"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "home").where("shard <> home").drop("home")
+        found = home.union(durable(search(away, blocks)))
     # at most k rows of each shard for a query
     best = F.slice(F.sort_array(F.collect_list(F.struct("score", (-F.col("vec_id")).alias("other"))), asc=False), 1, k)
     ranked = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("at", "hit"))
