@@ -25,12 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import prefix_hash, span_hash, text_of
 
-PASSAGE, TRAIN_PASSAGES = 512, 48
+PASSAGE, TRAIN_PASSAGES, AT_ONCE = 512, 48, 1 << 19
 _SETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\n\r", "\t\v\f", ".", ",", "!", "?", "|", "#", "$%&*", "'\"`", "()[]{}<>", "-_/\\", "@+=~^", ":;")
 CLASSES = len(_SETS) + 2
 PAIRS = CLASSES * CLASSES
@@ -84,6 +85,21 @@ def _repeats(joined: bytes, size: np.ndarray, owner: np.ndarray, total: int) ->
     return np.bincount(at[same], minlength=total) / np.maximum(1, np.bincount(at, minlength=total))
 
 
+def slices(texts: pa.Array) -> list[tuple[int, int]]:
+    """Runs of texts of at most ``AT_ONCE`` bytes, or of one text.
+
+    A text counts one passage at least.
+    """
+    out, lo, held = [], 0, 0
+    for i, size in enumerate(pc.binary_length(texts).to_pylist()):
+        size = max(size, PASSAGE)
+        if held and held + size > AT_ONCE:
+            out.append((lo, i))
+            lo, held = i, 0
+        held += size
+    return [*out, (lo, len(texts))] if len(texts) else out
+
+
 class Bags:
     """Sums and soft-max over runs of rows that belong to one document."""
 
@@ -199,8 +215,8 @@ def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), nam
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                b = batch.slice(lo, 64)
+            for lo, hi in slices(batch.column("_scored")):
+                b = batch.slice(lo, hi - lo)
                 x, counts = passages(b.column("_scored").to_pylist())
                 p = forward(model, (x - model["mean"]) / model["scale"], Bags(counts))["p"]
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(p.astype(np.float64))], names=[*keep, name])

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +80,14 @@ def test_passages_cover_whole_texts():
         assert np.allclose(alone, x[lo : lo + n])
 
 
+def test_slices_are_bounded_and_lose_no_text():
+    sizes = [0, 10, quality.AT_ONCE * 3, 5, 0, quality.AT_ONCE - 600, 700, *[0] * 2500]
+    got = quality.slices(pa.array(["x" * n for n in sizes]))
+    assert got[0][0] == 0 and got[-1][1] == len(sizes) and all(a[1] == b[0] for a, b in zip(got, got[1:]))
+    assert all(hi - lo == 1 or sum(max(n, quality.PASSAGE) for n in sizes[lo:hi]) <= quality.AT_ONCE for lo, hi in got)
+    assert quality.slices(pa.array([], pa.string())) == []
+
+
 def test_quality_learns_and_scores_all(spark, docs, empty):
     rng = random.Random(1)
     made = [(i, words(rng, 80) if i % 3 else " | ".join("!!" + w for w in words(rng, 60).split()), int(i % 3 > 0)) for i in range(240)]
