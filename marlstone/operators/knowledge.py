@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import contains_ci, tokens
@@ -52,11 +52,15 @@ def search_many(articles: DataFrame, questions: DataFrame, limit: int = 5) -> Da
     """The best articles for each of ``questions`` (question_id, question).
 
     Each article is cut into words once; the words of the questions that occur
-    inside a word of an article find it, so only those pairs meet.
+    inside a word of an article find it, so only those pairs meet.  The order
+    of articles is the same for every question, so the best of a question are
+    among the best of its words: only these go on from word to question.
     """
     asked = questions.select("question_id", F.explode(tokens(F.col("question"))).alias("token")).distinct()
     text = F.lower(F.concat_ws(" ", "title", "content"))
-    live = articles.where("is_active").select("id", "priority", F.explode(F.array_distinct(F.split(text, r"(?U)\s+"))).alias("word"))
+    none_last = F.struct(F.col("priority").isNull().alias("u"), F.coalesce("priority", F.lit(0)).alias("p"), (-F.col("id")).alias("i"))
+    split = articles.where("is_active").select(none_last.alias("s"), F.array_distinct(F.split(text, r"(?U)\s+")).alias("words"))
+    live = split.select("s", F.explode("words").alias("word"))
     vocabulary = live.select("word").distinct()
     wanted = asked.select("token").distinct()
     # a word holds a token if one of its substrings of that length equals it
@@ -65,19 +69,19 @@ def search_many(articles: DataFrame, questions: DataFrame, limit: int = 5) -> Da
     lengths = spans.agg(F.sort_array(F.collect_set("w")).alias("ws")).withColumn("_one", F.lit(1))
     cut = vocabulary.withColumn("_one", F.lit(1)).join(lengths, "_one").select("word", F.explode("ws").alias("w")).where(F.length("word") >= F.col("w"))
     pieces = cut.select("word", "w", F.explode(F.sequence(F.lit(1), F.length("word") - F.col("w") + 1)).alias("at")).select("word", F.col("word").substr(F.col("at"), F.col("w")).alias("token")).distinct()
-    holding = pieces.join(wanted, "token").join(live, "word").select("token", "id", "priority").distinct()
-    hits = asked.join(holding, "token").select("question_id", "id", "priority").distinct()
-    none_last = F.struct(F.col("priority").isNull().alias("u"), F.coalesce("priority", F.lit(0)).alias("p"), (-F.col("id")).alias("i"))
-    return _top(hits.select("question_id", none_last.alias("s")), limit)
+    of_token = _best(pieces.join(wanted, "token").join(live, "word").select("token", "s"), "token", limit)
+    hits = asked.join(of_token, "token").select("question_id", "s").distinct()
+    nth = F.row_number().over(Window.partitionBy("question_id").orderBy(F.desc("s")))
+    return hits.select("question_id", nth.alias("rank"), "s").where(F.col("rank") <= limit).select("question_id", "rank", (-F.col("s.i")).alias("id"))
 
 
-def _top(ranked: DataFrame, limit: int) -> DataFrame:
-    """The ``limit`` highest of each question, kept small in every task."""
-    salted = ranked.select("question_id", "s", F.pmod(F.xxhash64("s"), F.lit(32)).alias("salt"))
-    best = lambda c: F.slice(F.sort_array(c, asc=False), 1, limit)
-    part = salted.groupBy("question_id", "salt").agg(best(F.collect_list("s")).alias("s"))
-    whole = part.groupBy("question_id").agg(best(F.flatten(F.collect_list("s"))).alias("s"))
-    return whole.select("question_id", F.posexplode("s").alias("rank", "x")).select("question_id", (F.col("rank") + 1).alias("rank"), (-F.col("x.i")).alias("id"))
+def _best(ranked: DataFrame, key: str, limit: int) -> DataFrame:
+    """The ``limit`` highest distinct ``s`` of each key.
+
+    Each task drops the rest before anything moves.
+    """
+    nth = F.dense_rank().over(Window.partitionBy(key).orderBy(F.desc("s")))
+    return ranked.select(key, "s", nth.alias("nth")).where(F.col("nth") <= limit).select(key, "s").distinct()
 
 
 def topic(articles: DataFrame, name: str, topics: dict[str, tuple[str, str]] = TOPICS) -> DataFrame:
