@@ -29,8 +29,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least doc_id, of each group that links join."""
-    groups = near_dup.near_duplicates(docs).where("uid = group_id").select(F.col("uid").alias("_uid")).distinct()
-    return docs.withColumn("_uid", near_dup.identity()).join(groups, "_uid", "left_semi").dropDuplicates(["_uid"]).select(*docs.columns)
+    document = ["_uid", "_text_key"]
+    groups = near_dup.near_duplicates(docs).where("uid = group_id and text_key = group_key").select(F.col("uid").alias("_uid"), F.col("text_key").alias("_text_key")).distinct()
+    named = docs.withColumn("_uid", near_dup.identity()).withColumn("_text_key", near_dup.text_key())
+    return named.join(groups, document, "left_semi").dropDuplicates(document).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

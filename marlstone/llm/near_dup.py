@@ -14,9 +14,10 @@ Buckets with the same members are looked at once, and one with many members is
 cut into blocks, so that no task holds more than two blocks.
 
 Defined results: a null text is an empty one; texts without words form one
-class; a text of fewer than five words has one shingle; rows that repeat a
-doc_id are copies if their texts are, and of rows without doc_id those with the
-same text count as one document; extra columns are ignored.
+class; a text of fewer than five words has one shingle; a document is a doc_id
+and a text, so rows that repeat both count as one, while different texts under
+one doc_id are documents of their own; rows without doc_id are told apart by
+their texts; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -76,8 +77,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(found.size)
             sig.append(signature(found).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("uid"), batch.column("doc_id"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary())],
-            names=["uid", "doc_id", "k1", "k2", "n_shingles", "sig"],
+            [batch.column("uid"), batch.column("text_key"), batch.column("doc_id"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary())],
+            names=["uid", "text_key", "doc_id", "k1", "k2", "n_shingles", "sig"],
         )
 
 
@@ -116,7 +117,7 @@ def _linked(group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]
     own = group.block.to_numpy()
     order = np.argsort(own, kind="stable")
     group, own = group.iloc[order], own[order]
-    uid = group.uid.to_numpy()
+    node = group.node.to_numpy()
     sig = np.frombuffer(b"".join(group.sig), np.uint32).reshape(len(group), HASHES)
     size = group.n_shingles.to_numpy()
     bands = sig.reshape(len(group), BANDS, ROWS)
@@ -158,32 +159,32 @@ def _linked(group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]
         for j in alive:
             a, b = top(i), top(j)
             if a != b:
-                a, b = (a, b) if uid[a] < uid[b] else (b, a)
+                a, b = (a, b) if node[a] < node[b] else (b, a)
                 root[b] = a
     kept = np.flatnonzero(links)
     if not kept.size:
         return None
-    return pd.DataFrame({"uid": uid[kept], "n_links": links[kept], "root": uid[[top(x) for x in kept]]})
+    return pd.DataFrame({"node": node[kept], "n_links": links[kept], "root": node[[top(x) for x in kept]]})
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(uid, group_id): the least uid of each component of edges (uid, root).
+    """(node, label): the least node of each component of edges (node, root).
 
     Labels pass along edges and then jump to the label of their label, until
     none changes; each round is cut off in the shared folder.
     """
-    both = durable(edges.where("uid <> root").select("uid", "root").distinct())
-    both = both.select("uid", F.col("root").alias("other")).union(both.select("root", "uid"))
-    labels = durable(both.groupBy("uid").agg(F.least("uid", F.min("other")).alias("label")))
+    both = durable(edges.where("node <> root").select("node", "root").distinct())
+    both = both.select("node", F.col("root").alias("other")).union(both.select("root", "node"))
+    labels = durable(both.groupBy("node").agg(F.least("node", F.min("other")).alias("label")))
     while True:
-        near = both.join(labels.select(F.col("uid").alias("other"), "label"), "other").groupBy("uid").agg(F.min("label").alias("near"))
-        better = labels.join(near, "uid").select("uid", F.least("label", "near").alias("next"), "label")
-        jump = better.select(F.col("uid").alias("next"), F.col("next").alias("far"))
-        moved = durable(better.join(jump, "next", "left").select("uid", F.least("next", F.coalesce("far", "next")).alias("next"), "label"))
+        near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("near"))
+        better = labels.join(near, "node").select("node", F.least("label", "near").alias("next"), "label")
+        jump = better.select(F.col("node").alias("next"), F.col("next").alias("far"))
+        moved = durable(better.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("next"), "label"))
         changed = moved.where("next <> label").limit(1).count()
-        labels = moved.select("uid", F.col("next").alias("label"))
+        labels = moved.select("node", F.col("next").alias("label"))
         if not changed:
-            return labels.select("uid", F.col("label").alias("group_id"))
+            return labels
 
 
 def identity() -> Column:
@@ -191,27 +192,41 @@ def identity() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), -F.shiftrightunsigned(F.xxhash64(text_of()), 2) - 2**62)
 
 
+def text_key() -> Column:
+    """What tells apart the texts of one doc_id."""
+    return F.xxhash64(text_of())
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text).
 
     class_id: least doc_id with the same shingle set; n_links: how many other
     classes are at ``threshold`` or more; group_id: least doc_id of all that
-    links join.
+    links join.  uid and text_key name the document, and group_id and group_key
+    name in the same way the document that stands for the group.
     """
     text = text_of()
     named = docs.select(
         identity().alias("uid"),
+        text_key().alias("text_key"),
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
     )
-    sketch = durable(named.mapInArrow(_sketch, "uid long, doc_id long, k1 long, k2 long, n_shingles long, sig binary"))
-    classes = durable(sketch.groupBy("k1", "k2").agg(F.min("uid").alias("uid"), F.first("n_shingles").alias("n_shingles"), F.min("sig").alias("sig")))
+    document = ["uid", "text_key"]
+    sketch = durable(named.mapInArrow(_sketch, "uid long, text_key long, doc_id long, k1 long, k2 long, n_shingles long, sig binary"))
+    classes = sketch.groupBy("k1", "k2").agg(F.min(F.struct(*document)).alias("least"), F.first("n_shingles").alias("n_shingles"), F.min("sig").alias("sig"))
+    classes = classes.select("k1", "k2", "least.*", "n_shingles", "sig")
+    # a class goes by its doc_id, or by a hash where classes share the doc_id
+    differ = (F.min("k1") != F.max("k1")) | (F.min("k2") != F.max("k2"))
+    shared = sketch.groupBy("uid").agg(differ.alias("shared")).where("shared")
+    hashed = -F.shiftrightunsigned(F.xxhash64(*document), 2) - 1
+    classes = durable(classes.join(shared, "uid", "left").select("k1", "k2", *document, "n_shingles", "sig", F.when(F.col("shared"), hashed).otherwise(F.col("uid")).alias("node")))
 
     keys = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)).alias("key")) for b in range(BANDS)])
-    banded = classes.where("n_shingles > 0").select("uid", "n_shingles", F.explode(keys).alias("at")).select("uid", "n_shingles", "at.*")
+    banded = classes.where("n_shingles > 0").select(*document, "n_shingles", F.explode(keys).alias("at")).select(*document, "n_shingles", "at.*")
     buckets = (
         banded.groupBy("band", "key")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"), F.bit_xor(F.xxhash64("uid")).alias("members"), F.bit_xor(F.xxhash64("uid", F.lit(7))).alias("members2"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"), F.bit_xor(F.xxhash64(*document)).alias("members"), F.bit_xor(F.xxhash64(*document, F.lit(7))).alias("members2"))
         .where("n > 1")
         .groupBy("n", "weight", "members", "members2")
         .agg(F.min(F.struct("band", "key")).alias("at"))
@@ -220,16 +235,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     members = (
         banded.join(buckets, ["band", "key"])
-        .select("uid", "band", "key", "blocks", F.pmod(F.xxhash64("uid", F.lit(3)), "blocks").alias("block"))
-        .select("uid", "band", "key", "block", other.alias("other"))
-        .select("uid", "band", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "key")
+        .select(*document, "band", "key", "blocks", F.pmod(F.xxhash64(*document, F.lit(3)), "blocks").alias("block"))
+        .select(*document, "band", "key", "block", other.alias("other"))
+        .select(*document, "band", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "key")
         .withColumn("pair", F.xxhash64("band", "key", "lo", "hi"))
     )
     members = durable(members)
     # texts meet their few takers by one exchange at every size of the input
-    needed = members.select("uid").distinct().hint("merge")
-    texts = named.select("uid", "text").join(needed, "uid", "left_semi").groupBy("uid").agg(F.min("text").alias("text"))
-    rich = members.join(classes.select("uid", "n_shingles", "sig"), "uid").join(texts, "uid").drop("key")
+    needed = members.select(*document).distinct().hint("merge")
+    texts = named.select(*document, "text").join(needed, document, "left_semi").groupBy(*document).agg(F.min("text").alias("text"))
+    rich = members.join(classes.select(*document, "node", "n_shingles", "sig"), document).join(texts, document).drop("key", *document)
     floors = [(n, least_matches(n, threshold, tolerance)) for n in range(STEP, HASHES + 1, STEP)]
 
     def match(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,8 +253,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
             if found is not None:
                 yield found
 
-    found = durable(rich.repartition("pair").sortWithinPartitions("pair").mapInPandas(match, "uid long, n_links long, root long"))
-    links = found.groupBy("uid").agg(F.sum("n_links").alias("n_links"))
-    known = classes.select("k1", "k2", "uid").join(links, "uid", "left").join(components(found), "uid", "left")
-    known = durable(known.select("k1", "k2", F.col("uid").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("group_id", "uid").alias("group_id")))
-    return sketch.select("uid", "doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id", "n_links", "group_id", "uid")
+    found = durable(rich.repartition("pair").sortWithinPartitions("pair").mapInPandas(match, "node long, n_links long, root long"))
+    links = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
+    linked = components(found).join(classes.select("node", *document), "node")
+    least = linked.groupBy("label").agg(F.min(F.struct(*document)).alias("first"))
+    groups = linked.join(least, "label").select("node", F.col("first.uid").alias("group_id"), F.col("first.text_key").alias("group_key"))
+    known = classes.select("k1", "k2", "node", *document).join(links, "node", "left").join(groups, "node", "left")
+    named_groups = [F.coalesce("group_id", "uid").alias("group_id"), F.coalesce("group_key", "text_key").alias("group_key")]
+    known = durable(known.select("k1", "k2", F.col("uid").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), *named_groups))
+    return sketch.select(*document, "doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id", "n_links", "group_id", *document, "group_key")

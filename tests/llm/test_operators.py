@@ -148,6 +148,20 @@ def test_near_duplicates_equal_brute_force(docs, rows, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+def test_texts_that_share_a_doc_id_are_documents_of_their_own(spark):
+    rng = random.Random(4)
+    one, two, three = (words(rng, 120) for _ in range(3))
+    rows = [(5, one), (5, two), (5, one), (9, two + " more"), (3, one + " more"), (8, three), (8, None), (None, three)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    seen = {(r.doc_id, r.n_links, r.group_id, r.group_key) for r in got if r.doc_id is not None}
+    key = {t: k for t, k in spark.createDataFrame([(t,) for t in {t or "" for _, t in rows}], "text string").select("text", F.xxhash64("text")).collect()}
+    assert {x for x in seen if x[0] == 5} == {(5, 1, 3, key[one + " more"]), (5, 1, 5, key[two])}
+    assert {x for x in seen if x[0] in (3, 9)} == {(3, 1, 3, key[one + " more"]), (9, 1, 5, key[two])}
+    alone = [r for r in got if r.doc_id == 8]
+    assert len({(r.class_id, r.group_key) for r in alone}) == 2 and not any(r.n_links for r in alone)
+
+
 def test_blocks_lose_no_links(spark, monkeypatch):
     rng = random.Random(2)
     base = words(rng, 200).split()
