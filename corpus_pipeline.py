@@ -36,12 +36,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, what the base rules find in them replaced by a mark."""
-    ledger = durable(secrets.extend(docs))
-    hit = secrets.with_base(ledger).select(F.col("blob").alias("_blob"), F.lit(True).alias("_hit"))
-    named = docs.withColumn("_blob", F.sha2(text_of(), 256)).join(hit, "_blob", "left")
-    text = F.when(F.col("_hit"), secrets.masked(F.col("text"))).otherwise(F.col("text"))
-    changed = {"text": text, "n_chars": F.when(F.col("_hit"), F.length(text).cast("long")).otherwise(F.col("n_chars"))}
+    """All documents, whatever any rule finds in them replaced by a mark."""
+    named = secrets.masked_by(docs, durable(secrets.extend(docs)), "_masked")
+    hit = F.col("_masked").isNotNull()
+    changed = {"text": F.coalesce("_masked", "text"), "n_chars": F.when(hit, F.length("_masked").cast("long")).otherwise(F.col("n_chars"))}
     return named.select(*[changed[c].alias(c) if c in changed else c for c in docs.columns])
 
 

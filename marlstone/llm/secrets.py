@@ -23,13 +23,15 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 BASE = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]{24,}+"}
 #: Our own kinds, beside those.
 MORE = {
-    "pem": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+    # to the END line, where one comes before the next BEGIN line; each stretch is tried once
+    "pem": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,20}PRIVATE KEY-----)?+",
     "jwt": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
     "prefixed": r"(?<![A-Za-z0-9_])(?:gh[oprsu]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+)",
 }
 KINDS = [*BASE, *MORE]
 #: Raise a rule's version when its pattern changes; then only that rule runs again.
-VERSIONS = {k: f"{k}@1" for k in KINDS}
+VERSIONS = {k: f"{k}@1" for k in KINDS} | {"pem": "pem@2"}
+MARK = "[SECRET]"
 
 
 def _valid(kind: str, text: Column) -> Column:
@@ -107,5 +109,40 @@ def masked(text: Column) -> Column:
     """The text with every secret of the base rules replaced by a mark."""
     long = ASSIGN.removesuffix("+)") + "{6,}+)"
     for pattern in (long, r"AKIA[A-Z0-9]{16,}+", BASE["hex"]):
-        text = F.regexp_replace(text, pattern, "[SECRET]")
+        text = F.regexp_replace(text, pattern, MARK)
     return text
+
+
+def without_spans(df: DataFrame, text: str, spans: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the text with a mark for each span, null without spans.
+
+    Spans that overlap have one mark.  A stretch lies between the furthest end
+    of all spans before and the next start; both the furthest ends and the cuts
+    go by blocks of 64, so texts with very many spans take near linear time.
+    """
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    out = df.select(*keep, F.when(F.size(spans) > 0, F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))).alias("_s"))
+    steps = {
+        "_m": "transform(sequence(0, int((size(_s) - 1) div 64)), b -> array_max(transform(slice(_s, 64 * b + 1, 64), s -> s.end)))",
+        "_r": "transform(_m, (m, b) -> coalesce(array_max(slice(_m, 1, b)), 0L))",
+        "_t": "transform(_s, (s, i) -> named_struct('lo', greatest(_r[int(i div 64)], array_max(transform(slice(_s, 64 * int(i div 64) + 1, i % 64), p -> p.end))), 'hi', s.start))",
+        "_g": f"concat(filter(_t, g -> g.lo <= g.hi), array(named_struct('lo', array_max(_m), 'hi', bigint(char_length(`{text}`)))))",
+        "_b": f"transform(sequence(0, int((size(_g) - 1) div 64)), b -> substring(`{text}`, int(_g[64 * b].lo + 1), int(_g[least(64 * b + 63, size(_g) - 1)].hi - _g[64 * b].lo)))",
+        "_c": "transform(_g, (g, i) -> substring(_b[int(i div 64)], int(g.lo - _g[64 * int(i div 64)].lo + 1), int(g.hi - g.lo)))",
+    }
+    for step, sql in steps.items():
+        out = out.select("*", F.when(F.col("_s").isNotNull(), F.expr(sql)).alias(step))
+    return out.select(*keep, F.array_join("_c", MARK).alias(name))
+
+
+def masked_by(docs: DataFrame, ledger: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``name``: the text with a mark for each secret, null where there is none.
+
+    All kinds of the ledger count.  In texts with a find the base rules then
+    run once more over what is left: they also know a secret that follows a
+    value too short to be one, which the ledger's leftmost matches pass over.
+    """
+    live = ledger.select(F.col("blob").alias("_blob"), F.filter("spans", lambda s: s["rule"].isin(*VERSIONS.values())).alias("_spans"))
+    live = live.where(F.size("_spans") > 0).select("_blob", F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("_spans"))
+    found = docs.withColumn("_blob", F.sha2(text_of(), 256)).join(live, "_blob", "left")
+    return without_spans(found, "text", "_spans", name).withColumn(name, masked(F.col(name))).drop("_blob", "_spans")
