@@ -237,7 +237,7 @@ def lead_status(spark, d):
 
 @query
 def lead_insert_set(spark, d):
-    return leads.to_insert(tables.requests(spark, d), tables.profiles(spark, d), tables.leads(spark, d).where(F.length("telefono") > 1))
+    return leads.to_insert(tables.requests(spark, d), tables.profiles(spark, d), tables.leads(spark, d))
 
 
 @query

@@ -33,6 +33,12 @@ def test_query_equals_sql(spark, name):
     assert flat(ours) == flat(theirs)
 
 
+@needs_data
+def test_inserted_are_those_of_status_new(spark):
+    new = QUERIES["lead_status"](spark, DATA).where("status = 'nuevo'").select("telefono").collect()
+    assert sorted(r.telefono for r in QUERIES["lead_insert_set"](spark, DATA).select("telefono").collect()) == sorted(r.telefono for r in new)
+
+
 @needs_data
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
