@@ -7,7 +7,9 @@ with the rate r = target / size takes each of its documents floor(r) whole
 times; the fractional repetition goes to the documents whose seeded hash lies
 below the source's threshold.  The threshold is found by exact counts of words
 in 4096 cells of the hash, and the documents of the one cell that straddles it
-take an equal part of their words, so taken words meet targets closely.
+take an equal part of their words, so taken words meet targets closely.  Where
+documents are repeated, the cell is refined until one document straddles the
+threshold, so that no other is cut.
 
 Defined results: a null text has no words; null is a source, the last; a
 source without words has the target 0; rows that repeat a doc_id are taken
@@ -25,10 +27,13 @@ CELLS = 4096
 BROADCAST_BYTES, SALTS = 8 << 20, 64
 
 
+def _hash(seed: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+
+
 def _draw(seed: str, digits: int, skip: int) -> Column:
     """An integer of so many hexadecimal digits of a seeded hash of doc_id."""
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    return F.conv(F.substring(h, skip + 1, digits), 16, 10).cast("long")
+    return F.conv(F.substring(_hash(seed), skip + 1, digits), 16, 10).cast("long")
 
 
 def water_fill(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0, epochs: int = 3) -> DataFrame:
@@ -63,27 +68,58 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     return _mixed(docs, weights, share, epochs, seed, keep).select("_kept.*", "size", "source_size", "target", "whole", "taken")
 
 
-def _mixed(docs: DataFrame, weights: tuple[int, ...], share: float, epochs: int, seed: str, keep: tuple[str, ...]) -> DataFrame:
-    sized = docs.select(F.struct(*keep).alias("_kept"), F.col("source").alias("_source"), word_count(text_of()).alias("size"), F.shiftright(_draw(seed, 8, 0), 20).alias("_cell"), (_draw(seed, 8, 8) / F.lit(2.0**32)).alias("_part"))
+def _mixed(docs: DataFrame, weights: tuple[int, ...], share: float, epochs: int, seed: str, keep: tuple[str, ...], fine: bool = False) -> DataFrame:
+    # the first three digits of the order are the cell; the text parts rows that repeat a doc_id
+    order = F.concat(_hash(seed), F.md5(text_of())) if fine else F.lit(None).cast("string")
+    sized = docs.select(F.struct(*keep).alias("_kept"), F.col("source").alias("_source"), word_count(text_of()).alias("size"), F.shiftright(_draw(seed, 8, 0), 20).alias("_cell"), (_draw(seed, 8, 8) / F.lit(2.0**32)).alias("_part"), order.alias("_order"))
     cells = sized.groupBy(F.col("_source").alias("source"), F.col("_cell").alias("cell")).agg(F.sum("size").alias("words"))
     sizes = cells.groupBy("source").agg(F.sum("words").alias("source_size"))
     plan = water_fill(sizes, weights, share, epochs).select(
         "*",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("whole"),
     ).select("*", (F.col("target") - (F.col("whole") * F.col("source_size")).cast("double")).alias("rest"))
+    edge = _edge(cells, plan)
+    if fine:
+        edge = _refined(sized, durable(edge))
+    edge = edge.select("e", "cell", F.try_divide(F.col("left"), F.col("words").cast("double")).alias("part"))
+    plan = durable(plan.join(edge, F.col("source").eqNullSafe(F.col("e")), "left").drop("e"))
+    out = _with_plan(sized, plan)
+    place = F.col("_order" if fine else "_cell")
+    extra = F.when(place < F.col("cell"), F.col("size")).when(place == F.col("cell"), F.floor(F.col("part") * F.col("size") + F.col("_part"))).otherwise(0)
+    return out.select("_kept", "size", "source_size", "target", "whole", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"))
+
+
+def _edge(cells: DataFrame, plan: DataFrame) -> DataFrame:
+    """The cell of each source ``e`` in which its words reach ``rest``, and what is ``left`` for it."""
     upto = Window.partitionBy("source").orderBy("cell")
-    reached = cells.select("source", "cell", "words", F.sum("words").over(upto).alias("upto"))
-    edge = (
+    reached = cells.select("*", F.sum("words").over(upto).alias("upto"))
+    more = [c for c in cells.columns if c not in ("source", "cell")]
+    return (
         reached.join(plan.select(F.col("source").alias("s"), "rest"), F.col("source").eqNullSafe(F.col("s")))
         .where(F.col("upto") > F.col("rest"))
         .groupBy("source")
-        .agg(F.min_by(F.struct("cell", F.try_divide(F.col("rest") - (F.col("upto") - F.col("words")).cast("double"), F.col("words").cast("double")).alias("part")), "cell").alias("edge"))
+        .agg(F.min_by(F.struct("cell", *more, (F.col("rest") - (F.col("upto") - F.col("words")).cast("double")).alias("left")), "cell").alias("edge"))
         .select(F.col("source").alias("e"), "edge.*")
     )
-    plan = durable(plan.join(edge, F.col("source").eqNullSafe(F.col("e")), "left").drop("e"))
-    out = _with_plan(sized, plan)
-    extra = F.when(F.col("_cell") < F.col("cell"), F.col("size")).when(F.col("_cell") == F.col("cell"), F.floor(F.col("part") * F.col("size") + F.col("_part"))).otherwise(0)
-    return out.select("_kept", "size", "source_size", "target", "whole", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"))
+
+
+def _refined(sized: DataFrame, edge: DataFrame) -> DataFrame:
+    """``edge`` with the one place in the order, as ``cell``, that straddles the threshold.
+
+    Each round counts the documents of the straddling cells by three more
+    digits; only rows equal in doc_id and text can share the last place.
+    """
+    same = F.col("_source").eqNullSafe(F.col("e"))
+    rows = sized.select("_source", "size", "_cell", "_order")
+    inside = durable(rows.join(edge.select("e", "cell"), same & (F.col("_cell") == F.col("cell"))).select("_source", "size", "_order"))
+    for digits in range(6, 67, 3):
+        cells = inside.groupBy(F.col("_source").alias("source"), F.substring("_order", 1, digits).alias("cell"))
+        cells = cells.agg(F.sum("size").alias("words"), F.min("_order").alias("first"), F.max("_order").alias("last"))
+        edge = durable(_edge(cells, edge.select(F.col("e").alias("source"), F.col("left").alias("rest"))))
+        if edge.where("first < last").isEmpty():
+            break
+        inside = inside.join(edge.select("e", "cell"), same & (F.substring("_order", 1, digits) == F.col("cell"))).select("_source", "size", "_order")
+    return edge.select("e", F.col("last").alias("cell"), "words", "left")
 
 
 def _with_plan(sized: DataFrame, plan: DataFrame) -> DataFrame:
@@ -105,9 +141,10 @@ def _with_plan(sized: DataFrame, plan: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0, epochs: int = 3, seed: str = "mix") -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them.
 
-    A fractional repetition has the document's first words.
+    A fractional repetition has the document's first words; only one document
+    of a source, or its equal rows, has one.
     """
-    mixed = _mixed(docs, weights, share, epochs, seed, tuple(docs.columns))
+    mixed = _mixed(docs, weights, share, epochs, seed, tuple(docs.columns), fine=True)
     rest = F.col("taken") - F.col("whole") * F.col("size")
     copies = F.concat(
         F.array_repeat(F.lit(-1).cast("long"), F.when(F.col("taken") > 0, F.col("whole")).otherwise(0).cast("int")),

@@ -427,6 +427,29 @@ def test_repeated_rows_hold_the_taken_words(docs):
     assert out.select(F.sum(common.word_count(common.text_of()))).first()[0] == mixing.mix(docs).select(F.sum("taken")).first()[0]
 
 
+@pytest.mark.parametrize("cells", [1, 3])
+def test_one_document_a_source_is_cut(spark, cells):
+    # doc_ids of few cells, so that many documents share the straddling one
+    hashed = lambda i: hashlib.md5(f"mix:{i}".encode()).hexdigest()
+    some = {"000", "7ab", "fff"} if cells == 3 else {"123"}
+    ids = [i for i in range(200000) if hashed(i)[:3] in some]
+    table = [(i, " ".join(f"w{i}x{k}" for k in range(5 + i % 9)), "ab"[n % 2]) for n, i in enumerate(ids)] + [(None, f"n{n} b c", "b") for n in range(40)]
+    df = spark.createDataFrame(table, "doc_id long, text string, source string")
+    share = 0.37
+    got = mixing.repeated(df, share=share).collect()
+    whole = {t for _, t, _ in table}
+    cut = Counter(r.source for r in got if r.text not in whole)
+    assert set(cut) <= {"a", "b"} and all(n <= 1 for n in cut.values())
+    sizes = Counter()
+    for _, t, s in table:
+        sizes[s] += len(t.split())
+    taken = Counter()
+    for r in got:
+        taken[r.source] += len(r.text.split())
+    target = {r.source: r.target for r in mixing.mix(df, share=share, keep=("source",)).select("source", "target").distinct().collect()}
+    assert all(abs(taken[s] - target[s]) <= 1 for s in sizes)
+
+
 # 8 top-k
 
 
