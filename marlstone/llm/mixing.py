@@ -86,7 +86,7 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...], share: float, epochs: int,
     out = _with_plan(sized, plan)
     place = F.col("_order" if fine else "_cell")
     extra = F.when(place < F.col("cell"), F.col("size")).when(place == F.col("cell"), F.floor(F.col("part") * F.col("size") + F.col("_part"))).otherwise(0)
-    return out.select("_kept", "size", "source_size", "target", "whole", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"))
+    return out.select("_kept", "size", "source_size", "target", "whole", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"), F.coalesce(place < F.col("cell"), F.lit(False)).alias("_below"))
 
 
 def _edge(cells: DataFrame, plan: DataFrame) -> DataFrame:
@@ -142,12 +142,14 @@ def repeated(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     """The rows of ``docs`` as often as the mix takes them.
 
     A fractional repetition has the document's first words; only one document
-    of a source, or its equal rows, has one.
+    of a source, or its equal rows, has one.  A document without words is
+    repeated as often as others at its place; of a source without any words,
+    whose target is 0, nothing is taken.
     """
     mixed = _mixed(docs, weights, share, epochs, seed, tuple(docs.columns), fine=True)
     rest = F.col("taken") - F.col("whole") * F.col("size")
     copies = F.concat(
-        F.array_repeat(F.lit(-1).cast("long"), F.when(F.col("taken") > 0, F.col("whole")).otherwise(0).cast("int")),
+        F.array_repeat(F.lit(-1).cast("long"), (F.col("whole") + ((F.col("size") == 0) & F.col("_below")).cast("int")).cast("int")),
         F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")),
     )
     out = mixed.select("_kept", "size", F.explode(copies).alias("_words"))

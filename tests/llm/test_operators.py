@@ -450,6 +450,18 @@ def test_one_document_a_source_is_cut(spark, cells):
     assert all(abs(taken[s] - target[s]) <= 1 for s in sizes)
 
 
+def test_documents_without_words_are_repeated_too(spark):
+    texts = [None, "", " \n "] * 20
+    table = [(i, t, "a", len(t or "")) for i, t in enumerate(texts)] + [(1000 + i, f"w{i} x", "a", 5) for i in range(200)] + [(2000, None, "empty", 0)]
+    df = spark.createDataFrame(table, "doc_id long, text string, source string, n_chars long")
+    count = lambda share: Counter(r.doc_id for r in mixing.repeated(df, weights=(1,), share=share).collect())
+    twice = count(2.0)
+    assert twice == {i: 2 for i, _, s, _ in table if s == "a"}
+    part = count(1.5)
+    assert all(part[i] in (1, 2) for i in range(60)) and 15 < sum(part[i] == 2 for i in range(60)) < 45
+    assert {r.text for r in mixing.repeated(df, weights=(1,), share=2.0).where("doc_id < 60").collect()} == {None, "", " \n "}
+
+
 # 8 top-k
 
 
