@@ -189,6 +189,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     some = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     # at most 2 * per_class rows of two numbers, whatever the input
     chosen = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(some[0].union(some[1])), "doc_id")
+    # of the rows of one doc_id that with the least hash of its text, so a repeated doc_id is one document too
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    chosen = chosen.groupBy("doc_id").agg(F.min("y").alias("y"), least["text"].alias("text")).select("text", "y")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -103,6 +103,17 @@ def test_quality_learns_and_scores_all(spark, docs, empty):
     assert {r.score for r in quality.score(docs, quality.fit(docs, none)).collect()} == {0.5}
 
 
+def test_a_repeated_doc_id_trains_once(spark, monkeypatch):
+    table = [(i, f"text {i} of {k}") for i in range(20) for k in range(30 if i == 1 else 1)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "train", lambda x, counts, y, weight: (x.sum(axis=0).tolist(), len(counts)))
+    docs_ = spark.createDataFrame(table, "doc_id long, text string")
+    known = sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(20))
+    assert zlib.crc32(b"1") % 5 > 0
+    got = quality.fit(docs_, labels)
+    assert got[1] == known and quality.fit(docs_.repartition(7), labels) == got
+
+
 # 2 near duplicates
 
 
