@@ -383,6 +383,15 @@ def test_pii_equals_plain_patterns(spark):
     assert got[6].spans.count("local_phone") == 2
 
 
+def test_an_iban_ends_where_its_country_says(spark):
+    good = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947", "FR14 2004 1010 0505 0001 3M02 606", "MT84MALT011000012345MTLCAST001S", "BE68539007547034"]
+    texts = [f"{g}{after}" for g in good for after in (" BIC COBADEFFXXX.", " EUR 500", "", ", x", " A")]
+    got = pii.scan(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    assert {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "iban"] for r in got} == {i: [(0, len(good[i // 5]))] for i in range(len(texts))}
+    bad = ["DE89370400440532013001 A", "DE8937040044053201300 0A", "xDE89370400440532013000"]
+    assert not any(s.kind == "iban" for r in pii.scan(spark.createDataFrame([*enumerate(bad)], "doc_id long, text string")).collect() for s in r.spans)
+
+
 def test_positions_of_very_many_matches(spark):
     text = " ".join("a@b.cc" for _ in range(700)) + "😀 a@b.cc"
     r = pii.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
