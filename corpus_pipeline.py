@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import mixing, near_dup, packing, quality, secrets
-from marlstone.llm.common import durable, shared_folder, table, text_of
+from marlstone.llm.common import durable, shared_folder, table
 
 #: Documents below this quality go.
 LEAST_QUALITY = 0.3
