@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,24 +25,87 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is named (tests, a laptop) one is made.
+    Only on one machine (tests, a laptop) one is made where none is named.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """``name`` has ``value`` in here, and afterwards what it had."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+#: Spark then drops a job's shuffle files as the job ends, not when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_written: dict[str, SparkSession] = {}
+
+
+def new_path(spark: SparkSession, name: str = "cut") -> str:
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written[path] = spark
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Later jobs neither repeat the work nor depend on the executors that did it.
+    What is left of such folders goes as Python ends; see :func:`drop`.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = new_path(spark)
+    with setting(spark, _CLEANUP, "true"):
+        df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def drop(*cuts: DataFrame) -> None:
+    """Deletes what :func:`durable` wrote for these, once nothing reads them any more."""
+    for cut in cuts:
+        remove(cut.sparkSession, cut.cut_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+    _written.pop(path, None)
+
+
+@atexit.register
+def _remove_all() -> None:
+    for path, spark in list(_written.items()):
+        with suppress(Exception):  # the session may have ended
+            remove(spark, path)
+
+
+def slices(texts: pa.Array, at_once: int, least: int = 1) -> list[tuple[int, int]]:
+    """Runs of texts of at most ``at_once`` bytes, or of one text.
+
+    A text counts ``least`` bytes at least.
+    """
+    out, lo, held = [], 0, 0
+    for i, size in enumerate(pc.binary_length(texts).to_pylist()):
+        size = max(size, least)
+        if held and held + size > at_once:
+            out.append((lo, i))
+            lo, held = i, 0
+        held += size
+    return [*out, (lo, len(texts))] if len(texts) else out
 
 
 def text_of(name: str = "text") -> Column:

@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.llm import common
 from marlstone.llm.common import prefix_hash, span_hash, text_of
 
 PASSAGE, TRAIN_PASSAGES, AT_ONCE = 512, 48, 1 << 19
@@ -86,18 +86,8 @@ def _repeats(joined: bytes, size: np.ndarray, owner: np.ndarray, total: int) ->
 
 
 def slices(texts: pa.Array) -> list[tuple[int, int]]:
-    """Runs of texts of at most ``AT_ONCE`` bytes, or of one text.
-
-    A text counts one passage at least.
-    """
-    out, lo, held = [], 0, 0
-    for i, size in enumerate(pc.binary_length(texts).to_pylist()):
-        size = max(size, PASSAGE)
-        if held and held + size > AT_ONCE:
-            out.append((lo, i))
-            lo, held = i, 0
-        held += size
-    return [*out, (lo, len(texts))] if len(texts) else out
+    """Runs of texts that are described at once; a text counts one passage at least."""
+    return common.slices(texts, AT_ONCE, PASSAGE)
 
 
 class Bags:

@@ -3,44 +3,46 @@
 Of equal texts one is looked at; the others are repeats as a whole.  What can't
 repeat is left out first, without loss: every 100-byte window has an anchor,
 the 32-byte string in it with the least hash, which depends on the window's
-bytes alone, so a window can only repeat if its anchor does.  The windows of a
-repeated anchor are one short piece of text.  Pieces meet by their anchor in a
-task, which sorts the suffixes of all its pieces: sampled triples (positions 1
-and 2 modulo 3) are sorted and named, the names are sorted recursively, the
-remaining suffixes follow from one letter and the rank behind it, and the two
-orders are merged.  Recursion ends once names span 100 bytes, as longer
-prefixes don't matter.  Neighbours in the order are then compared over 100
-bytes; in each run of equal ones all but the earliest position are repeats.
+bytes alone, so a window can only repeat if its anchor does.  Spark counts the
+anchors; the windows of a repeated one are short pieces of text.  Pieces meet by
+their anchor in a task, which sorts the suffixes of all its pieces: sampled
+triples (positions 1 and 2 modulo 3) are sorted and named, the names are sorted
+recursively, the remaining suffixes follow from one letter and the rank behind
+it, and the two orders are merged.  Recursion ends once names span 100 bytes, as
+longer prefixes don't matter.  Neighbours in the order are then compared over
+100 bytes; in each run of equal ones all but the earliest position are repeats.
 
 An anchor with more than ``HOT`` occurrences isn't sorted in one task: its
 windows meet by a 128-bit hash of their bytes instead, all over the cluster.
 
-Positions are one integer: the rank of the text by (doc_id, hash) above 28
-bits for the place in it, so texts are at most 256 MiB.
+A position is one integer: the rank of the text by (doc_id, hash) above as many
+bits as the longest text needs.  Texts go through in stretches of ``STRETCH``
+bytes, so a very long one takes little more memory than itself.
 
 Defined results: a null text is an empty one; a null doc_id is the least; rows
 that share a doc_id stand in the order of their texts' hashes, and equal rows
-have equal results; nothing shorter than 100 bytes repeats; extra columns are
-ignored.
+have equal results; nothing shorter than 100 bytes repeats; an empty table has
+no rows out; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import nullcontext
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import durable, mix64, prefix_hash, shared_folder, span_hash, text_of
+from marlstone.llm.common import drop, durable, new_path, prefix_hash, remove, setting, slices, span_hash, text_of
 
 WINDOW, GRAM, HOT = 100, 32, 8192
-PLACE_BITS, SPAN_BITS = 28, 7
-CHUNK = 1_500_000
+STRETCH, MOST_WINDOWS = 1 << 20, 1 << 16
+AT_ONCE, CHUNK = 8 << 20, 1_500_000
+BUCKET_BYTES = 64 << 20
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -63,6 +65,27 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return anchor, value[anchor], first, count
 
 
+def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with equal anchors: hash, first window, windows, anchors.
+
+    The text is gone through in stretches.  Neighbouring anchors of one hash, as
+    in a run of equal bytes, make one piece of at most ``MOST_WINDOWS``.
+    """
+    found = [anchors(data[lo : lo + STRETCH + WINDOW - 1])[1:] for lo in range(0, max(1, data.size - WINDOW + 1), STRETCH)]
+    value, first, count = (np.concatenate(x) for x in zip(*found))
+    if len(found) > 1:
+        first = first + np.repeat(np.arange(len(found)) * STRETCH, [len(f[0]) for f in found])
+    if not value.size:
+        return value, first, count, count
+    start = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+    value, first, count, n = value[start], first[start], np.add.reduceat(count, start), np.diff(np.append(start, value.size))
+    if count.max() > MOST_WINDOWS:
+        parts = -(-count // MOST_WINDOWS)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        value, first, count, n = np.repeat(value, parts), np.repeat(first, parts) + nth * MOST_WINDOWS, np.minimum(np.repeat(count, parts) - nth * MOST_WINDOWS, MOST_WINDOWS), np.repeat(n, parts)
+    return value, first, count, n
+
+
 def suffix_order(s: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``s`` in the order of what follows, over ``depth`` letters.
 
@@ -139,60 +162,79 @@ def _runs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[first], np.diff(np.append(first, at.size))
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors of whole texts: one row for each hash in a batch, with the
-    first place, how many there are, and the others."""
-    marks = pa.list_(pa.struct([("place", pa.int64()), ("span", pa.int64())]))
-    for batch in batches:
-        hashes, places, spans = [], [], []
-        for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist()):
-            anchor, value, first, count = anchors(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))
-            hashes.append(value)
-            places.append((uid << PLACE_BITS) + first)
-            spans.append((count << SPAN_BITS) | (anchor - first))
-        if not hashes:
-            continue
-        value, place, span = np.concatenate(hashes), np.concatenate(places), np.concatenate(spans)
-        order = np.argsort(value, kind="stable")
-        value, place, span = value[order], place[order], span[order]
-        first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if value.size else np.empty(0, np.int64)
-        n = np.diff(np.append(first, value.size))
-        more = [None] * first.size
-        for i in np.flatnonzero(n > 1).tolist():
-            lo, hi = int(first[i]) + 1, int(first[i] + n[i])
-            more[i] = [{"place": p, "span": q} for p, q in zip(place[lo:hi].tolist(), span[lo:hi].tolist())]
-        yield pa.RecordBatch.from_arrays([pa.array(value[first].view(np.int64)), pa.array(place[first]), pa.array(span[first]), pa.array(n), pa.array(more, marks)], names=["hash", "place", "span", "n", "more"])
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of the repeated anchors; see ``_sort`` for the columns."""
+def _bytes(column: pa.Array) -> list[bytes]:
+    return column.cast(pa.binary()).to_pylist()
+
+
+def _find(place_bits: int) -> Callable:
+    """Pieces of whole texts: one row for each hash in some texts, with the
+    first place and its windows, how many anchors there are, and the other places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in slices(batch.column("text"), AT_ONCE):
+                part = batch.slice(low, high - low)
+                found = [(uid, *pieces(np.frombuffer(text, np.uint8))) for uid, text in zip(part.column("uid").to_pylist(), _bytes(part.column("text")))]
+                value = np.concatenate([f[1] for f in found])
+                place = np.concatenate([(f[0] << place_bits) + f[2] for f in found])
+                count, inside = (np.concatenate([f[k] for f in found]) for k in (3, 4))
+                order = np.argsort(value, kind="stable")
+                value, place, count, inside = value[order], place[order], count[order], inside[order]
+                start = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if value.size else np.empty(0, np.int64)
+                n = np.diff(np.append(start, value.size))
+                rest = np.ones(value.size, bool)
+                rest[start] = False
+                offsets = pa.array(np.concatenate(([0], np.cumsum(n - 1))), pa.int32())
+                more = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(place[rest]), pa.array(count[rest])], names=["place", "windows"]))
+                yield pa.RecordBatch.from_arrays([pa.array(value[start].view(np.int64)), pa.array(place[start]), pa.array(count[start]), pa.array(np.add.reduceat(inside, start) if start.size else n), more], names=["hash", "place", "windows", "n", "more"])
+
+    return run
+
+
+def _cut(place_bits: int) -> Callable:
+    """Pieces of the repeated anchors; see :func:`_sort` for the columns."""
     schema = pa.schema([("key", pa.int64()), ("place", pa.int64()), ("n", pa.int64()), ("piece", pa.binary()), ("w1", pa.int64()), ("w2", pa.int64())])
-    for batch in batches:
-        rows: list[tuple] = []
-        seen: set[bytes] = set()
-        order = np.argsort(batch.column("uid").to_numpy())
-        for i in order.tolist():
-            data = batch.column("text")[i].as_py().encode("utf-8", "surrogatepass")
-            for mark in sorted((m["place"], m["span"], m["hot"]) for m in batch.column("marks")[i].as_py()):
-                place, span, hot = mark
-                first, count, shift = place & ((1 << PLACE_BITS) - 1), span >> SPAN_BITS, span & ((1 << SPAN_BITS) - 1)
-                piece = data[first : first + count + WINDOW - 1]
-                if piece in seen:  # an earlier one is in this batch
-                    rows.append((place, place, count, None, None, None))
-                    continue
-                seen.add(piece)
-                gram = piece[shift : shift + GRAM]
-                if not hot:
-                    rows.append((int.from_bytes(hashlib.blake2b(gram, digest_size=8).digest(), "little", signed=True), place, count, piece, None, None))
-                    continue
-                for w in range(count):
-                    d = hashlib.blake2b(piece[w : w + WINDOW], digest_size=16).digest()
-                    rows.append((place + w, place + w, 1, None, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
-            if len(rows) > 20000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    mask = (1 << place_bits) - 1
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            held = 0
+            seen: set[bytes] = set()
+            order = np.argsort(batch.column("uid").to_numpy())
+            texts, marks = batch.column("text").cast(pa.binary()), batch.column("marks")
+            for i in order.tolist():
+                data, own = texts[i].as_py(), marks[i].values
+                place, count, key, hot = (own.field(c).to_numpy(zero_copy_only=False) for c in ("place", "windows", "hash", "hot"))
+                sort = np.argsort(place)
+                for p, n, k, h in zip(*(x[sort].tolist() for x in (place, count, key, hot))):
+                    piece = data[p & mask : (p & mask) + n + WINDOW - 1]
+                    if piece in seen:  # an earlier one is in this batch
+                        rows.append((None, p, n, None, None, None))
+                        continue
+                    seen.add(piece)
+                    held += len(piece)
+                    if not h:
+                        rows.append((k, p, n, piece, None, None))
+                        continue
+                    for w in range(n):
+                        d = hashlib.blake2b(piece[w : w + WINDOW], digest_size=16).digest()
+                        rows.append((None, p + w, 1, None, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
+                    if len(rows) > 20000:
+                        yield batch_of(rows)
+                        rows = []
+                if len(rows) > 20000 or held > AT_ONCE:
+                    if rows:
+                        yield batch_of(rows)
+                    rows, held = [], 0
+                    seen.clear()
+            if rows:
+                yield batch_of(rows)
+
+    return run
 
 
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,6 +243,7 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A row without a piece is known already (place, n) or has the hash of one
     window (w1, w2) and passes.  Rows out: place, n, w1, w2.
     """
+
     def out(place, n, w1=None, w2=None) -> pa.RecordBatch:
         none = [None] * len(place)
         return pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(n, pa.int64()), pa.array(w1 if w1 is not None else none, pa.int64()), pa.array(w2 if w2 is not None else none, pa.int64())], names=["place", "n", "w1", "w2"])
@@ -213,7 +256,8 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close() -> None:
         nonlocal held
-        if len(group) > 1:
+        # one piece repeats nothing unless it has several anchors
+        if len(group) > 1 or any(n > WINDOW - GRAM + 1 for n, _ in group.values()):
             chunk.extend((p, n, at) for p, (n, at) in group.items())
             held += sum(map(len, group))
         group.clear()
@@ -248,74 +292,115 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def left_over(data: bytes, first: np.ndarray, windows: np.ndarray) -> tuple[bytes, int]:
+    """``data`` without the bytes of these windows, and in how many runs they lay."""
+    order = np.argsort(first)
+    start, end = first[order], first[order] + windows[order] + WINDOW - 1
+    reach = np.maximum.accumulate(end)
+    opens = np.concatenate(([True], start[1:] > reach[:-1]))
+    lo, hi = start[opens], np.append(reach[:-1][opens[1:]], reach[-1])
+    edges = [0, *np.stack((lo, hi), axis=1).ravel().tolist(), len(data)]
+    return b"".join(data[a:b] for a, b in zip(edges[0::2], edges[1::2])), lo.size
+
+
+def _keep(place_bits: int) -> Callable:
     """What is left of each text once its repeats are cut out."""
-    for batch in batches:
-        rows = []
-        for uid, text, runs in zip(*(batch.column(c).to_pylist() for c in ("uid", "text", "runs"))):
-            data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-            edge = np.zeros(data.size + 1, np.int64)
-            at = np.array([r["place"] & ((1 << PLACE_BITS) - 1) for r in runs], np.int64)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + np.array([r["n"] for r in runs], np.int64) + WINDOW - 1, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-            rows.append((uid, int(gone.sum()), spans, hashlib.sha256(data[~gone].tobytes()).hexdigest(), data[~gone].tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))], names=["uid", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-
-def _bucketed(df: DataFrame, key: str) -> DataFrame:
-    """``df`` written to the shared folder in buckets, so that joins by ``key``
-    leave it in place."""
-    spark = df.sparkSession
-    name = f"cut_{uuid.uuid4().hex}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n, key).write.bucketBy(n, key).option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
-    return spark.table(name)
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+    mask = (1 << place_bits) - 1
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            texts, runs = batch.column("text").cast(pa.binary()), batch.column("runs")
+            for i in range(batch.num_rows):
+                data, own = texts[i].as_py(), runs[i].values
+                kept, spans = left_over(data, own.field("place").to_numpy() & mask, own.field("n").to_numpy())
+                rows.append((batch.column("h1")[i].as_py(), batch.column("h2")[i].as_py(), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
 
-def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row.
+    return run
 
-    ``with_text`` adds what is left of the text, as bytes.
-    """
-    text = text_of()
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    named = docs.select("doc_id", ids.alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
+
+def _ranked(named: DataFrame) -> DataFrame:
+    """h1, h2, first_id, n_bytes and uid of each distinct text, numbered by (first_id, h1, h2)."""
     keys = ["h1", "h2"]
-    size = F.octet_length("text").cast("long")
-    # the first of each set of equal texts, numbered in order
-    firsts = named.groupBy(*keys).agg(F.min("id").alias("first_id"), F.first(size).alias("n_bytes")).orderBy("first_id", *keys)
+    firsts = named.groupBy(*keys).agg(F.min("id").alias("first_id"), F.first(F.octet_length("text").cast("long")).alias("n_bytes")).orderBy("first_id", *keys)
     firsts = durable(firsts.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("nth")))
+    # one number for each partition of the sort
     parts = {r.part: r.n for r in firsts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     before, at = [], 0
     for p in range(max(parts, default=-1) + 1):
         before.append(at)
         at += parts.get(p, 0)
-    # one number for each partition of the sort
     offset = F.element_at(F.array(*map(F.lit, before or [0])), F.col("part") + 1).cast("long")
-    classes = firsts.select(*keys, "first_id", "n_bytes", (offset + F.col("nth").bitwiseAND((1 << 33) - 1)).alias("uid"))
-
-    texts = named.where(size >= WINDOW).groupBy(*keys).agg(F.first("text").alias("text"))
-    texts = _bucketed(texts.join(classes.select(*keys, "uid"), keys).select("uid", "text"), "uid")
-    found = texts.mapInArrow(_find, "hash long, place long, span long, n long, more array<struct<place:bigint,span:bigint>>")
-    # of one hash there are as many rows as batches at most
-    total = F.sum("n").over(Window.partitionBy("hash"))
-    all_of = F.concat(F.array(F.struct("place", "span")), F.coalesce("more", F.array().cast("array<struct<place:bigint,span:bigint>>")))
-    marked = found.withColumn("total", total).where("total > 1").select(F.explode(all_of).alias("at"), (F.col("total") > HOT).alias("hot")).select("at.*", "hot")
-    marks = marked.groupBy(F.shiftright("place", PLACE_BITS).alias("uid")).agg(F.collect_list(F.struct("place", "span", "hot")).alias("marks"))
-    cut = texts.join(marks.hint("merge"), "uid").select("uid", "text", "marks").mapInArrow(_cut, "key long, place long, n long, piece binary, w1 long, w2 long")
-    sorted_ = durable(cut.repartition("key").sortWithinPartitions("key", "place").mapInArrow(_sort, "place long, n long, w1 long, w2 long"))
+    classes = durable(firsts.select(*keys, "first_id", "n_bytes", (offset + F.col("nth").bitwiseAND((1 << 33) - 1)).alias("uid")))
+    drop(firsts)
+    return classes
+
+
+def _bits(classes: DataFrame) -> int:
+    """How many low bits of a position the longest text needs."""
+    most = classes.agg(F.max("n_bytes").alias("bytes"), F.max("uid").alias("uid")).first()
+    bits = max(1, (most.bytes or 0).bit_length())
+    if bits + (most.uid or 0).bit_length() > 63:
+        raise ValueError(f"{most.uid + 1} texts of up to {most.bytes} bytes have no positions of 63 bits")
+    return bits
+
+
+def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row.
+
+    ``with_text`` adds what is left of the text, as bytes.
+    """
+    spark, keys = docs.sparkSession, ["h1", "h2"]
+    text = text_of()
+    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    named = docs.select("doc_id", ids.alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
+    classes = _ranked(named)
+    bits = _bits(classes)
+    uid = F.shiftright("place", bits).alias("uid")
+
+    # texts move once: by their hash, into buckets of bounded bytes that the joins below leave in place
+    total = classes.where(F.col("n_bytes") >= WINDOW).agg(F.sum("n_bytes")).first()[0] or 0
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(usual, -(-total // BUCKET_BYTES))
+    path = new_path(spark, "texts")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    wide = setting(spark, "spark.sql.shuffle.partitions", str(n)) if n > usual else nullcontext()
+    with wide, setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        texts = named.where(F.octet_length("text") >= WINDOW).groupBy(*keys).agg(F.first("text").alias("text"))
+        texts = texts.join(classes.select(*keys, "uid").hint("merge"), keys).select(*keys, "uid", "text")
+        texts.write.bucketBy(n, *keys).option("path", path).option("compression", "zstd").saveAsTable(name)
+    texts = spark.table(name)
+
+    marks = "array<struct<place:bigint,windows:bigint>>"
+    found = durable(texts.select("uid", "text").mapInArrow(_find(bits), f"hash long, place long, windows long, n long, more {marks}"))
+    counts = durable(found.groupBy("hash").agg(F.sum("n").alias("total")).where("total > 1"))
+    # both joins are sort-merge joins, so a hot hash is split among tasks
+    all_of = F.concat(F.array(F.struct("place", "windows")), "more")
+    marked = found.join(counts.hint("merge"), "hash").select("hash", (F.col("total") > HOT).alias("hot"), F.explode(all_of).alias("at")).select("at.*", "hash", "hot")
+    marked = marked.groupBy(uid).agg(F.collect_list(F.struct("place", "windows", "hash", "hot")).alias("marks"))
+    numbered = classes.select("uid", *keys)
+    marked = durable(marked.join(numbered, "uid").select(*keys, "marks"))
+    drop(found, counts)
+    cut = texts.join(marked.hint("merge"), keys).select("uid", "text", "marks").mapInArrow(_cut(bits), "key long, place long, n long, piece binary, w1 long, w2 long")
+    # rows without a key only pass; they spread evenly
+    dealt = cut.repartition(F.coalesce("key", F.xxhash64("place"))).sortWithinPartitions("key", "place")
+    sorted_ = durable(dealt.mapInArrow(_sort, "place long, n long, w1 long, w2 long"))
+    drop(marked)
 
     hashed = sorted_.where("w1 is not null").select("place", "w1", "w2")
     least = hashed.groupBy("w1", "w2").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    late = hashed.join(least, ["w1", "w2"]).where("place > least").select("place", F.lit(1).cast("long").alias("n"))
+    late = hashed.join(least.hint("merge"), ["w1", "w2"]).where("place > least").select("place", F.lit(1).cast("long").alias("n"))
     gone = sorted_.where("w1 is null").select("place", "n").union(late)
-    runs = gone.groupBy(F.shiftright("place", PLACE_BITS).alias("uid")).agg(F.collect_list(F.struct("place", "n")).alias("runs"))
-    kept = texts.join(runs.hint("merge"), "uid").select("uid", "text", "runs").mapInArrow(_keep, "uid long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    runs = gone.groupBy(uid).agg(F.collect_list(F.struct("place", "n")).alias("runs")).join(numbered, "uid").select(*keys, "runs")
+    kept = texts.join(runs.hint("merge"), keys).select(*keys, "text", "runs").mapInArrow(_keep(bits), "h1 long, h2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     kept = durable(kept if with_text else kept.drop("kept"))
+    known = durable(classes.join(kept, keys, "left"))
+    drop(sorted_, kept, classes)
+    spark.sql(f"DROP TABLE {name}")
+    remove(spark, path)
 
-    known = durable(classes.join(kept, "uid", "left"))
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     again = (F.col("id") != F.col("first_id")) & (F.col("n_bytes") >= WINDOW)
     own = F.sha2(F.encode("text", "UTF-8"), 256)
