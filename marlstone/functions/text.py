@@ -59,6 +59,20 @@ def percent(c: Column) -> Column:
     return F.concat(F.regexp_replace(c.cast("double").cast("string"), r"\.0$", ""), F.lit("%"))
 
 
+def not_known(term: Column) -> Column:
+    return F.concat(F.lit("Nothing is known of "), term, F.lit("."))
+
+
+def correction(field: str, given: Column, used: Column, changed: Column) -> Column:
+    """``field: given → used`` where it was changed, else null."""
+    return F.when(changed, F.concat(F.lit(f"{field}: "), given.cast("string"), F.lit(" → "), used.cast("string")))
+
+
+def document(*columns: str) -> Column:
+    """A JSON document of these columns, nulls kept."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
 def corrections(*messages: Column) -> Column:
     """The messages that aren't null, in order."""
     return F.array_compact(F.array(*messages))

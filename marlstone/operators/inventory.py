@@ -70,6 +70,30 @@ def by_id(items: DataFrame, ids: list[int]) -> DataFrame:
     return items.where(F.col("id").isin(*ids))
 
 
+def lookup(items: DataFrame, requests: DataFrame) -> DataFrame:
+    """``requests`` (request_id, id, slug) with ``item``, a struct, where just one is meant.
+
+    A given id decides; the slug counts only where there is no id.
+    """
+    asked = requests.select("request_id", F.col("id").alias("_id"), F.when(F.col("id").isNull(), F.col("slug")).alias("_slug"))
+    item = items.select(F.struct(*items.columns).alias("item"))
+    by_id = asked.where("_id is not null").join(item, F.col("_id") == F.col("item.id"))
+    by_slug = asked.where("_slug is not null").join(item, F.col("_slug") == F.col("item.slug"))
+    found = by_id.union(by_slug).groupBy("request_id").agg(F.count(F.lit(1)).alias("n"), F.first("item").alias("item"))
+    return requests.join(found.where("n = 1").drop("n"), "request_id", "left")
+
+
+def compare_many(items: DataFrame, requests: DataFrame, least: int = 2) -> DataFrame:
+    """The items of each of ``requests`` (request_id, ids), with request_id.
+
+    A request that finds fewer than ``least`` items has no rows.
+    """
+    asked = requests.select("request_id", F.explode(F.array_distinct("ids")).alias("_id"))
+    found = asked.join(items, F.col("_id") == F.col("id"))
+    enough = found.groupBy("request_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("request_id")
+    return found.join(enough, "request_id", "left_semi").drop("_id")
+
+
 def _truthy(name: str) -> Column:
     return F.when(F.col(name) != 0, F.col(name))
 

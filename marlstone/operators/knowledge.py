@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import contains_ci, tokens
@@ -48,29 +48,36 @@ def search(articles: DataFrame, question: str, category: str | None = None, limi
     return _first(found, limit).select("id", F.col("category").alias("categoria"), F.col("title").alias("titulo"), F.col("content").alias("contenido"))
 
 
+#: Tokens are looked up by their first so many characters.
+GRAM = 3
+
+
 def search_many(articles: DataFrame, questions: DataFrame, limit: int = 5) -> DataFrame:
     """The best articles for each of ``questions`` (question_id, question).
 
-    Each article is cut into words once; the words of the questions that occur
-    inside a word of an article find it, so only those pairs meet.  The order
-    of articles is the same for every question, so the best of a question are
-    among the best of its words: only these go on from word to question.
+    Words of articles and tokens of questions meet by runs of three characters
+    and are then compared, so a word of any length has no more rows than
+    characters.  The order of articles is the same for every question, so the
+    best of a question are among the best of its tokens, and those among the
+    best of the words that hold them: no more than ``limit`` rows of a word go
+    on.  A question without words finds all articles, as in :func:`search`.
     """
-    asked = questions.select("question_id", F.explode(tokens(F.col("question"))).alias("token")).distinct()
+    asked = questions.select("question_id", tokens(F.col("question")).alias("tokens"))
+    by_token = asked.select("question_id", F.explode("tokens").alias("token")).distinct()
     text = F.lower(F.concat_ws(" ", "title", "content"))
     none_last = F.struct(F.col("priority").isNull().alias("u"), F.coalesce("priority", F.lit(0)).alias("p"), (-F.col("id")).alias("i"))
-    split = articles.where("is_active").select(none_last.alias("s"), F.array_distinct(F.split(text, r"(?U)\s+")).alias("words"))
-    live = split.select("s", F.explode("words").alias("word"))
-    vocabulary = live.select("word").distinct()
-    wanted = asked.select("token").distinct()
-    # a word holds a token if one of its substrings of that length equals it
-    spans = wanted.select(F.length("token").alias("w")).distinct()
-    # one row: the lengths of tokens, of which there are few
-    lengths = spans.agg(F.sort_array(F.collect_set("w")).alias("ws")).withColumn("_one", F.lit(1))
-    cut = vocabulary.withColumn("_one", F.lit(1)).join(lengths, "_one").select("word", F.explode("ws").alias("w")).where(F.length("word") >= F.col("w"))
-    pieces = cut.select("word", "w", F.explode(F.sequence(F.lit(1), F.length("word") - F.col("w") + 1)).alias("at")).select("word", F.col("word").substr(F.col("at"), F.col("w")).alias("token")).distinct()
-    of_token = _best(pieces.join(wanted, "token").join(live, "word").select("token", "s"), "token", limit)
-    hits = asked.join(of_token, "token").select("question_id", "s").distinct()
+    live = articles.where("is_active").select(none_last.alias("s"), text.alias("text"))
+    words = live.select("s", F.explode(F.array_distinct(F.split("text", r"(?U)\s+"))).alias("word")).where(F.length("word") >= GRAM)
+    of_word = _best(words, "word", limit)
+    gram = F.explode(F.array_distinct(F.regexp_extract_all("word", F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1)))).alias("gram")
+    wanted = by_token.select("token", F.substring("token", 1, GRAM).alias("gram")).distinct()
+    pieces = of_word.select("word").distinct().select("word", gram).join(wanted, "gram").where(F.contains("word", "token")).select("word", "token")
+    of_token = _best(pieces.join(of_word, "word"), "token", limit)
+    hits = by_token.join(of_token, "token").select("question_id", "s")
+    # no more than ``limit`` rows
+    top = live.select("s").orderBy(F.desc("s")).limit(limit).withColumn("_one", F.lit(1))
+    wordless = asked.where(F.coalesce(F.size("tokens"), F.lit(0)) == 0).select("question_id", F.lit(1).alias("_one")).join(F.broadcast(top), "_one").select("question_id", "s")
+    hits = hits.union(wordless).distinct()
     nth = F.row_number().over(Window.partitionBy("question_id").orderBy(F.desc("s")))
     return hits.select("question_id", nth.alias("rank"), "s").where(F.col("rank") <= limit).select("question_id", "rank", (-F.col("s.i")).alias("id"))
 
@@ -96,7 +103,3 @@ def frequent(articles: DataFrame, about: str | None = None, category: str = "faq
     if about:
         found = found.where(contains_ci(F.col("content"), about))
     return _first(found, limit).select("id", F.col("title").alias("pregunta"), F.col("content").alias("respuesta"))
-
-
-def stored_category(c: Column) -> Column:
-    return F.coalesce(*[F.when(c == k, v) for k, v in CATEGORIES.items()], c)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def base_filter(spark, d):
 @query
 def inventory_detail(spark, d):
     full = tables.inventory(spark, d).select(*inventory.detail())
-    return full.drop("promociones", "feature_image_url", "galeria_exterior", "galeria_interior", "motor")
+    return full.withColumns({c: F.array_join(c, "|") for c in ("promociones", "galeria_exterior", "galeria_interior")})
 
 
 @query
@@ -63,7 +64,31 @@ def single_row_guard(spark, d):
 
 @query
 def compare_in_list(spark, d):
-    return inventory.by_id(tables.inventory(spark, d), [7, 3, 3, 12]).select(*inventory.comparison()).drop("motor")
+    return inventory.by_id(tables.inventory(spark, d), [7, 3, 3, 12]).select(*inventory.comparison())
+
+
+@query
+def compare_at_least_two(spark, d):
+    """Every customer compares three items, of which one or more may be missing."""
+    k = F.col("c_custkey")
+    asked = tables.read(spark, d, "customer").select(k.alias("request_id"), F.array(k, k * 7, k * 1000, k).alias("ids"))
+    return inventory.compare_many(tables.inventory(spark, d), asked).select("request_id", *inventory.comparison())
+
+
+@query
+def detail_id_before_slug(spark, d):
+    """Every customer asks by id, by slug, by both or by neither."""
+    k = F.col("c_custkey")
+    asked = tables.read(spark, d, "customer").select(k.alias("request_id"), F.when(k % 4 < 2, k).alias("id"), F.when(k % 2 == 0, F.concat(F.lit("o-"), (k * 2).cast("string"))).alias("slug"))
+    found = inventory.lookup(tables.inventory(spark, d), asked)
+    c = lambda n: F.col(f"item.{n}")
+    return found.select("request_id", c("id").alias("item_id"), F.when(F.col("item").isNotNull(), text.title(c("titulo"), c("marca"), c("modelo"), c("autoano"))).alias("titulo"), text.money(c("precio")).alias("precio"))
+
+
+@query
+def inventory_search_json(spark, d):
+    rows = inventory.search(tables.inventory(spark, d), {"marca": "build"}, {"precio": 50000.0}, {}, 50)
+    return rows.select(text.document("id", "titulo", "marca", "modelo", "ano", "precio", "kilometraje", "garantia", "enganche_minimo", "url").alias("value"))
 
 
 @query
@@ -83,7 +108,10 @@ def inventory_brand_counts(spark, d):
 
 @query
 def inventory_stats_nested(spark, d):
-    return inventory.statistics(tables.inventory(spark, d))
+    """The nested row with its brands, in their order, as rows of their own."""
+    one = inventory.statistics(tables.inventory(spark, d))
+    flat = one.select("total_vehiculos", F.col("rango_precios.minimo").alias("minimo"), F.col("rango_precios.maximo").alias("maximo"), F.col("rango_precios.promedio").alias("promedio"), F.col("rango_anos.desde").alias("desde"), F.col("rango_anos.hasta").alias("hasta"), F.posexplode("marcas_disponibles").alias("posicion", "b"))
+    return flat.select(*flat.columns[:-1], F.col("b.marca").alias("marca"), F.col("b.cantidad").alias("cantidad"))
 
 
 @query
@@ -150,14 +178,23 @@ def finance_zero_term(spark, d):
     return _quotes(spark, d, 0, 15.0)
 
 
-@query
-def quote_payload(spark, d):
+def _payloads(spark, d):
     """Every customer asks for the item with the customer's own number."""
-    c = tables.read(spark, d, "customer")
-    key = F.col("c_custkey")
+    c, key = tables.read(spark, d, "customer"), F.col("c_custkey")
     asked = c.select(key.alias("request_id"), F.concat(key.cast("string"), F.lit("@example.invalid")).alias("email_destino"), F.col("c_name").alias("nombre_cliente"), key.alias("vehiculo_id"), (key % 50).cast("double").alias("enganche_porcentaje"), (key % 6 * 12).cast("int").alias("plazo_meses"))
-    flat = finance.payloads(asked, tables.inventory(spark, d)).select("request_id", "payload.to", "payload.subject", "payload.type", "payload.data.*")
-    return flat.select("request_id", "to", "subject", "type", "nombre_cliente", F.col("vehiculo.url").alias("url"), F.col("vehiculo.precio").alias("precio"), F.col("financiamiento.enganche").alias("enganche"), F.col("financiamiento.tasa_anual").alias("tasa_anual"), F.col("financiamiento.mensualidad_estimada").alias("mensualidad_estimada"))
+    return finance.payloads(asked, tables.inventory(spark, d))
+
+
+@query
+def quote_payload_json(spark, d):
+    """What the sink writes, where nothing is null."""
+    return _payloads(spark, d).where("payload.data.financiamiento.mensualidad_estimada is not null").select("request_id", F.to_json("payload").alias("value"))
+
+
+@query
+def quote_payload(spark, d):
+    flat = _payloads(spark, d).select("request_id", "payload.to", "payload.subject", "payload.type", "payload.data.*")
+    return flat.select("request_id", "to", "subject", "type", "nombre_cliente", "vehiculo.*", "financiamiento.*")
 
 
 def _typed(spark, d):
@@ -199,6 +236,48 @@ def term_cascade(spark, d):
     return terms.corrected(_typed(spark, d), dictionaries.dictionary(spark, SEGMENTS), _segments(spark, d))
 
 
+def _forms(spark, d, names):
+    """Terms as customers might type them, derived from a dictionary's forms."""
+    c = tables.read(spark, d, "customer")
+    forms = sorted(dictionaries.by_form(names))
+    k = F.col("c_custkey")
+    form = F.element_at(F.array(*map(F.lit, forms)), (k * 7 % len(forms) + 1).cast("int"))
+    term = F.when(k % 4 == 0, form).when(k % 4 == 1, F.concat(F.lit(" "), F.upper(form), F.lit("  "))).when(k % 4 == 2, F.concat(F.substring(form, 1, 2), F.lit("x"), F.substring(form, 3, 40))).otherwise(F.concat(form, F.lit(" zzz")))
+    return c.select("c_custkey", term.alias("term"), "c_acctbal")
+
+
+def _stock(spark, d, names):
+    """Names that are in stock: those at even numbers of the list."""
+    p = tables.read(spark, d, "part").where("p_partkey % 2 = 0")
+    name = F.element_at(F.array(*map(F.lit, names)), (F.col("p_partkey") % len(names) + 1).cast("int"))
+    return terms.candidates(p.select(name.alias("name")), "name")
+
+
+def _corrected(spark, d, names):
+    return terms.corrected(_forms(spark, d, names), dictionaries.dictionary(spark, dictionaries.by_form(names)), _stock(spark, d, names))
+
+
+@query
+def term_cascade_brands(spark, d):
+    return _corrected(spark, d, dictionaries.BRANDS).drop("c_acctbal")
+
+
+@query
+def term_cascade_models(spark, d):
+    return _corrected(spark, d, dictionaries.MODELS).drop("c_acctbal")
+
+
+@query
+def correction_log(spark, d):
+    """The corrections of every customer's brand and price, and the message where nothing is known."""
+    price = F.col("c_acctbal")
+    log = text.corrections(
+        text.correction("marca", F.col("term"), F.col("corrected"), F.col("was_corrected")),
+        text.correction("precio_maximo", price, amounts.full_price(price), amounts.price_detail(price)["changed"]),
+    )
+    return _corrected(spark, d, dictionaries.BRANDS).select("c_custkey", F.array_join(log, "; ").alias("log"), F.when(F.col("unmatched"), text.not_known(F.col("term"))).alias("message"))
+
+
 @query
 def tokenize(spark, d):
     return tables.read(spark, d, "benchmark").select("item_id", F.array_join(text.tokens(F.col("text")), "|").alias("tokens"))
@@ -220,6 +299,27 @@ def knowledge_search_many(spark, d):
     return knowledge.search_many(tables.knowledge(spark, d), asked)
 
 
+@query
+def knowledge_search_wordless(spark, d):
+    """Questions of which every third has no word long enough: those find all."""
+    k = F.col("p_partkey")
+    asked = tables.read(spark, d, "part").select(k.alias("question_id"), F.when(k % 3 == 0, "a de").when(k % 3 == 1, F.col("p_name")).alias("question"))
+    return knowledge.search_many(tables.knowledge(spark, d), asked, 3)
+
+
+@query
+def knowledge_topics(spark, d):
+    """Every topic of the interface, over articles that have their categories and titles."""
+    k = F.col("id")
+    pick = lambda values, at: F.element_at(F.array(*map(F.lit, values)), (at + 1).cast("int"))
+    articles = tables.knowledge(spark, d).withColumns({
+        "category": pick(("general", "garantia", "financiamiento", "proceso", "politica", "servicio"), k % 6),
+        "title": F.concat(pick(("Horario ", "sobre ", "Contacto ", "Documentos ", "COMPRA ", "Devolucion ", "Intercambio ", "Otro "), F.floor(k / 6) % 8), "title"),
+    })
+    found = [knowledge.topic(articles, name).withColumn("tema", F.lit(name)) for name in knowledge.TOPICS]
+    return reduce(DataFrame.unionByName, found).select("tema", "id", "titulo")
+
+
 @query
 def knowledge_topic(spark, d):
     return knowledge.topic(tables.knowledge(spark, d), "x", {"x": ("fr", "%le%")})

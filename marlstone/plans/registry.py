@@ -8,12 +8,13 @@ values, and a message where there is nothing to show.  Bad values raise
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import dataclass, field, fields
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.functions import text
 from marlstone.functions.amounts import full_price_value
 from marlstone.operators import finance, inventory, knowledge, leads, terms
 from marlstone.plans import params as P
@@ -31,8 +32,8 @@ class Tables:
     leads: DataFrame | None = None
     leads_path: str | None = None
     mail_path: str | None = None
-    brands: dict[str, str] = field(default_factory=lambda: dictionaries.parsed(dictionaries.BRANDS))
-    models: dict[str, str] = field(default_factory=lambda: dictionaries.parsed(dictionaries.MODELS))
+    brands: dict[str, str] = field(default_factory=lambda: dictionaries.by_form(dictionaries.BRANDS))
+    models: dict[str, str] = field(default_factory=lambda: dictionaries.by_form(dictionaries.MODELS))
 
 
 @dataclass
@@ -42,6 +43,14 @@ class Result:
     message: str | None = None
     flags: dict[str, bool] = field(default_factory=dict)
 
+    def documents(self) -> DataFrame:
+        """``value``: one JSON document for each row."""
+        return self.rows.select(text.document(*self.rows.columns).alias("value"))
+
+    def write_json(self, folder: str) -> None:
+        """The sink of any result: one JSON document a line."""
+        self.documents().write.mode("append").text(folder)
+
 
 def _term(t: Tables, value: str | None, column: str, forms: dict[str, str], log: list[str]) -> tuple[str | None, bool]:
     """One corrected term, and whether nothing like it is known."""
@@ -200,7 +209,3 @@ def call_tool(name: str, given: dict[str, Any], tables: Tables) -> Result:
     tool = TOOLS[name]
     given = {k.replace("ñ", "n"): tuple(v) if isinstance(v, list) else v for k, v in given.items()}
     return tool.run(tables, tool.params.of(given))
-
-
-def with_tables(tables: Tables, **new: DataFrame) -> Tables:
-    return replace(tables, **new)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from marlstone.operators import knowledge
+from marlstone.sources import dictionaries
+
 INV = """
 inv AS (
   SELECT o_orderkey AS id,
@@ -11,6 +14,9 @@ inv AS (
          c_mktsegment AS marca, o_orderpriority AS modelo, CAST(year(o_orderdate) AS INTEGER) AS autoano,
          o_totalprice AS precio, o_orderstatus AS transmision, c_mktsegment AS combustible,
          o_orderpriority AS carroceria, n_name AS ubicacion, o_orderstatus AS garantia,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'M' || (o_orderkey % 16) END AS motor,
+         CASE WHEN o_orderkey % 9 = 0 THEN ['p1', 'p' || o_orderkey] END AS promociones, 'https://example.invalid/i/' || o_orderkey AS feature_image_url,
+         list_transform(generate_series(1, o_orderkey % 3 + 1), lambda i: 'e' || i) AS galeria_exterior, CAST([] AS VARCHAR[]) AS galeria_interior,
          CAST(o_orderkey % 8 AS INTEGER) AS cilindros, c_name AS descripcion,
          CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey * 1.5::DOUBLE END AS kilometraje,
          CASE WHEN o_orderkey % 6 = 0 THEN 0.0::DOUBLE WHEN o_orderkey % 6 <> 1 THEN o_totalprice * 0.25::DOUBLE END AS enganchemin,
@@ -86,24 +92,60 @@ near AS (
   SELECT term, arg_min(candidate, (dist, candidate)) AS from_near, CAST(min(dist) AS INTEGER) AS distance
   FROM (SELECT DISTINCT term, candidate, levenshtein(lower(term), lower(candidate)) AS dist FROM typed, cand) WHERE dist <= 2 GROUP BY term
 )"""
+
+
+def cascade(names: dict[str, list[str]]) -> str:
+    forms = dictionaries.by_form(names)
+    # DuckDB counts bytes, so each accented letter becomes a byte that no term has
+    one_byte = lambda c: f"translate(lower({c}), 'áéíóúñ', '!@#$%^')"
+    quoted = lambda v: "'" + v.replace("'", "''") + "'"
+    return f"""forms AS (SELECT [{", ".join(map(quoted, sorted(forms)))}] AS fs, [{", ".join(map(quoted, names))}] AS ns),
+form AS (SELECT c_custkey, c_acctbal, fs[c_custkey * 7 % len(fs) + 1] AS f FROM customer, forms),
+typed AS (SELECT c_custkey, c_acctbal, CASE c_custkey % 4 WHEN 0 THEN f WHEN 1 THEN ' ' || upper(f) || '  ' WHEN 2 THEN substring(f, 1, 2) || 'x' || substring(f, 3, 40) ELSE f || ' zzz' END AS term FROM form),
+dict(k, v) AS (VALUES {", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in forms.items())}),
+cand AS (SELECT DISTINCT ns[p_partkey % len(ns) + 1] AS candidate FROM part, forms WHERE p_partkey % 2 = 0),
+near AS (SELECT term, arg_min(candidate, (dist, candidate)) AS from_near
+  FROM (SELECT DISTINCT term, candidate, levenshtein({one_byte("term")}, {one_byte("candidate")}) AS dist FROM typed, cand) WHERE dist <= 2 GROUP BY term),
+found AS (SELECT c_custkey, c_acctbal, typed.term, coalesce(v, candidate, from_near, typed.term) AS corrected,
+  v IS NOT NULL OR (candidate IS NULL AND from_near IS NOT NULL) AS was_corrected, coalesce(v, candidate, from_near) IS NULL AS unmatched
+  FROM typed LEFT JOIN dict ON lower(trim(typed.term)) = k LEFT JOIN cand ON lower(trim(typed.term)) = lower(candidate) LEFT JOIN near ON near.term = typed.term)"""
+
+
 LEADS = """
 prof AS (SELECT CAST(c_custkey AS VARCHAR) AS phone FROM customer WHERE c_mktsegment = 'BUILDING'),
 lead AS (SELECT CAST(event_id AS VARCHAR) AS id, event_type AS nombre, CAST(user_id AS VARCHAR) AS telefono, event_type <> 'signup' AS atendido, ts AS created_at FROM events),
 req AS (SELECT c_name AS nombre, CAST(c_custkey AS VARCHAR) AS telefono, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_custkey || '@example.invalid' END AS email, c_mktsegment AS vehiculo_interes, CAST(NULL AS VARCHAR) AS comentarios FROM customer)"""
 HIT = " OR ".join(f"lower({c}) LIKE '%{w}%'" for w in ("¿the", "thation", "licensed?") for c in ("title", "content"))
 
+PAYLOAD = f"""WITH {INV}, a AS (
+  SELECT c_custkey AS request_id, c_custkey || '@example.invalid' AS "to", c_name AS nombre_cliente, CAST(c_custkey % 50 AS DOUBLE) AS pct, c_custkey % 6 * 12 AS months, 0.0125::DOUBLE AS r, i.*
+  FROM customer c JOIN (SELECT * FROM inv WHERE id IN (SELECT id FROM inv GROUP BY id HAVING count(*) = 1)) i ON c_custkey = id
+), b AS (SELECT *, precio * pct / 100 AS down, precio - precio * pct / 100 AS financed, pow(1 + 15.0::DOUBLE / 100 / 12, months) AS grown FROM a),
+m AS (SELECT *, financed * (15.0::DOUBLE / 100 / 12) * grown / nullif(grown - 1, 0) AS monthly FROM b)"""
+
 ORACLE_SQL = {
     "base_filter": f"WITH {INV} SELECT id, marca, precio FROM live",
     "inventory_search": search("marca ILIKE '%machin%' AND precio >= 50000", 5),
     "inventory_search_all_filters": search("marca ILIKE '%build%' AND modelo ILIKE '%urgent%' AND carroceria ILIKE '%1-%' AND transmision ILIKE '%o%' AND combustible ILIKE '%ing%' AND autoano BETWEEN 1996 AND 2000 AND precio BETWEEN 2000 AND 400000", 20),
     "inventory_search_literal_wildcards": search("contains(lower(modelo), '4_not%')", 10),
     "inventory_search_truthiness": search("true", 5),
-    "inventory_detail": f"WITH {INV} SELECT {CARD}, cilindros, descripcion, {shown('enganche_recomendado')} AS enganche_recomendado, {shown('mensualidad_recomendada')} AS mensualidad_recomendada, {shown('oferta')} AS precio_oferta, plazomax AS plazo_maximo, con_oferta FROM inv",
+    "inventory_detail": f"WITH {INV} SELECT {CARD}, cilindros, descripcion, {shown('enganche_recomendado')} AS enganche_recomendado, {shown('mensualidad_recomendada')} AS mensualidad_recomendada, {shown('oferta')} AS precio_oferta, plazomax AS plazo_maximo, con_oferta, motor, feature_image_url, array_to_string(promociones, '|') AS promociones, array_to_string(galeria_exterior, '|') AS galeria_exterior, array_to_string(galeria_interior, '|') AS galeria_interior FROM inv",
     "single_row_guard": f"WITH {INV}, k AS (SELECT id, modelo, modelo || '/' || CAST(trunc(precio) AS BIGINT) AS key FROM inv) SELECT id, modelo FROM k WHERE key IN (SELECT key FROM k GROUP BY key HAVING count(*) = 1)",
-    "compare_in_list": f"WITH {INV} SELECT {CARD}, cilindros, kilometraje AS kilometraje_numerico FROM inv WHERE id IN (7, 3, 3, 12)",
+    "compare_in_list": f"WITH {INV} SELECT {CARD}, motor, cilindros, kilometraje AS kilometraje_numerico FROM inv WHERE id IN (7, 3, 3, 12)",
+    "compare_at_least_two": f"""WITH {INV}, a AS (SELECT DISTINCT c_custkey AS request_id, unnest([c_custkey, c_custkey * 7, c_custkey * 1000]) AS want FROM customer),
+f AS (SELECT request_id, inv.* FROM a JOIN inv ON want = id)
+SELECT request_id, {CARD}, motor, cilindros, kilometraje AS kilometraje_numerico FROM f WHERE request_id IN (SELECT request_id FROM f GROUP BY request_id HAVING count(*) >= 2)""",
+    "detail_id_before_slug": f"""WITH {INV}, a AS (SELECT c_custkey AS request_id, CASE WHEN c_custkey % 4 < 2 THEN c_custkey END AS want, CASE WHEN c_custkey % 2 = 0 THEN 'o-' || (c_custkey * 2) END AS want_slug FROM customer),
+f AS (SELECT request_id, id AS item_id, {TITLE} AS titulo, {money("precio")} AS precio FROM a JOIN inv ON CASE WHEN want IS NOT NULL THEN id = want ELSE slug = want_slug END)
+SELECT a.request_id, item_id, titulo, precio FROM a LEFT JOIN (SELECT * FROM f WHERE request_id IN (SELECT request_id FROM f GROUP BY request_id HAVING count(*) = 1)) f ON a.request_id = f.request_id""",
+    "inventory_search_json": f"""WITH {INV}, top AS (SELECT * FROM live WHERE marca ILIKE '%build%' AND precio >= 50000 ORDER BY precio NULLS LAST, id LIMIT 50), card AS (SELECT {CARD} FROM top)
+SELECT CAST(json_object('id', id, 'titulo', titulo, 'marca', marca, 'modelo', modelo, 'ano', ano, 'precio', precio, 'kilometraje', kilometraje, 'garantia', garantia, 'enganche_minimo', enganche_minimo, 'url', url) AS VARCHAR) AS value FROM card""",
     "alternatives_band": search("NOT marca ILIKE '%auto%' AND precio BETWEEN 300000 * 0.8::DOUBLE AND 300000 * 1.2::DOUBLE", 5),
     "inventory_stats_summary": f"WITH {INV} SELECT {SUMMARY} FROM live",
     "inventory_brand_counts": f"WITH {INV} SELECT marca, count(*) AS cantidad FROM live WHERE marca <> '' GROUP BY marca",
+    "inventory_stats_nested": f"""WITH {INV}, s AS (SELECT {SUMMARY} FROM live), b AS (SELECT marca, count(*) AS cantidad FROM live WHERE marca <> '' GROUP BY marca)
+SELECT total AS total_vehiculos, {money("precio_minimo")} AS minimo, {money("precio_maximo")} AS maximo, {money("precio_promedio")} AS promedio, ano_desde AS desde, ano_hasta AS hasta,
+  CAST(row_number() OVER (ORDER BY cantidad DESC, marca) - 1 AS INTEGER) AS posicion, marca, cantidad FROM s, b""",
     "distinct_terms": "SELECT DISTINCT p_brand AS candidate FROM part WHERE p_brand IS NOT NULL",
     "suggest_terms_topn": "SELECT DISTINCT p_name AS candidate FROM part WHERE p_name IS NOT NULL ORDER BY 1 LIMIT 10",
     "amount_normalize_price": "SELECT p_partkey, CASE WHEN p_retailprice < 1000 THEN p_retailprice * 1000 ELSE p_retailprice END AS value, p_retailprice < 1000 AS changed FROM part",
@@ -115,19 +157,24 @@ ORACLE_SQL = {
     "finance_quote": quotes(48, 15.0),
     "finance_zero_rate": quotes(36, 0.0),
     "finance_zero_term": quotes(0, 15.0),
-    "quote_payload": f"""WITH {INV}, a AS (
-  SELECT c_custkey AS request_id, c_custkey || '@example.invalid' AS "to", c_name AS nombre_cliente, CAST(c_custkey % 50 AS DOUBLE) AS pct, c_custkey % 6 * 12 AS months, 0.0125::DOUBLE AS r, i.*
-  FROM customer c JOIN (SELECT * FROM inv WHERE id IN (SELECT id FROM inv GROUP BY id HAVING count(*) = 1)) i ON c_custkey = id
-), b AS (SELECT *, precio * pct / 100 AS down, precio - precio * pct / 100 AS financed, pow(1 + 15.0::DOUBLE / 100 / 12, months) AS grown FROM a),
-m AS (SELECT *, financed * (15.0::DOUBLE / 100 / 12) * grown / nullif(grown - 1, 0) AS monthly FROM b)
-SELECT request_id, "to", 'Cotización: ' || {TITLE} AS subject, 'cotizacion' AS type, nombre_cliente, coalesce({URL}, '') AS url, {money("precio")} AS precio,
-  {money("down")} AS enganche, '15%' AS tasa_anual, {money("floor(monthly + 0.5)")} AS mensualidad_estimada FROM m""",
+    "quote_payload_json": f"""{PAYLOAD}
+SELECT request_id, CAST(json_object('to', "to", 'subject', 'Cotización: ' || {TITLE}, 'type', 'cotizacion', 'data', json_object('nombre_cliente', nombre_cliente,
+  'vehiculo', json_object('titulo', {TITLE}, 'marca', marca, 'modelo', modelo, 'ano', autoano, 'precio', {money("precio")}, 'url', coalesce({URL}, '')),
+  'financiamiento', json_object('enganche_porcentaje', pct, 'enganche', {money("down")}, 'monto_a_financiar', {money("financed")}, 'tasa_anual', '15%', 'plazo_meses', months, 'mensualidad_estimada', {money("floor(monthly + 0.5)")}))) AS VARCHAR) AS value
+FROM m WHERE monthly IS NOT NULL""",
+    "quote_payload": f"""{PAYLOAD}
+SELECT request_id, "to", 'Cotización: ' || {TITLE} AS subject, 'cotizacion' AS type, nombre_cliente, {TITLE} AS titulo, marca, modelo, autoano AS ano, coalesce({URL}, '') AS url, {money("precio")} AS precio,
+  pct AS enganche_porcentaje, {money("down")} AS enganche, {money("financed")} AS monto_a_financiar, '15%' AS tasa_anual, CAST(months AS INTEGER) AS plazo_meses, {money("floor(monthly + 0.5)")} AS mensualidad_estimada FROM m""",
     "term_dictionary": f"WITH {TYPED} SELECT c_custkey, term, v AS from_dictionary FROM typed LEFT JOIN dict ON lower(trim(term)) = k",
     "term_exact": f"WITH {TYPED} SELECT c_custkey, term, candidate AS from_value FROM typed LEFT JOIN cand ON lower(trim(term)) = lower(candidate)",
     "term_fuzzy": f"WITH {TYPED} SELECT c_custkey, term, from_near, distance FROM typed LEFT JOIN near USING (term)",
     "term_cascade": f"""WITH {TYPED} SELECT c_custkey, typed.term, coalesce(v, candidate, from_near, typed.term) AS corrected,
   v IS NOT NULL OR (candidate IS NULL AND from_near IS NOT NULL) AS was_corrected, coalesce(v, candidate, from_near) IS NULL AS unmatched
 FROM typed LEFT JOIN dict ON lower(trim(typed.term)) = k LEFT JOIN cand ON lower(trim(typed.term)) = lower(candidate) LEFT JOIN near ON near.term = typed.term""",
+    "term_cascade_brands": f"WITH {cascade(dictionaries.BRANDS)} SELECT c_custkey, term, corrected, was_corrected, unmatched FROM found",
+    "term_cascade_models": f"WITH {cascade(dictionaries.MODELS)} SELECT c_custkey, term, corrected, was_corrected, unmatched FROM found",
+    "correction_log": f"""WITH {cascade(dictionaries.BRANDS)} SELECT c_custkey, concat_ws('; ', CASE WHEN was_corrected THEN 'marca: ' || term || ' → ' || corrected END,
+  CASE WHEN c_acctbal < 1000 THEN 'precio_maximo: ' || c_acctbal || ' → ' || (c_acctbal * 1000) END) AS log, CASE WHEN unmatched THEN 'Nothing is known of ' || term || '.' END AS message FROM found""",
     "tokenize": r"SELECT item_id, array_to_string(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda t: length(t) > 2), '|') AS tokens FROM benchmark",
     "knowledge_search": f"WITH {KNOW} SELECT id, category AS categoria, title AS titulo, content AS contenido FROM know WHERE is_active AND ({HIT}) ORDER BY priority DESC NULLS FIRST, id LIMIT 5",
     "knowledge_search_category": f"WITH {KNOW} SELECT id, 'politica' AS categoria, title AS titulo, content AS contenido FROM know WHERE is_active AND category = 'en' ORDER BY priority DESC NULLS FIRST, id LIMIT 5",
@@ -136,12 +183,22 @@ t AS (SELECT DISTINCT question_id, unnest(list_filter(regexp_split_to_array(lowe
 h AS (SELECT DISTINCT question_id, id, priority FROM t JOIN know ON is_active AND (contains(lower(title), token) OR contains(lower(content), token))),
 r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY priority DESC NULLS FIRST, id) AS rank FROM h)
 SELECT question_id, CAST(rank AS INTEGER) AS rank, id FROM r WHERE rank <= 5""",
+    "knowledge_search_wordless": f"""WITH {KNOW}, q AS (SELECT p_partkey AS question_id, CASE p_partkey % 3 WHEN 0 THEN 'a de' WHEN 1 THEN p_name END AS question FROM part),
+w AS (SELECT question_id, coalesce(list_filter(regexp_split_to_array(lower(question), '\\s+'), lambda t: length(t) > 2), []) AS ts FROM q),
+h AS (SELECT DISTINCT question_id, id, priority FROM (SELECT question_id, unnest(ts) AS token FROM w) JOIN know ON is_active AND (contains(lower(title), token) OR contains(lower(content), token))
+  UNION ALL SELECT question_id, id, priority FROM (SELECT question_id FROM w WHERE len(ts) = 0), (SELECT id, priority FROM know WHERE is_active ORDER BY priority DESC NULLS FIRST, id LIMIT 3)),
+r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY priority DESC NULLS FIRST, id) AS rank FROM h)
+SELECT question_id, CAST(rank AS INTEGER) AS rank, id FROM r WHERE rank <= 3""",
+    "knowledge_topics": f"""WITH {KNOW}, k AS (SELECT id, is_active, (['general', 'garantia', 'financiamiento', 'proceso', 'politica', 'servicio'])[id % 6 + 1] AS category,
+  (['Horario ', 'sobre ', 'Contacto ', 'Documentos ', 'COMPRA ', 'Devolucion ', 'Intercambio ', 'Otro '])[id // 6 % 8 + 1] || title AS titulo FROM know),
+t(tema, cat, pat) AS (VALUES {", ".join(f"('{n}', '{c}', '{p}')" for n, (c, p) in knowledge.TOPICS.items())})
+SELECT tema, id, titulo FROM k JOIN t ON category = cat AND titulo ILIKE pat WHERE is_active""",
     "knowledge_topic": f"WITH {KNOW} SELECT id, title AS titulo, content AS contenido FROM know WHERE is_active AND category = 'fr' AND title ILIKE '%le%'",
     "knowledge_faq": f"WITH {KNOW} SELECT id, title AS pregunta, content AS respuesta FROM know WHERE is_active AND category = 'en' AND contains(lower(content), 'licensed') ORDER BY priority DESC NULLS FIRST, id LIMIT 10",
     "lead_status": f"""WITH {LEADS} SELECT telefono, CASE WHEN telefono IN (SELECT phone FROM prof) THEN 'perfil'
   WHEN telefono IN (SELECT telefono FROM lead WHERE NOT atendido) THEN 'lead_abierto' ELSE 'nuevo' END AS status FROM req""",
     "lead_insert_set": f"""WITH {LEADS} SELECT nombre, telefono, nullif(email, '') AS email, vehiculo_interes, comentarios, 'chat_widget' AS source FROM req
-WHERE telefono NOT IN (SELECT phone FROM prof) AND telefono NOT IN (SELECT telefono FROM lead WHERE NOT atendido AND length(telefono) > 1)""",
+WHERE telefono NOT IN (SELECT phone FROM prof) AND telefono NOT IN (SELECT telefono FROM lead WHERE NOT atendido)""",
     "latest_open_lead": f"""WITH {LEADS}, n AS (SELECT *, row_number() OVER (PARTITION BY telefono ORDER BY created_at DESC NULLS FIRST, id) AS n FROM lead WHERE NOT atendido)
 SELECT telefono, id, nombre, created_at FROM n WHERE n = 1""",
 }

@@ -17,7 +17,7 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
     orders, customer, nation = (read(spark, folder, t) for t in ("orders", "customer", "nation"))
     # 25 rows, by the schema's definition
     joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-    key, price, nothing = F.col("o_orderkey"), F.col("o_totalprice"), F.lit(None)
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
     columns = {
         "id": key,
         "slug": F.when(key % 3 != 0, F.concat(F.lit("o-"), key.cast("string"))),
@@ -32,7 +32,7 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
         "carroceria": F.col("o_orderpriority"),
         "ubicacion": F.col("n_name"),
         "garantia": F.col("o_orderstatus"),
-        "motor": nothing,
+        "motor": F.when(key % 2 == 0, F.concat(F.lit("M"), (key % 16).cast("string"))),
         "cilindros": (key % 8).cast("int"),
         "descripcion": F.col("c_name"),
         "kilometraje": F.when(key % 7 != 0, key * 1.5),
@@ -43,10 +43,10 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
         "plazomax": F.lit(60),
         "con_oferta": key % 9 == 0,
         "oferta": F.when(key % 9 == 0, price * 0.875),
-        "promociones": nothing,
-        "feature_image_url": nothing,
-        "galeria_exterior": nothing,
-        "galeria_interior": nothing,
+        "promociones": F.when(key % 9 == 0, F.array(F.lit("p1"), F.concat(F.lit("p"), key.cast("string")))),
+        "feature_image_url": F.concat(F.lit("https://example.invalid/i/"), key.cast("string")),
+        "galeria_exterior": F.transform(F.sequence(F.lit(1), (key % 3 + 1).cast("int")), lambda i: F.concat(F.lit("e"), i.cast("string"))),
+        "galeria_interior": F.array().cast("array<string>"),
         "exhibicion_inventario": F.col("o_orderstatus") != "F",
         "separado": F.col("o_orderstatus") == "P",
     }

@@ -68,7 +68,7 @@ def test_percent_and_corrections(spark):
 
 
 def test_dictionaries():
-    brands, models = dictionaries.parsed(dictionaries.BRANDS), dictionaries.parsed(dictionaries.MODELS)
+    brands, models = dictionaries.by_form(dictionaries.BRANDS), dictionaries.by_form(dictionaries.MODELS)
     assert (len(brands), len(set(brands.values()))) == (118, 32)
     assert (len(models), len(set(models.values()))) == (191, 91)
     assert brands["toyota"] == "Toyota" and models["x trail"] == "X-Trail"

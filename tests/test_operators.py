@@ -114,10 +114,10 @@ def test_knowledge(tables):
 
 
 def test_search_many_equals_search(spark, tables):
-    asked = ["pago con TARJETA meses", "plazo", "nada", "a b c"]
+    asked = ["pago con TARJETA meses", "plazo", "nada", "a b c", "", "x" * 3000 + " tarjeta"]
     got = knowledge.search_many(tables.knowledge, spark.createDataFrame(list(enumerate(asked)), "question_id int, question string")).collect()
     for i, q in enumerate(asked):
-        expected = ids(knowledge.search(tables.knowledge, q)) if knowledge.words_of(q) else []
+        expected = ids(knowledge.search(tables.knowledge, q))
         assert [r.id for r in sorted(got, key=lambda r: r["rank"]) if r.question_id == i] == expected
 
 
@@ -137,10 +137,38 @@ def test_leads(spark, tables, tmp_path):
 def test_stream_of_leads(spark, tables, tmp_path):
     schema = "nombre string, telefono string, created_at timestamp"
     when = dt.datetime(2024, 1, 1)
-    spark.createDataFrame([("a", "5", when), ("b", "5", when), ("c", "9", when), ("d", "6", when)], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
-    rows = stream.new_leads(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), tables.profiles)
+    rows = [("a", "5"), ("b", "5"), ("c", "9"), ("d", "6"), ("e", "1"), ("f", "2"), ("g", None), ("h", None)]
+    spark.createDataFrame([(*r, when) for r in rows], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    rows = stream.new_leads(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), tables.profiles, tables.leads)
     stream.start(rows, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
-    assert sorted(r.telefono for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["5", "6"]
+    assert sorted(r.telefono or "" for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["", "", "2", "5", "6"]
+
+
+def test_lookup_prefers_the_id(spark, items):
+    asked = spark.createDataFrame([(1, 2, "zzz"), (2, None, "dos"), (3, None, "dup"), (4, 99, "dos"), (5, None, None), (6, None, "")], "request_id int, id long, slug string")
+    got = {r.request_id: r["item"] and r["item"].id for r in inventory.lookup(items, asked).collect()}
+    assert got == {1: 2, 2: 2, 3: None, 4: None, 5: None, 6: None}
+
+
+def test_comparison_needs_two_items(spark, items):
+    asked = spark.createDataFrame([(1, [1, 1]), (2, [1, 4, 99]), (3, []), (4, None), (5, [98, 99])], "request_id int, ids array<long>")
+    assert sorted((r.request_id, r.id) for r in inventory.compare_many(items, asked).collect()) == [(2, 1), (2, 4)]
+
+
+def test_results_as_json(spark, tables, tmp_path):
+    import json
+
+    found = call_tool("buscar_vehiculos", {"marca": "honda"}, tables)
+    found.write_json(str(tmp_path / "j"))
+    rows = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "j")).collect()]
+    assert [r["id"] for r in rows] == [3] and rows[0]["enganche_minimo"] is None
+
+
+def test_words_of_any_length(spark):
+    long = "q" * 200_000 + "needle" + "z" * 200_000
+    articles = spark.createDataFrame([(1, "c", "t", long, None, 1, True), (2, "c", None, None, None, 2, True)], schemas.KNOWLEDGE)
+    asked = spark.createDataFrame([(1, "needle"), (2, "absent")], "question_id int, question string")
+    assert [(r.question_id, r.id) for r in knowledge.search_many(articles, asked).collect()] == [(1, 1)]
 
 
 def test_payloads_need_one_item(spark, items):
