@@ -49,7 +49,7 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
 
 
 #: Spark then drops a job's shuffle files as the job ends, not when the driver collects garbage.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: dict[str, SparkSession] = {}
 
 
@@ -67,13 +67,22 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark)
-    with setting(spark, _CLEANUP, "true"):
-        df.write.option("compression", "zstd").parquet(path)
+    write_cut(df, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
 
 
+def write_cut(df: DataFrame, path: str, mode: str = "error") -> None:
+    with setting(df.sparkSession, CLEANUP, "true"):
+        df.write.mode(mode).option("compression", "zstd").parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
 def drop(*cuts: DataFrame) -> None:
     """Deletes what :func:`durable` wrote for these, once nothing reads them any more."""
     for cut in cuts:
@@ -108,6 +117,14 @@ def slices(texts: pa.Array, at_once: int, least: int = 1) -> list[tuple[int, int
     return [*out, (lo, len(texts))] if len(texts) else out
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with so many underscores before it that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_of(name: str = "text") -> Column:
     """The text, a null one as an empty one."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -8,8 +8,10 @@ stts, stss, stsc, stsz, stco or co64) and gives the codec, the duration and the
 byte ranges of keyframes and of all samples.  Payloads are never decoded.
 
 Defined results: a null text is an empty one; a null file has null features; a
-file that isn't one, or is cut short, has the feature ``error=...`` and no
-sample; rows with equal texts have equal values; extra columns are ignored.
+file that isn't one, is cut short or keeps its samples in fragments has the
+feature ``error=...`` and no sample; rows with equal texts have equal values; an
+empty table has no rows out; extra columns are ignored.  A task holds a text,
+its file and one copy of either at a time.
 """
 
 from __future__ import annotations
@@ -24,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import text_of
+from marlstone.llm.common import slices, text_of
 
+AT_ONCE = 4 << 20  # bytes of text
 WIDTH, LINES, KEY_EVERY, CHUNK, TICKS, FRAME_TICKS = 64, 64, 12, 8, 600, 25
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf", b"udta", b"mvex"}
 
@@ -167,6 +170,8 @@ def probe(data: bytes) -> list[dict]:
     tracks = []
     try:
         for kind, a, b in boxes(view, 0, len(view)):
+            if kind == b"moof":
+                raise ValueError("samples are in fragments")
             if kind == b"moov":
                 tracks += [_track(view, lo, hi) for k, lo, hi in boxes(view, a, b) if k == b"trak"]
     except (KeyError, struct.error, IndexError, OverflowError) as e:
@@ -184,9 +189,9 @@ def stored(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 32):
-                b = batch.slice(lo, 32)
-                data = [t.encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
+            for lo, hi in slices(batch.column("text"), AT_ONCE, 4096):
+                b = batch.slice(lo, hi - lo)
+                data = b.column("text").cast(pa.binary()).to_pylist()
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) for x in data], pa.int64()), pa.array([to_media(padded(x)) for x in data], pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     named = docs.select("doc_id", text_of().alias("text"))

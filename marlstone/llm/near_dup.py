@@ -11,7 +11,12 @@ reaches the threshold, given the matches so far and a uniform prior, is below
 A pair that meets in several buckets counts in its first band only, so links
 are counted where they are found and no list of all pairs is ever made.
 Buckets with the same members are looked at once, and one with many members is
-cut into blocks, so that no task holds more than two blocks.
+cut into blocks, so that no task holds more than two blocks.  Signatures meet
+first; texts go only to the block pairs in which they have a candidate.
+
+A hub of many links, a root of many documents or a class of many copies is a
+hot key of a sort-merge join, of whose larger side Spark's adaptive execution
+splits hot partitions; sums and minima are taken on the map side first.
 
 Defined results: a null text is an empty one; texts without words form one
 class; a text of fewer than five words has one shingle; a document is a doc_id
@@ -22,7 +27,7 @@ their texts; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -31,11 +36,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import durable, mix64, shingles, text_of
+from marlstone.llm.common import drop, durable, mix64, shingles, text_of
 
 BANDS, ROWS, STEP = 20, 4, 16
 HASHES = BANDS * ROWS
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 3_000_000
+BLOCK_DOCS, BLOCK_SHINGLES = 384, 3_000_000
 
 
 def _multipliers() -> np.ndarray:
@@ -112,20 +117,58 @@ def _overlaps(sets: list[np.ndarray], i: int, others: np.ndarray) -> np.ndarray:
     return hit[ends] - hit[np.concatenate(([0], ends[:-1]))]
 
 
+class Block:
+    """Documents of one pair of blocks of a bucket, and which of them may be alike."""
+
+    def __init__(self, group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]):
+        own = group.block.to_numpy()
+        order = np.argsort(own, kind="stable")
+        self.group, own = group.iloc[order], own[order]
+        self.threshold, self.floors, self.n = threshold, floors, len(order)
+        self.sig = np.frombuffer(b"".join(self.group.sig), np.uint32).reshape(self.n, HASHES)
+        self.size = self.group.n_shingles.to_numpy()
+        self.band = int(self.group.band.iat[0])
+        first, last = int(self.group.lo.iat[0]), int(self.group.hi.iat[0])
+        self.last = int(np.searchsorted(own, last)) if first != last else 0
+        self.firsts = range(self.last if first != last else self.n)
+
+    def candidates(self, i: int) -> np.ndarray:
+        """Those behind ``i`` that its values don't rule out, met here first."""
+        size, sig = self.size, self.sig
+        alive = np.arange(max(i + 1, self.last), self.n)
+        # sizes this far apart can't reach the threshold
+        alive = alive[np.minimum(size[alive], size[i]) >= self.threshold * np.maximum(size[alive], size[i]) - 1e-9]
+        same = np.zeros(alive.size, np.int64)
+        for n, floor in self.floors:
+            if not alive.size:
+                break
+            same += (sig[alive, n - STEP : n] == sig[i, n - STEP : n]).sum(axis=1)
+            keep = same >= floor
+            alive, same = alive[keep], same[keep]
+        if alive.size and self.band:
+            bands = sig.reshape(self.n, BANDS, ROWS)
+            earlier = (bands[alive, : self.band] == bands[i, : self.band]).all(axis=2).any(axis=1)
+            alive = alive[~earlier]
+        return alive
+
+
+def _possible(group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]) -> pd.DataFrame | None:
+    """The rows of the documents that are in any candidate pair."""
+    block = Block(group, threshold, floors)
+    wanted = np.zeros(block.n, bool)
+    for i in block.firsts:
+        alive = block.candidates(i)
+        if alive.size:
+            wanted[i] = wanted[alive] = True
+    return block.group[wanted] if wanted.any() else None
+
+
 def _linked(group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]) -> pd.DataFrame | None:
     """Counts of links of each document of a block pair, and its root there."""
-    own = group.block.to_numpy()
-    order = np.argsort(own, kind="stable")
-    group, own = group.iloc[order], own[order]
-    node = group.node.to_numpy()
-    sig = np.frombuffer(b"".join(group.sig), np.uint32).reshape(len(group), HASHES)
-    size = group.n_shingles.to_numpy()
-    bands = sig.reshape(len(group), BANDS, ROWS)
-    band = int(group.band.iat[0])
-    first, last = int(group.lo.iat[0]), int(group.hi.iat[0])
-    start_of_last = int(np.searchsorted(own, last)) if first != last else 0
-    texts, sets = group.text.to_list(), [None] * len(group)
-    links, root = np.zeros(len(group), np.int64), np.arange(len(group))
+    block = Block(group, threshold, floors)
+    node, size, texts = block.group.node.to_numpy(), block.size, block.group.text.to_list()
+    sets: list[np.ndarray | None] = [None] * block.n
+    links, root = np.zeros(block.n, np.int64), np.arange(block.n)
 
     def top(x: int) -> int:
         while root[x] != x:
@@ -133,20 +176,8 @@ def _linked(group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]
             x = root[x]
         return x
 
-    for i in range(start_of_last if first != last else len(group)):
-        alive = np.arange(max(i + 1, start_of_last), len(group))
-        # sizes this far apart can't reach the threshold
-        alive = alive[np.minimum(size[alive], size[i]) >= threshold * np.maximum(size[alive], size[i]) - 1e-9]
-        same = np.zeros(alive.size, np.int64)
-        for n, floor in floors:
-            if not alive.size:
-                break
-            same += (sig[alive, n - STEP : n] == sig[i, n - STEP : n]).sum(axis=1)
-            keep = same >= floor
-            alive, same = alive[keep], same[keep]
-        if alive.size and band:
-            earlier = (bands[alive, :band] == bands[i, :band]).all(axis=2).any(axis=1)
-            alive = alive[~earlier]
+    for i in block.firsts:
+        alive = block.candidates(i)
         if not alive.size:
             continue
         for j in (i, *alive):
@@ -173,8 +204,8 @@ def components(edges: DataFrame) -> DataFrame:
     Labels pass along edges and then jump to the label of their label, until
     none changes; each round is cut off in the shared folder.
     """
-    both = durable(edges.where("node <> root").select("node", "root").distinct())
-    both = both.select("node", F.col("root").alias("other")).union(both.select("root", "node"))
+    edges = durable(edges.where("node <> root").select("node", "root").distinct())
+    both = edges.select("node", F.col("root").alias("other")).union(edges.select("root", "node"))
     labels = durable(both.groupBy("node").agg(F.least("node", F.min("other")).alias("label")))
     while True:
         near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("near"))
@@ -182,8 +213,11 @@ def components(edges: DataFrame) -> DataFrame:
         jump = better.select(F.col("node").alias("next"), F.col("next").alias("far"))
         moved = durable(better.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("next"), "label"))
         changed = moved.where("next <> label").limit(1).count()
+        drop(labels)
         labels = moved.select("node", F.col("next").alias("label"))
+        labels.cut_path = moved.cut_path
         if not changed:
+            drop(edges)
             return labels
 
 
@@ -240,25 +274,32 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
         .select(*document, "band", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "key")
         .withColumn("pair", F.xxhash64("band", "key", "lo", "hi"))
     )
-    members = durable(members)
-    # texts meet their few takers by one exchange at every size of the input
-    needed = members.select(*document).distinct().hint("merge")
-    texts = named.select(*document, "text").join(needed, document, "left_semi").groupBy(*document).agg(F.min("text").alias("text"))
-    rich = members.join(classes.select(*document, "node", "n_shingles", "sig"), document).join(texts, document).drop("key", *document)
+    # signatures decide first, so that only texts of candidate pairs move
+    signed = members.drop("key").join(classes.select(*document, "node", "n_shingles", "sig"), document)
     floors = [(n, least_matches(n, threshold, tolerance)) for n in range(STEP, HASHES + 1, STEP)]
 
-    def match(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(frames, "pair"):
-            found = _linked(group, threshold, floors)
-            if found is not None:
-                yield found
+    def by_pair(df: DataFrame, of: Callable, schema) -> DataFrame:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for group in _groups(frames, "pair"):
+                found = of(group, threshold, floors)
+                if found is not None:
+                    yield found
 
-    found = durable(rich.repartition("pair").sortWithinPartitions("pair").mapInPandas(match, "node long, n_links long, root long"))
+        return durable(df.repartition("pair").sortWithinPartitions("pair").mapInPandas(run, schema))
+
+    possible = by_pair(signed, _possible, signed.schema)
+    # texts meet their few takers by one exchange at every size of the input
+    needed = possible.select(*document).distinct().hint("merge")
+    texts = named.select(*document, "text").join(needed, document, "left_semi").groupBy(*document).agg(F.min("text").alias("text"))
+    found = by_pair(possible.join(texts, document).drop(*document), _linked, "node long, n_links long, root long")
+    drop(possible)
     links = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
-    linked = components(found).join(classes.select("node", *document), "node")
+    labels = components(found)
+    linked = labels.join(classes.select("node", *document), "node")
     least = linked.groupBy("label").agg(F.min(F.struct(*document)).alias("first"))
     groups = linked.join(least, "label").select("node", F.col("first.uid").alias("group_id"), F.col("first.text_key").alias("group_key"))
     known = classes.select("k1", "k2", "node", *document).join(links, "node", "left").join(groups, "node", "left")
     named_groups = [F.coalesce("group_id", "uid").alias("group_id"), F.coalesce("group_key", "text_key").alias("group_key")]
     known = durable(known.select("k1", "k2", F.col("uid").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), *named_groups))
+    drop(classes, found, labels)
     return sketch.select(*document, "doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id", "n_links", "group_id", *document, "group_key")

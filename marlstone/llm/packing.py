@@ -11,6 +11,8 @@ Documents are dealt by hash to groups of about ``group_bins`` bins, which are
 packed side by side, each in one task of bounded size.  A hot source or cluster
 spreads over all groups.
 
+A group is one task's work, so bins never hold pieces of two groups.
+
 Defined results: a null text has no words and is one piece of none; a null
 source is a source; without a cluster column, equal texts form a cluster; rows
 that repeat a doc_id are packed like any other; extra columns are ignored.

@@ -8,10 +8,11 @@ their score; others stay from ``LEAST`` on, where no base span overlaps them.
 
 Patterns are written so that a run of characters is tried from its start only
 (possessive, with look-behind), so very long runs take linear time; the matches
-are those of the plain patterns.
+are those of the plain patterns.  Time is in proportion to the text and its
+matches, and a text is held whole, with its spans, by one task.
 
 Defined results: a null text is an empty one; repeated rows have equal
-findings; extra columns are ignored.
+findings; an empty table has no rows out; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import text_of
-from marlstone.llm.spans import counted, joined, with_spans
+from marlstone.llm.spans import before, counted, joined, let, with_spans
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 BASE = {
@@ -86,21 +87,49 @@ def _valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
+#: What a text must hold for a kind to be tried; the patterns can't match without.
+_DIGIT = "_digit"
+
+
+def _only() -> dict[str, Column]:
+    holds = lambda c: F.contains("_text", F.lit(c))
+    digit = F.col(_DIGIT)
+    return {"email": holds("@"), "ip": digit & holds("."), "card": digit, "phone": digit & holds("+"), "iban": digit, "local_phone": digit & (holds("-") | holds("."))}
+
+
+def without_overlaps(base: Column, more: Column) -> Column:
+    """All of ``base`` and those of ``more`` that overlap none of them.
+
+    Both stand in one order by start; a span of ``more`` is compared with the
+    furthest end of all base spans before it and the next start of one after.
+    """
+    far = F.lit(2**62).cast("long")
+    turned = lambda spans, extra: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(extra).alias("extra"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["score"].alias("score")))
+
+    def kept(u: Column) -> Column:
+        ends = before(F.transform(u, lambda s: F.when(s["extra"], 0).otherwise(s["end"]).cast("long")), F.lit(0).cast("long"), F.greatest)
+        starts = before(F.transform(F.reverse(u), lambda s: F.when(s["extra"], far).otherwise(s["start"])), far, F.least)
+        clear = lambda e, n: F.filter(u, lambda s, i: ~s["extra"] | ((F.get(e, i) <= s["start"]) & (F.get(n, F.size(u) - 1 - i) >= s["end"])))
+        return let(ends, lambda e: let(starts, lambda n: clear(e, n)))
+
+    both = let(F.array_sort(F.concat(turned(base, False), turned(more, True))), kept)
+    both = F.transform(both, lambda s: F.struct(s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["score"].alias("score")))
+    return F.when(F.size(more) > 0, both).otherwise(base)
+
+
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``spans``: structs (rank, start, end, kind, score)."""
-    named = docs.select(*keep, text_of().alias("_text"))
-    found = with_spans(named, "_text", BASE | MORE)
+    named = docs.select(*keep, text_of().alias("_text"), text_of().rlike("[0-9]").alias(_DIGIT))
+    found = with_spans(named, "_text", {f"_{k}": p for k, p in (BASE | MORE).items()}, {f"_{k}": c for k, c in _only().items()}, REACH)
 
     def judged(kind: str) -> Column:
-        near = lambda s: F.lower(F.col("_text").substr((F.greatest(s["start"] - REACH, F.lit(0)) + 1).cast("int"), (s["end"] - s["start"] + 2 * REACH).cast("int")))
-        score = lambda s: F.least(F.lit(1.0), F.lit(SCORE[kind]) + F.when(near(s).rlike(CONTEXT[kind]), BOOST).otherwise(0.0))
-        kept = F.filter(kind, lambda s: _valid(kind, s["text"]))
+        score = lambda s: F.least(F.lit(1.0), F.lit(SCORE[kind]) + F.when(s["near"].rlike(CONTEXT[kind]), BOOST).otherwise(0.0))
+        kept = F.filter(f"_{kind}", lambda s: _valid(kind, s["text"]))
         out = F.transform(kept, lambda s: F.struct(F.lit(KINDS.index(kind)).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"), score(s).alias("score")))
         return out if kind in BASE else F.filter(out, lambda s: s["score"] >= LEAST)
 
     found = found.select(*keep, F.concat(*map(judged, BASE)).alias("_base"), F.concat(*map(judged, MORE)).alias("_more"))
-    clear = F.filter("_more", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return found.select(*keep, F.array_sort(F.concat("_base", clear)).alias("spans"))
+    return found.select(*keep, F.array_sort(without_overlaps(F.col("_base"), F.col("_more"))).alias("spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:

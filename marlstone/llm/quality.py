@@ -7,6 +7,11 @@ and weighed by gated attention (tanh times sigmoid, soft-max over the bag);
 the weighted sum of the encoded passages gives the document's score.  Encoder,
 attention and output are trained together from document labels alone.
 
+A text is described in stretches of ``AT_ONCE`` bytes; neighbours across the
+edge of a stretch don't count as such.  Attention over a longer text keeps a
+running maximum and running sums, so a text of any length takes the memory of a
+stretch beside its own.
+
 Training takes at most ``per_class`` documents of each label, those with the
 smallest hash of their doc_id, and at most ``TRAIN_PASSAGES`` evenly spaced
 passages of each; weights restore the labels' true proportion.  Scoring reads
@@ -46,10 +51,10 @@ def _class_of_byte() -> np.ndarray:
     return out
 
 
-def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def passages(texts: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Features of all passages of all texts, and how many each text has."""
     classes = _class_of_byte()
-    data = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") for t in texts]
     size = np.array([len(x) for x in data], np.int64)
     counts = np.maximum(1, -(-size // PASSAGE))
     total = int(counts.sum())
@@ -107,19 +112,55 @@ class Bags:
         return e / self.spread(self.sum(e))
 
 
+def stretches(data: bytes) -> Iterator[bytes]:
+    for lo in range(0, max(1, len(data)), AT_ONCE):
+        yield data[lo : lo + AT_ONCE]
+
+
+def some_passages(data: bytes, most: int) -> np.ndarray:
+    """Features of at most so many evenly spaced passages of one text."""
+    total = max(1, -(-len(data) // PASSAGE))
+    picked = np.linspace(0, total - 1, most).astype(int) if total > most else np.arange(total)
+    out, first = [], 0
+    for stretch in stretches(data):
+        x, _ = passages([stretch])
+        out.append(x[picked[(picked >= first) & (picked < first + len(x))] - first])
+        first += len(x)
+    return np.concatenate(out)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def forward(m: dict, x: np.ndarray, bags: Bags) -> dict:
+def encoded(m: dict, x: np.ndarray) -> dict:
+    """Encoded passages and, as ``l``, what the soft-max weighs them by."""
     s = {"h": np.tanh(x @ m["we"] + m["be"])}
     s["t"], s["g"] = np.tanh(s["h"] @ m["v"]), _sigmoid(s["h"] @ m["u"])
-    s["a"] = bags.softmax((s["t"] * s["g"]) @ m["w"])
+    s["l"] = (s["t"] * s["g"]) @ m["w"]
+    return s
+
+
+def forward(m: dict, x: np.ndarray, bags: Bags) -> dict:
+    s = encoded(m, x)
+    s["a"] = bags.softmax(s["l"])
     s["z"] = bags.sum(s["a"][:, None] * s["h"])
     s["p"] = _sigmoid(s["z"] @ m["c"] + m["b"])
     return s
 
 
+def score_of(m: dict, data: bytes) -> float:
+    """The score of one text, a stretch of it at a time."""
+    top, total, z = -np.inf, 0.0, 0.0
+    for stretch in stretches(data):
+        x, counts = passages([stretch])
+        s = encoded(m, (x - m["mean"]) / m["scale"])
+        new = max(top, float(s["l"].max()))
+        e = np.exp(s["l"] - new)
+        total, z, top = total * np.exp(top - new) + e.sum(), z * np.exp(top - new) + e @ s["h"], new
+    return float(_sigmoid(z / total @ m["c"] + m["b"])[0])
+
+
 def backward(m: dict, x: np.ndarray, bags: Bags, s: dict, y: np.ndarray, weight: np.ndarray) -> dict:
     """Gradients of the weighted cross entropy."""
     d = weight * (s["p"] - y) / weight.sum()
@@ -137,10 +178,15 @@ def backward(m: dict, x: np.ndarray, bags: Bags, s: dict, y: np.ndarray, weight:
 
 
 def train(x: np.ndarray, counts: np.ndarray, y: np.ndarray, weight: np.ndarray, hidden: int = 24, gate: int = 12, epochs: int = 30, rate: float = 0.01, decay: float = 1e-4, batch: int = 128) -> dict:
-    """Adam over mini-batches of documents, from a fixed seed."""
+    """Adam over mini-batches of documents, from a fixed seed.
+
+    ``x`` may be of half floats; only a batch of it is widened at a time.
+    """
     rng = np.random.default_rng(11)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 0.02
-    x = (x - mean) / scale
+    parts = lambda: (x[lo : lo + 8192].astype(np.float64) for lo in range(0, len(x), 8192))
+    mean = sum(p.sum(axis=0) for p in parts()) / len(x)
+    scale = np.sqrt(sum(((p - mean) ** 2).sum(axis=0) for p in parts()) / len(x)) + 0.02
+    mean, scale = mean.astype(np.float32), scale.astype(np.float32)
     draw = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
     m = {"we": draw(x.shape[1], hidden), "be": np.zeros(hidden, np.float32), "v": draw(hidden, gate), "u": draw(hidden, gate), "w": draw(gate), "c": draw(hidden)}
     share = float((weight * y).sum() / weight.sum())
@@ -153,7 +199,8 @@ def train(x: np.ndarray, counts: np.ndarray, y: np.ndarray, weight: np.ndarray,
             picked = order[lo : lo + batch]
             rows = np.concatenate([np.arange(start[i], start[i + 1]) for i in picked])
             bags = Bags(counts[picked])
-            grads = backward(m, x[rows], bags, forward(m, x[rows], bags), y[picked], weight[picked])
+            seen = (x[rows].astype(np.float32) - mean) / scale
+            grads = backward(m, seen, bags, forward(m, seen, bags), y[picked], weight[picked])
             step += 1
             lr = rate * (1 - epoch / epochs)
             for k, g in grads.items():
@@ -185,10 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
-                x, _ = passages([text])
-                if len(x) > TRAIN_PASSAGES:
-                    x = x[np.linspace(0, len(x) - 1, TRAIN_PASSAGES).astype(int)]
+            for text, y in zip(b.column("text").cast(pa.binary()), b.column("y").to_pylist()):
+                x = some_passages(text.as_py(), TRAIN_PASSAGES)
                 yield pa.RecordBatch.from_pydict({"y": [y], "x": [x.astype(np.float16).tobytes()]}, pa.schema([("y", pa.int32()), ("x", pa.binary())]))
 
     got = chosen.mapInArrow(describe, "y int, x binary").toArrow().sort_by([("y", "ascending"), ("x", "ascending")])
@@ -197,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     xs = [np.frombuffer(v, np.float16).reshape(-1, FEATURES) for v in got["x"].to_pylist()]
     y = got["y"].to_numpy().astype(np.float32)
     weight = np.where(y == 1, totals[1] / max(1, (y == 1).sum()), totals[0] / max(1, (y == 0).sum())).astype(np.float32)
-    return train(np.concatenate(xs).astype(np.float32), np.array([len(v) for v in xs]), y, weight)
+    return train(np.concatenate(xs), np.array([len(v) for v in xs]), y, weight)
 
 
 def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
@@ -210,8 +255,12 @@ def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), nam
         for batch in batches:
             for lo, hi in slices(batch.column("_scored")):
                 b = batch.slice(lo, hi - lo)
-                x, counts = passages(b.column("_scored").to_pylist())
-                p = forward(model, (x - model["mean"]) / model["scale"], Bags(counts))["p"]
+                texts = b.column("_scored").cast(pa.binary()).to_pylist()
+                if len(texts[0]) > AT_ONCE:  # then it stands alone
+                    p = np.array([score_of(model, texts[0])])
+                else:
+                    x, counts = passages(texts)
+                    p = forward(model, (x - model["mean"]) / model["scale"], Bags(counts))["p"]
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(p.astype(np.float64))], names=[*keep, name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.schema if f.name != "_scored")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import media, mixing, near_dup, packing, pii, quality, secrets, sharding, suffix_dedup, topk
-from marlstone.llm.common import durable, table
+from marlstone.llm.common import table
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return secrets.digest(secrets.findings(docs, durable(secrets.extend(docs))))
+    ledger = secrets.extended_at(docs, secrets.ledger_path(spark, sf_dir))
+    return secrets.digest(secrets.findings(docs, ledger))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

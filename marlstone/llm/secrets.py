@@ -7,16 +7,22 @@ run scans only the pairs of blob and rule version that the ledger lacks, and
 findings join back to all paths by content address.
 
 Defined results: a null text is an empty one; repeated rows have equal
-findings; the order of rows and extra columns don't matter.
+findings; an empty table has no rows out; the order of rows and extra columns
+don't matter.  Time is in proportion to the text and its matches, and a text is
+held whole, with its spans, by one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from hashlib import sha256
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import text_of
-from marlstone.llm.spans import counted, joined, with_spans
+from marlstone.llm.common import exists, fresh, shared_folder, text_of, write_cut
+from marlstone.llm.spans import before, counted, joined, let, with_spans
+
+LEDGER = "blob string, rules array<string>, spans array<struct<start:bigint,rank:int,end:bigint,kind:string,rule:string>>"
 
 #: kind: (pattern, what a match must satisfy). Fixed values of the contract.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -40,19 +46,25 @@ def _valid(kind: str, text: Column) -> Column:
     return F.length(text) >= {"access": 20}.get(kind, 1)
 
 
+def _only() -> dict[str, Column]:
+    """What a text must hold for a kind to be tried; the patterns can't match without."""
+    holds = lambda c: F.contains("text", F.lit(c))
+    return {"assign": holds("=") | holds(":"), "access": holds("AKIA"), "hex": F.lit(True), "pem": holds("-----BEGIN "), "jwt": holds("eyJ"), "prefixed": holds("_") | holds("xox")}
+
+
 def scan(blobs: DataFrame, todo: str | None = None) -> DataFrame:
     """``spans`` of each row of ``blobs`` (blob, text, ...): sorted structs.
 
     ``todo`` names a column with the rule versions to apply; by default all.
     """
-    only = {k: F.array_contains(todo, v) for k, v in VERSIONS.items()} if todo else None
-    found = with_spans(blobs, "text", BASE | MORE, only)
+    only = {f"_{k}": c & F.array_contains(todo, VERSIONS[k]) if todo else c for k, c in _only().items()}
+    found = with_spans(blobs, "text", {f"_{k}": p for k, p in (BASE | MORE).items()}, only)
 
     def each(kind: str) -> Column:
-        kept = F.filter(kind, lambda s: _valid(kind, s["text"]))
+        kept = F.filter(f"_{kind}", lambda s: _valid(kind, s["text"]))
         return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"), F.lit(VERSIONS[kind]).alias("rule")))
 
-    return found.withColumn("spans", F.array_sort(F.concat(*map(each, KINDS)))).drop(*KINDS)
+    return found.withColumn("spans", F.array_sort(F.concat(*map(each, KINDS)))).drop(*[f"_{k}" for k in KINDS])
 
 
 def blobs_of(versions: DataFrame) -> DataFrame:
@@ -77,20 +89,50 @@ def extend(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
 
 def merged(ledger: DataFrame, new: DataFrame) -> DataFrame:
     """One ledger of both."""
-    both = ledger.unionByName(new).groupBy("blob")
-    return both.agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return _one_row_each(ledger.unionByName(new))
+
+
+def _one_row_each(rows: DataFrame) -> DataFrame:
+    rules = F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules")
+    return rows.groupBy("blob").agg(rules, F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+
+
+def ledger_at(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ledger kept at ``path``, one row for each blob, or none."""
+    if not exists(spark, path):
+        return None
+    return _one_row_each(spark.read.schema(LEDGER).parquet(path))
+
+
+def extended_at(versions: DataFrame, path: str) -> DataFrame:
+    """The ledger at ``path`` once it covers ``versions``.
+
+    Only pairs of blob and rule version that it lacks are scanned; they are
+    appended.  A run that ends early leaves what was there; a pair that two
+    runs add at once counts once.
+    """
+    spark = versions.sparkSession
+    write_cut(extend(versions, ledger_at(spark, path)), path, "append")
+    return ledger_at(spark, path)
+
+
+def ledger_path(spark: SparkSession, name: str) -> str:
+    """Where the ledger of a corpus stays: in the folder that the setting
+    ``marlstone.secrets.ledger`` names, or else in the shared one."""
+    folder = spark.conf.get("marlstone.secrets.ledger", None) or f"{shared_folder(spark)}/secrets-ledger"
+    return f"{folder}/{sha256(name.encode()).hexdigest()[:16]}"
 
 
 def findings(versions: DataFrame, ledger: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns of every version and the spans of its content.
 
-    Only current rule versions count; ``ledger`` must cover the versions.  It
-    is best a written table, so that a blob with very many paths is split
-    among tasks as it joins.
+    Only current rule versions count; ``ledger`` must cover the versions.  The
+    join is one that splits a blob with very many paths among tasks.
     """
-    live = ledger.select("blob", F.filter("spans", lambda s: s["rule"].isin(*VERSIONS.values())).alias("spans"))
+    live = ledger.select("blob", F.filter("spans", lambda s: s["rule"].isin(*VERSIONS.values())).alias("spans")).where(F.size("spans") > 0)
     named = versions.select(*keep, F.sha2(text_of(), 256).alias("blob"))
-    return named.join(live, "blob").select(*keep, "blob", "spans")
+    none = F.array().cast(live.schema["spans"].dataType)
+    return named.join(live.hint("merge"), "blob", "left").select(*keep, "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def with_base(ledger: DataFrame) -> DataFrame:
@@ -114,25 +156,37 @@ def masked(text: Column) -> Column:
 
 
 def without_spans(df: DataFrame, text: str, spans: str, name: str) -> DataFrame:
-    """``df`` with ``name``: the text with a mark for each span, null without spans.
+    """``df`` with ``name``: see :func:`cut_out`."""
+    return df.withColumn(name, cut_out(F.col(text), F.col(spans)))
+
+
+def cut_out(text: Column, spans: Column) -> Column:
+    """The text with a mark for each span, null without spans.
 
     Spans that overlap have one mark.  A stretch lies between the furthest end
-    of all spans before and the next start; both the furthest ends and the cuts
-    go by blocks of 64, so texts with very many spans take near linear time.
+    of all spans before and the next start.  The text is cut in two steps, so
+    that no stretch is looked for from the text's start.
     """
-    keep = [F.col(f"`{c}`") for c in df.columns]
-    out = df.select(*keep, F.when(F.size(spans) > 0, F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))).alias("_s"))
-    steps = {
-        "_m": "transform(sequence(0, int((size(_s) - 1) div 64)), b -> array_max(transform(slice(_s, 64 * b + 1, 64), s -> s.end)))",
-        "_r": "transform(_m, (m, b) -> coalesce(array_max(slice(_m, 1, b)), 0L))",
-        "_t": "transform(_s, (s, i) -> named_struct('lo', greatest(_r[int(i div 64)], array_max(transform(slice(_s, 64 * int(i div 64) + 1, i % 64), p -> p.end))), 'hi', s.start))",
-        "_g": f"concat(filter(_t, g -> g.lo <= g.hi), array(named_struct('lo', array_max(_m), 'hi', bigint(char_length(`{text}`)))))",
-        "_b": f"transform(sequence(0, int((size(_g) - 1) div 64)), b -> substring(`{text}`, int(_g[64 * b].lo + 1), int(_g[least(64 * b + 63, size(_g) - 1)].hi - _g[64 * b].lo)))",
-        "_c": "transform(_g, (g, i) -> substring(_b[int(i div 64)], int(g.lo - _g[64 * int(i div 64)].lo + 1), int(g.hi - g.lo)))",
-    }
-    for step, sql in steps.items():
-        out = out.select("*", F.when(F.col("_s").isNotNull(), F.expr(sql)).alias(step))
-    return out.select(*keep, F.array_join("_c", MARK).alias(name))
+    at_once = 512
+    zero = F.lit(0).cast("long")
+    gap = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
+    part = lambda c, lo, n: c.substr((lo + 1).cast("int"), n.cast("int"))
+
+    def cut(gaps: Column) -> Column:
+        first = lambda b: F.get(gaps, b * at_once)["lo"]
+        last = lambda b: F.get(gaps, F.least(b * at_once + at_once, F.size(gaps)) - 1)["hi"]
+        block = lambda i: F.floor(i / at_once).cast("int")
+        coarse = F.transform(F.sequence(F.lit(0), block(F.size(gaps) - 1)), lambda b: part(text, first(b), last(b) - first(b)))
+        return let(coarse, lambda c: F.array_join(F.transform(gaps, lambda g, i: part(F.get(c, block(i)), g["lo"] - first(block(i)), g["hi"] - g["lo"])), MARK))
+
+    def gaps(s: Column, ends: Column) -> Column:
+        inner = F.filter(F.transform(s, lambda x, i: gap(F.get(ends, i), x["start"])), lambda g: g["lo"] <= g["hi"])
+        furthest = F.array_max(F.transform(s, lambda x: x["end"]))
+        return let(F.concat(inner, F.array(gap(furthest, F.length(text).cast("long")))), cut)
+
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    found = let(ordered, lambda s: let(before(F.transform(s, lambda x: x["end"]), zero, F.greatest), lambda ends: gaps(s, ends)))
+    return F.when(F.size(spans) > 0, found)
 
 
 def masked_by(docs: DataFrame, ledger: DataFrame, name: str) -> DataFrame:
@@ -142,7 +196,8 @@ def masked_by(docs: DataFrame, ledger: DataFrame, name: str) -> DataFrame:
     run once more over what is left: they also know a secret that follows a
     value too short to be one, which the ledger's leftmost matches pass over.
     """
-    live = ledger.select(F.col("blob").alias("_blob"), F.filter("spans", lambda s: s["rule"].isin(*VERSIONS.values())).alias("_spans"))
-    live = live.where(F.size("_spans") > 0).select("_blob", F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("_spans"))
-    found = docs.withColumn("_blob", F.sha2(text_of(), 256)).join(live, "_blob", "left")
-    return without_spans(found, "text", "_spans", name).withColumn(name, masked(F.col(name))).drop("_blob", "_spans")
+    blob, spans, cut = (fresh(docs, n) for n in ("_blob", "_spans", "_cut"))
+    live = ledger.select(F.col("blob").alias(blob), F.filter("spans", lambda s: s["rule"].isin(*VERSIONS.values())).alias(spans)).where(F.size(spans) > 0)
+    found = docs.withColumn(blob, F.sha2(text_of(), 256)).join(live.hint("merge"), blob, "left")
+    found = without_spans(found, "text", spans, cut)
+    return found.withColumn(name, masked(F.col(cut))).drop(blob, spans, cut)

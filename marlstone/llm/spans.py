@@ -2,51 +2,92 @@
 
 Spark returns the matches of a pattern but not where they are.  Splitting a
 text by the same pattern gives what lies between them, so a match starts after
-the lengths of all before it.  Running sums go by blocks of 64 matches, which
-keeps texts with very many matches near linear.
+the lengths of all before it.  Sums over all elements before each go by blocks
+of 64, and of 64 blocks, and reach elements by their index, so a text with very
+many matches takes time in proportion.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPAN = "array<struct<start:bigint,end:bigint,text:string>>"
-_SUM = "0L, (a, x) -> a + x"
+SPAN = "array<struct<start:bigint,end:bigint,text:string,near:string>>"
+BLOCK = 64
+#: A match has five characters at least, so so many of them fill any context.
+NEIGHBOURS = 8
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _int(c: Column) -> Column:
+    return c.cast("int")
+
+
+def before(values: Column, zero: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each of ``values`` what ``join`` makes of all before it, in an array as long."""
+
+    def fold(a: Column, lo: Column, n: Column) -> Column:
+        # ``n`` elements from ``lo``
+        return F.when(n > 0, F.aggregate(F.sequence(lo, lo + n - 1), zero, lambda acc, j: join(acc, F.get(a, j)))).otherwise(zero)
+
+    def blocks(a: Column) -> Column:
+        whole = _int(F.floor((F.size(a) - 1) / BLOCK))
+        return F.transform(F.sequence(F.lit(0), whole), lambda b: fold(a, b * BLOCK, F.least(F.lit(BLOCK), F.size(a) - b * BLOCK)))
+
+    def spread(a: Column, of_block: Column) -> Column:
+        at = lambda i: _int(F.floor(i / BLOCK))
+        return F.transform(a, lambda _, i: join(F.get(of_block, at(i)), fold(a, at(i) * BLOCK, i % BLOCK)))
+
+    def levels(a: Column, ones: Column) -> Column:
+        top = lambda twos: F.transform(twos, lambda _, i: fold(twos, F.lit(0), i))
+        return let(let(blocks(ones), lambda twos: let(top(twos), lambda t: spread(ones, t))), lambda o: spread(a, o))
+
+    return let(values, lambda a: F.when(F.size(a) > 0, let(blocks(a), lambda ones: levels(a, ones))).otherwise(a))
+
+
+def _near(hits: Column, parts: Column, i: Column, reach: int) -> Column:
+    """``reach`` characters on both sides of match ``i``, and it, in lower case."""
+    right, left = (lambda c: F.right(c, F.lit(reach))), (lambda c: F.left(c, F.lit(reach)))
+    ahead = F.transform(F.sequence(F.greatest(i - NEIGHBOURS, F.lit(0)), i), lambda j: F.concat(right(F.get(parts, j)), F.when(j < i, right(F.get(hits, j))).otherwise("")))
+    behind = F.transform(F.sequence(i, F.least(i + NEIGHBOURS, F.size(hits) - 1)), lambda j: F.concat(F.when(j > i, left(F.get(hits, j))).otherwise(""), left(F.get(parts, j + 1))))
+    return F.lower(F.concat(right(F.array_join(ahead, "")), F.get(hits, i), left(F.array_join(behind, ""))))
+
+
+def spans(text: Column, pattern: str, reach: int = 0) -> Column:
+    """Start, end, text and, up to ``reach`` characters away, what stands near, of each match.
+
+    Matches are leftmost and don't overlap; start and end count code points,
+    end is exclusive.  ``text`` must not be null.
+    """
+
+    def placed(hits: Column, parts: Column) -> Column:
+        lengths = F.transform(parts, lambda p, i: (F.length(p) + F.coalesce(F.length(F.get(hits, i)), F.lit(0))).cast("long"))
+
+        def one(starts: Column, m: Column, i: Column) -> Column:
+            start = F.get(starts, i) + F.length(F.get(parts, i))
+            near = _near(hits, parts, i, reach) if reach else F.lit(None).cast("string")
+            return let(start, lambda s: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("text"), near.alias("near")))
+
+        return let(before(lengths, F.lit(0).cast("long"), lambda x, y: x + y), lambda starts: F.transform(hits, lambda m, i: one(starts, m, i)))
+
+    found = lambda hits: F.when(F.size(hits) > 0, let(F.split(text, pattern, -1), lambda parts: placed(hits, parts)))
+    return F.coalesce(let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found), F.array().cast(SPAN))
 
 
-def with_spans(df: DataFrame, text: str, patterns: dict[str, str], only: dict[str, Column] | None = None) -> DataFrame:
-    """``df`` with a column of spans for each of ``patterns``.
+def with_spans(df: DataFrame, text: str, patterns: dict[str, str], only: dict[str, Column] | None = None, reach: int = 0) -> DataFrame:
+    """``df`` with a column of :func:`spans` for each of ``patterns``.
 
-    Spans are leftmost and don't overlap; start and end count code points, end
-    is exclusive.  Where ``only`` has a false condition for a name, its pattern
-    is not tried.  ``text`` must not be null.
+    Where ``only`` has a false condition for a name, its pattern is not tried.
     """
     only = only or {}
-    keep = [F.col(f"`{c}`") for c in df.columns]
-    hits = {k: F.regexp_extract_all(text, F.lit(p), F.lit(0)) for k, p in patterns.items()}
-    hits = {k: F.when(only[k], v) if k in only else v for k, v in hits.items()}
-    found = df.select(*keep, *[v.alias(f"_h_{k}") for k, v in hits.items()])
-    some = {k: F.coalesce(F.size(f"_h_{k}"), F.lit(0)) > 0 for k in patterns}
-    names = [f"_h_{k}" for k in patterns]
-    found = found.select(*keep, *names, *[F.when(some[k], F.split(text, p, -1)).alias(f"_p_{k}") for k, p in patterns.items()])
-    names += [f"_p_{k}" for k in patterns]
-    lens = [F.expr(f"transform(_p_{k}, (p, k) -> bigint(char_length(p) + coalesce(char_length(get(_h_{k}, k)), 0)))").alias(f"_l_{k}") for k in patterns]
-    found = found.select(*keep, *names, *lens)
-    names += [f"_l_{k}" for k in patterns]
-    sums = [F.expr(f"transform(sequence(0, int((size(_l_{k}) - 1) div 64)), b -> aggregate(slice(_l_{k}, 64 * b + 1, 64), {_SUM}))").alias(f"_s_{k}") for k in patterns]
-    found = found.select(*keep, *names, *sums)
-    names += [f"_s_{k}" for k in patterns]
-    before = [F.expr(f"transform(_s_{k}, (s, b) -> aggregate(slice(_s_{k}, 1, b), {_SUM}))").alias(f"_b_{k}") for k in patterns]
-    found = found.select(*keep, *names, *before)
-
-    def spans(k: str) -> Column:
-        start = f"_b_{k}[int(i div 64)] + aggregate(slice(_l_{k}, 64 * int(i div 64) + 1, i % 64), {_SUM}) + char_length(_p_{k}[i])"
-        placed = f"transform(_h_{k}, (m, i) -> named_struct('start', {start}, 'text', m))"
-        ended = f"transform({placed}, s -> named_struct('start', s.start, 'end', s.start + char_length(s.text), 'text', s.text))"
-        return F.when(some[k], F.expr(ended)).otherwise(F.array().cast(SPAN)).alias(k)
-
-    return found.select(*keep, *[spans(k) for k in patterns])
+    found = {k: spans(F.col(text), p, reach) for k, p in patterns.items()}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], *[(F.when(only[k], v).otherwise(F.array().cast(SPAN)) if k in only else v).alias(k) for k, v in found.items()])
 
 
 def joined(spans: Column) -> Column:

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import drop, durable, new_path, prefix_hash, remove, setting, slices, span_hash, text_of
+from marlstone.llm.common import CLEANUP, drop, durable, new_path, prefix_hash, remove, setting, slices, span_hash, text_of
 
 WINDOW, GRAM, HOT = 100, 32, 8192
 STRETCH, MOST_WINDOWS = 1 << 20, 1 << 16
@@ -204,6 +204,7 @@ def _cut(place_bits: int) -> Callable:
             rows: list[tuple] = []
             held = 0
             seen: set[bytes] = set()
+            windows: set[bytes] = set()
             order = np.argsort(batch.column("uid").to_numpy())
             texts, marks = batch.column("text").cast(pa.binary()), batch.column("marks")
             for i in order.tolist():
@@ -220,9 +221,20 @@ def _cut(place_bits: int) -> Callable:
                     if not h:
                         rows.append((k, p, n, piece, None, None))
                         continue
+                    run = 0
                     for w in range(n):
                         d = hashlib.blake2b(piece[w : w + WINDOW], digest_size=16).digest()
+                        if d in windows:
+                            run += 1
+                            continue
+                        if run:
+                            rows.append((None, p + w - run, run, None, None, None))
+                            run = 0
+                        windows.add(d)
+                        held += len(d)
                         rows.append((None, p + w, 1, None, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
+                    if run:
+                        rows.append((None, p + n - run, run, None, None, None))
                     if len(rows) > 20000:
                         yield batch_of(rows)
                         rows = []
@@ -231,6 +243,7 @@ def _cut(place_bits: int) -> Callable:
                         yield batch_of(rows)
                     rows, held = [], 0
                     seen.clear()
+                    windows.clear()
             if rows:
                 yield batch_of(rows)
 
@@ -367,7 +380,7 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     path = new_path(spark, "texts")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     wide = setting(spark, "spark.sql.shuffle.partitions", str(n)) if n > usual else nullcontext()
-    with wide, setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+    with wide, setting(spark, CLEANUP, "true"):
         texts = named.where(F.octet_length("text") >= WINDOW).groupBy(*keys).agg(F.first("text").alias("text"))
         texts = texts.join(classes.select(*keys, "uid").hint("merge"), keys).select(*keys, "uid", "text")
         texts.write.bucketBy(n, *keys).option("path", path).option("compression", "zstd").saveAsTable(name)
