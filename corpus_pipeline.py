@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import mixing, near_dup, packing, quality, secrets
-from marlstone.llm.common import durable, shared_folder, table
+from marlstone.llm.common import fresh, shared_folder, table
 
 #: Documents below this quality go.
 LEAST_QUALITY = 0.3
@@ -24,22 +24,25 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The classifier learns from the labelled rows of the ``documents`` table.
     """
     model = quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, keep=tuple(docs.columns), name="_quality").where(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
+    score = fresh(docs, "_quality")
+    return quality.score(docs, model, keep=tuple(docs.columns), name=score).where(F.col(score) >= LEAST_QUALITY).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least doc_id, of each group that links join."""
-    document = ["_uid", "_text_key"]
-    groups = near_dup.near_duplicates(docs).where("uid = group_id and text_key = group_key").select(F.col("uid").alias("_uid"), F.col("text_key").alias("_text_key")).distinct()
-    named = docs.withColumn("_uid", near_dup.identity()).withColumn("_text_key", near_dup.text_key())
-    return named.join(groups, document, "left_semi").dropDuplicates(document).select(*docs.columns)
+    document = uid, text_key = fresh(docs, "_uid"), fresh(docs, "_text_key")
+    groups = near_dup.near_duplicates(docs).where("uid = group_id and text_key = group_key").select(F.col("uid").alias(uid), F.col("text_key").alias(text_key)).distinct()
+    named = docs.withColumn(uid, near_dup.identity()).withColumn(text_key, near_dup.text_key())
+    return named.join(groups, list(document), "left_semi").dropDuplicates(list(document)).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, whatever any rule finds in them replaced by a mark."""
-    named = secrets.masked_by(docs, durable(secrets.extend(docs)), "_masked")
-    hit = F.col("_masked").isNotNull()
-    changed = {"text": F.coalesce("_masked", "text"), "n_chars": F.when(hit, F.length("_masked").cast("long")).otherwise(F.col("n_chars"))}
+    ledger = secrets.extended_at(docs, secrets.ledger_path(spark, sf_dir))
+    masked = fresh(docs, "_masked")
+    named = secrets.masked_by(docs, ledger, masked)
+    hit = F.col(masked).isNotNull()
+    changed = {"text": F.coalesce(masked, "text"), "n_chars": F.when(hit, F.length(masked).cast("long")).otherwise(F.col("n_chars"))}
     return named.select(*[changed[c].alias(c) if c in changed else c for c in docs.columns])
 
 
