@@ -24,9 +24,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from marlstone.llm.common import slices, text_of
+from marlstone.llm.common import runs_of, text_of
 
 AT_ONCE = 4 << 20  # bytes of text
 WIDTH, LINES, KEY_EVERY, CHUNK, TICKS, FRAME_TICKS = 64, 64, 12, 8, 600, 25
@@ -189,7 +188,7 @@ def stored(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column("text"), AT_ONCE, 4096):
+            for lo, hi in runs_of(batch.column("text"), AT_ONCE, 4096):
                 b = batch.slice(lo, hi - lo)
                 data = b.column("text").cast(pa.binary()).to_pylist()
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) for x in data], pa.int64()), pa.array([to_media(padded(x)) for x in data], pa.binary())], names=["doc_id", "n_bytes", "media"])

@@ -33,8 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm import common
-from marlstone.llm.common import prefix_hash, span_hash, text_of
+from marlstone.llm.common import fresh, prefix_hash, runs_of, span_hash, text_of
 
 PASSAGE, TRAIN_PASSAGES, AT_ONCE = 512, 48, 1 << 19
 _SETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\n\r", "\t\v\f", ".", ",", "!", "?", "|", "#", "$%&*", "'\"`", "()[]{}<>", "-_/\\", "@+=~^", ":;")
@@ -92,7 +91,7 @@ def _repeats(joined: bytes, size: np.ndarray, owner: np.ndarray, total: int) ->
 
 def slices(texts: pa.Array) -> list[tuple[int, int]]:
     """Runs of texts that are described at once; a text counts one passage at least."""
-    return common.slices(texts, AT_ONCE, PASSAGE)
+    return runs_of(texts, AT_ONCE, PASSAGE)
 
 
 class Bags:
@@ -249,13 +248,14 @@ def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), nam
     """``keep`` columns of ``docs`` and, as ``name``, the score of each whole text."""
     if "constant" in model:
         return docs.select(*keep, F.lit(model["constant"]).alias(name))
-    columns = docs.select(*keep, text_of().alias("_scored"))
+    scored = fresh(docs, "_scored")
+    columns = docs.select(*keep, text_of().alias(scored))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column("_scored")):
+            for lo, hi in slices(batch.column(scored)):
                 b = batch.slice(lo, hi - lo)
-                texts = b.column("_scored").cast(pa.binary()).to_pylist()
+                texts = b.column(scored).cast(pa.binary()).to_pylist()
                 if len(texts[0]) > AT_ONCE:  # then it stands alone
                     p = np.array([score_of(model, texts[0])])
                 else:
@@ -263,5 +263,5 @@ def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), nam
                     p = forward(model, (x - model["mean"]) / model["scale"], Bags(counts))["p"]
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(p.astype(np.float64))], names=[*keep, name])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.schema if f.name != "_scored")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.schema if f.name != scored)
     return columns.mapInArrow(run, f"{schema}, `{name}` double")

@@ -19,7 +19,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import exists, fresh, shared_folder, text_of, write_cut
+from marlstone.llm.common import durable, exists, fresh, shared_folder, text_of, write_cut
 from marlstone.llm.spans import before, counted, joined, let, with_spans
 
 LEDGER = "blob string, rules array<string>, spans array<struct<start:bigint,rank:int,end:bigint,kind:string,rule:string>>"
@@ -109,11 +109,12 @@ def extended_at(versions: DataFrame, path: str) -> DataFrame:
 
     Only pairs of blob and rule version that it lacks are scanned; they are
     appended.  A run that ends early leaves what was there; a pair that two
-    runs add at once counts once.
+    runs add at once counts once.  The result is a written table, so that joins
+    with it split a hot blob.
     """
     spark = versions.sparkSession
     write_cut(extend(versions, ledger_at(spark, path)), path, "append")
-    return ledger_at(spark, path)
+    return durable(ledger_at(spark, path))
 
 
 def ledger_path(spark: SparkSession, name: str) -> str:
@@ -135,11 +136,6 @@ def findings(versions: DataFrame, ledger: DataFrame, keep: tuple[str, ...] = ("d
     return named.join(live.hint("merge"), "blob", "left").select(*keep, "blob", F.coalesce("spans", none).alias("spans"))
 
 
-def with_base(ledger: DataFrame) -> DataFrame:
-    """The rows of the ledger in which a base rule found something."""
-    return ledger.where(F.exists("spans", lambda s: s["kind"].isin(*BASE)))
-
-
 def digest(found: DataFrame) -> DataFrame:
     """Counts and joined positions from ``spans``."""
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))

@@ -8,6 +8,9 @@ within ``tolerance`` of it or the cell can't be cut further.  The driver sees
 at most ``shards * 4096`` counts, whatever the input.  Rows move once, to their
 shard and cell, where they are numbered.
 
+This is the law `bytes`: sizes are near equal, and equal texts need not share a
+shard.  A text is read for its size and hash only, whatever its length.
+
 Defined results: a null text counts 8 bytes; rows without doc_id take part like
 others; identical rows are told apart by the low bits of their key; an empty
 table has no rows out; extra columns are ignored.  Rows of equal size and key

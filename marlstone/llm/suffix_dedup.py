@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import CLEANUP, drop, durable, new_path, prefix_hash, remove, setting, slices, span_hash, text_of
+from marlstone.llm.common import CLEANUP, drop, durable, new_path, prefix_hash, remove, runs_of, setting, span_hash, text_of
 
 WINDOW, GRAM, HOT = 100, 32, 8192
 STRETCH, MOST_WINDOWS = 1 << 20, 1 << 16
@@ -172,7 +172,7 @@ def _find(place_bits: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high in slices(batch.column("text"), AT_ONCE):
+            for low, high in runs_of(batch.column("text"), AT_ONCE):
                 part = batch.slice(low, high - low)
                 found = [(uid, *pieces(np.frombuffer(text, np.uint8))) for uid, text in zip(part.column("uid").to_pylist(), _bytes(part.column("text")))]
                 value = np.concatenate([f[1] for f in found])
