@@ -72,6 +72,8 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...], share: float, epochs: int,
     # the first three digits of the order are the cell; the text parts rows that repeat a doc_id
     order = F.concat(_hash(seed), F.md5(text_of())) if fine else F.lit(None).cast("string")
     sized = docs.select(F.struct(*keep).alias("_kept"), F.col("source").alias("_source"), word_count(text_of()).alias("size"), F.shiftright(_draw(seed, 8, 0), 20).alias("_cell"), (_draw(seed, 8, 8) / F.lit(2.0**32)).alias("_part"), order.alias("_order"))
+    if "text" not in keep:  # then counting words once is dearer than a cut without texts
+        sized = durable(sized)
     cells = sized.groupBy(F.col("_source").alias("source"), F.col("_cell").alias("cell")).agg(F.sum("size").alias("words"))
     sizes = cells.groupBy("source").agg(F.sum("words").alias("source_size"))
     plan = water_fill(sizes, weights, share, epochs).select(
