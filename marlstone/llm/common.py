@@ -50,12 +50,12 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
 
 #: Spark then drops a job's shuffle files as the job ends, not when the driver collects garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_written: dict[str, SparkSession] = {}
+_written: set[str] = set()
 
 
 def new_path(spark: SparkSession, name: str = "cut") -> str:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _written[path] = spark
+    _written.add(path)
     return path
 
 
@@ -92,17 +92,18 @@ def drop(*cuts: DataFrame) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
-    _written.pop(path, None)
+    _written.discard(path)
 
 
 @atexit.register
 def _remove_all() -> None:
-    for path, spark in list(_written.items()):
+    spark = SparkSession.getActiveSession()
+    for path in list(_written) if spark else []:
         with suppress(Exception):  # the session may have ended
             remove(spark, path)
 
 
-def slices(texts: pa.Array, at_once: int, least: int = 1) -> list[tuple[int, int]]:
+def runs_of(texts: pa.Array, at_once: int, least: int = 1) -> list[tuple[int, int]]:
     """Runs of texts of at most ``at_once`` bytes, or of one text.
 
     A text counts ``least`` bytes at least.
@@ -194,7 +195,9 @@ def shingles(text: str, width: int = 5) -> np.ndarray:
         return words
     take = min(width, words.size)
     n = words.size - take + 1
-    out = np.zeros(n, np.uint64)
-    for i in range(take):
-        out = mix64(out * _MUL + words[i : i + n])
-    return np.unique(out)
+    # word hashes are spread evenly already, so a polynomial of them is as good as one
+    out = words[:n].copy()
+    for i in range(1, take):
+        out *= _MUL
+        out += words[i : i + n]
+    return np.unique(mix64(out))
