@@ -87,22 +87,32 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _groups(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
-    """The groups of rows with one key, from frames sorted by it."""
-    held: list[pd.DataFrame] = []
+def _whole_groups(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Frames sorted by ``key``, cut so that no key is in two of them."""
+    held = None
     for frame in frames:
         if frame.empty:
             continue
-        keys = frame[key].to_numpy()
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)]
-        for lo, hi in zip(cuts, cuts[1:]):
-            part = frame.iloc[lo:hi]
-            if held and held[0][key].iat[0] != part[key].iat[0]:
-                yield pd.concat(held) if len(held) > 1 else held[0]
-                held = []
-            held.append(part)
-    if held:
-        yield pd.concat(held) if len(held) > 1 else held[0]
+        if held is not None:
+            frame = pd.concat([held, frame], ignore_index=True)
+        last = int(np.searchsorted(frame[key].to_numpy(), frame[key].iat[-1]))
+        held = frame.iloc[last:]
+        if last:
+            yield frame.iloc[:last]
+    if held is not None:
+        yield held
+
+
+def _blocks(frame: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]) -> Iterator["Block"]:
+    """A block pair for each value of ``pair`` in the frame."""
+    pair, own = frame.pair.to_numpy(), frame.block.to_numpy()
+    order = np.lexsort((own, pair))
+    pair, own = pair[order], own[order]
+    sig = np.frombuffer(b"".join(frame.sig), np.uint32).reshape(len(frame), HASHES)[order]
+    size, band, low, high = (frame[c].to_numpy()[order] for c in ("n_shingles", "band", "lo", "hi"))
+    cuts = [0, *(np.flatnonzero(pair[1:] != pair[:-1]) + 1).tolist(), len(pair)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        yield Block(order[lo:hi], own[lo:hi], sig[lo:hi], size[lo:hi], int(band[lo]), low[lo], high[lo], threshold, floors)
 
 
 def _overlaps(sets: list[np.ndarray], i: int, others: np.ndarray) -> np.ndarray:
@@ -120,15 +130,9 @@ def _overlaps(sets: list[np.ndarray], i: int, others: np.ndarray) -> np.ndarray:
 class Block:
     """Documents of one pair of blocks of a bucket, and which of them may be alike."""
 
-    def __init__(self, group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]):
-        own = group.block.to_numpy()
-        order = np.argsort(own, kind="stable")
-        self.group, own = group.iloc[order], own[order]
-        self.threshold, self.floors, self.n = threshold, floors, len(order)
-        self.sig = np.frombuffer(b"".join(self.group.sig), np.uint32).reshape(self.n, HASHES)
-        self.size = self.group.n_shingles.to_numpy()
-        self.band = int(self.group.band.iat[0])
-        first, last = int(self.group.lo.iat[0]), int(self.group.hi.iat[0])
+    def __init__(self, rows: np.ndarray, own: np.ndarray, sig: np.ndarray, size: np.ndarray, band: int, first: int, last: int, threshold: float, floors: list[tuple[int, int]]):
+        self.rows, self.sig, self.size, self.band = rows, sig, size, band
+        self.threshold, self.floors, self.n = threshold, floors, len(rows)
         self.last = int(np.searchsorted(own, last)) if first != last else 0
         self.firsts = range(self.last if first != last else self.n)
 
@@ -152,21 +156,28 @@ class Block:
         return alive
 
 
-def _possible(group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]) -> pd.DataFrame | None:
+def _possible(frame: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]) -> pd.DataFrame:
     """The rows of the documents that are in any candidate pair."""
-    block = Block(group, threshold, floors)
-    wanted = np.zeros(block.n, bool)
-    for i in block.firsts:
-        alive = block.candidates(i)
-        if alive.size:
-            wanted[i] = wanted[alive] = True
-    return block.group[wanted] if wanted.any() else None
-
-
-def _linked(group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]) -> pd.DataFrame | None:
-    """Counts of links of each document of a block pair, and its root there."""
-    block = Block(group, threshold, floors)
-    node, size, texts = block.group.node.to_numpy(), block.size, block.group.text.to_list()
+    wanted = np.zeros(len(frame), bool)
+    for block in _blocks(frame, threshold, floors):
+        for i in block.firsts:
+            alive = block.candidates(i)
+            if alive.size:
+                wanted[block.rows[i]] = True
+                wanted[block.rows[alive]] = True
+    return frame[wanted]
+
+
+def _all_linked(frame: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]) -> pd.DataFrame:
+    texts, nodes = frame.text.to_list(), frame.node.to_numpy()
+    parts = [_linked(b, [texts[r] for r in b.rows], nodes[b.rows]) for b in _blocks(frame, threshold, floors)]
+    columns = zip(*parts) if parts else [np.empty(0, np.int64)] * 3
+    return pd.DataFrame({k: np.concatenate(v) if parts else v for k, v in zip(("node", "n_links", "root"), columns)})
+
+
+def _linked(block: Block, texts: list[str], node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents of a block pair that have links, how many, and their root there."""
+    size, threshold = block.size, block.threshold
     sets: list[np.ndarray | None] = [None] * block.n
     links, root = np.zeros(block.n, np.int64), np.arange(block.n)
 
@@ -193,9 +204,7 @@ def _linked(group: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]
                 a, b = (a, b) if node[a] < node[b] else (b, a)
                 root[b] = a
     kept = np.flatnonzero(links)
-    if not kept.size:
-        return None
-    return pd.DataFrame({"node": node[kept], "n_links": links[kept], "root": node[[top(x) for x in kept]]})
+    return node[kept], links[kept], node[[top(x) for x in kept]]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -280,10 +289,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
 
     def by_pair(df: DataFrame, of: Callable, schema) -> DataFrame:
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for group in _groups(frames, "pair"):
-                found = of(group, threshold, floors)
-                if found is not None:
-                    yield found
+            for whole in _whole_groups(frames, "pair"):
+                yield of(whole, threshold, floors)
 
         return durable(df.repartition("pair").sortWithinPartitions("pair").mapInPandas(run, schema))
 
@@ -291,7 +298,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
     # texts meet their few takers by one exchange at every size of the input
     needed = possible.select(*document).distinct().hint("merge")
     texts = named.select(*document, "text").join(needed, document, "left_semi").groupBy(*document).agg(F.min("text").alias("text"))
-    found = by_pair(possible.join(texts, document).drop(*document), _linked, "node long, n_links long, root long")
+    found = by_pair(possible.join(texts, document).drop(*document), _all_linked, "node long, n_links long, root long")
     drop(possible)
     links = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
     labels = components(found)
