@@ -168,7 +168,11 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 def _find(place_bits: int) -> Callable:
     """Pieces of whole texts: one row for each hash in some texts, with the
-    first place and its windows, how many anchors there are, and the other places."""
+    first place and its windows, how many anchors there are, and the other places.
+
+    The lowest bit of ``windows`` tells a piece of several anchors, which may
+    repeat within itself.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +183,8 @@ def _find(place_bits: int) -> Callable:
                 place = np.concatenate([(f[0] << place_bits) + f[2] for f in found])
                 count, inside = (np.concatenate([f[k] for f in found]) for k in (3, 4))
                 order = np.argsort(value, kind="stable")
-                value, place, count, inside = value[order], place[order], count[order], inside[order]
+                value, place, inside = value[order], place[order], inside[order]
+                count = count[order] << 1 | (inside > 1)
                 start = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if value.size else np.empty(0, np.int64)
                 n = np.diff(np.append(start, value.size))
                 rest = np.ones(value.size, bool)
@@ -211,7 +216,7 @@ def _cut(place_bits: int) -> Callable:
                 data, own = texts[i].as_py(), marks[i].values
                 place, count, key, hot = (own.field(c).to_numpy(zero_copy_only=False) for c in ("place", "windows", "hash", "hot"))
                 sort = np.argsort(place)
-                for p, n, k, h in zip(*(x[sort].tolist() for x in (place, count, key, hot))):
+                for p, n, several, k, h in zip(*(x[sort].tolist() for x in (place, count >> 1, count & 1, key, hot))):
                     piece = data[p & mask : (p & mask) + n + WINDOW - 1]
                     if piece in seen:  # an earlier one is in this batch
                         rows.append((None, p, n, None, None, None))
@@ -219,7 +224,7 @@ def _cut(place_bits: int) -> Callable:
                     seen.add(piece)
                     held += len(piece)
                     if not h:
-                        rows.append((k, p, n, piece, None, None))
+                        rows.append((k, p, n, piece, several, None))
                         continue
                     run = 0
                     for w in range(n):
@@ -254,14 +259,15 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats among rows sorted by key and place.
 
     A row without a piece is known already (place, n) or has the hash of one
-    window (w1, w2) and passes.  Rows out: place, n, w1, w2.
+    window (w1, w2) and passes; of a piece, w1 tells whether it has several
+    anchors.  Rows out: place, n, w1, w2.
     """
 
     def out(place, n, w1=None, w2=None) -> pa.RecordBatch:
         none = [None] * len(place)
         return pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(n, pa.int64()), pa.array(w1 if w1 is not None else none, pa.int64()), pa.array(w2 if w2 is not None else none, pa.int64())], names=["place", "n", "w1", "w2"])
 
-    group: dict[bytes, tuple[int, int]] = {}
+    group: dict[bytes, tuple[int, int, int]] = {}
     last = None
     chunk: list[tuple[bytes, int, int]] = []
     held = 0
@@ -270,8 +276,8 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def close() -> None:
         nonlocal held
         # one piece repeats nothing unless it has several anchors
-        if len(group) > 1 or any(n > WINDOW - GRAM + 1 for n, _ in group.values()):
-            chunk.extend((p, n, at) for p, (n, at) in group.items())
+        if len(group) > 1 or any(several for _, _, several in group.values()):
+            chunk.extend((p, n, at) for p, (n, at, _) in group.items())
             held += sum(map(len, group))
         group.clear()
 
@@ -291,7 +297,7 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if passing.num_rows:
             yield out(*(passing.column(c) for c in ("place", "n", "w1", "w2")))
         rest = batch.filter(pc.is_valid(batch.column("piece")))
-        for key, place, n, piece in zip(*(rest.column(c).to_pylist() for c in ("key", "place", "n", "piece"))):
+        for key, place, n, piece, several in zip(*(rest.column(c).to_pylist() for c in ("key", "place", "n", "piece", "w1"))):
             if key != last:
                 close()
                 last = key
@@ -300,7 +306,7 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if piece in group:
                 known.append((place, n))
             else:
-                group[piece] = (n, place)
+                group[piece] = (n, place, several)
     close()
     yield from flush()
 

@@ -136,6 +136,28 @@ def test_dedup_of_runs_and_of_one_passage_everywhere(spark):
     assert (got[100].n_removed, got[100].n_spans) == (1_999_999, 1) and (got[101].n_removed, got[101].n_spans) == (199_998, 1)
 
 
+@pytest.mark.parametrize("hot", [8192, 3])
+def test_dedup_of_short_periods_equals_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rng = random.Random(12)
+    rows = []
+    for i in range(150):
+        parts = [(words(rng, rng.randint(0, 9)) + " ", (words(rng, 20)[: rng.randint(1, 120)]) * rng.randint(1, 30)) for _ in range(rng.randint(1, 4))]
+        rows.append((i, "".join(a + b for a, b in parts)[: rng.randint(90, 2500)]))
+    rows += [(200 + i, rows[i][1][rng.randint(0, 60) :]) for i in range(40)]
+    seen, expected = set(), {}
+    for i, text in rows:
+        gone = bytearray(len(text))
+        for p in range(len(text) - 99):
+            w = text[p : p + 100]
+            if w in seen:
+                gone[p : p + 100] = b"\x01" * 100
+            seen.add(w)
+        expected[i] = (sum(gone), len(re.findall(b"\x01+", gone)), hashlib.sha256("".join(c for c, g in zip(text, gone) if not g).encode()).hexdigest())
+    got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in got} == expected
+
+
 def test_positions_that_do_not_fit_are_refused(spark):
     with pytest.raises(ValueError):
         suffix_dedup._bits(spark.createDataFrame([(2**31 - 1, 2**40)], "n_bytes long, uid long"))
