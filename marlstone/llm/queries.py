@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import codes, media, mixing, near_dup, packing, pii, quality, recompression, secrets, sharding, suffix_dedup, topk
+from marlstone.llm import codes, divergence, media, mixing, near_dup, packing, pii, quality, recompression, secrets, sharding, suffix_dedup, topk
 from marlstone.llm.common import table
 
 
@@ -60,8 +60,12 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_suffix_dedup, op4_sharding, op5_packing, op6_secrets, op7_mixing, op8_topk, op9_pii, op10_media, op11_substring_dedup, op13_vector_codes)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_suffix_dedup, op4_sharding, op5_packing, op6_secrets, op7_mixing, op8_topk, op9_pii, op10_media, op11_substring_dedup, op12_source_divergence, op13_vector_codes)}
