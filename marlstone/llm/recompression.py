@@ -39,11 +39,11 @@ from marlstone.llm.words import word_names, word_places
 
 WINDOW = 50
 #: Words of a stretch, bytes of texts taken together, rows of a batch out.
-STRETCH, AT_ONCE, ROWS = 1 << 17, 8 << 20, 1 << 15
+STRETCH, AT_ONCE, ROWS = 1 << 16, 8 << 20, 1 << 15
 #: Rounds end by themselves once no new context fits a window; they never reach this.
 MOST_ROUNDS = 48
 
-_RUN, _PAIR, _DIGEST = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0x8EBC6AF09C88C6E3))
+_RUN, _PAIR, _DIGEST, _BORDER = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
 _SIDE = 0xE7037ED1A0B428DB
 
 
@@ -135,33 +135,60 @@ def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return names[order[np.searchsorted(codes, start << 6 | size, sorter=order)]], start, size
 
 
-def pieces(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def pieces(words: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one anchor: its name, a hash of all their words, the
     first window and how many there are.
 
-    Equal windows that follow each other, as in a run of one word, are one piece.
+    ``whole`` tells which windows count.  Equal windows that follow each other,
+    as in a run of one word, are one piece.
     """
-    found = []
+    found = [tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))]
     for lo in range(0, words.size - WINDOW + 1, STRETCH):
-        part = words[lo : lo + STRETCH + WINDOW - 1]
+        part, use = words[lo : lo + STRETCH + WINDOW - 1], whole[lo : lo + STRETCH]
         name, start, size = anchors(part)
-        cut = np.flatnonzero(np.concatenate(([True], (start[1:] != start[:-1]) | (size[1:] != size[:-1]))))
+        cut = np.flatnonzero(np.concatenate(([True], (start[1:] != start[:-1]) | (size[1:] != size[:-1]) | (use[1:] != use[:-1]))))
         count = np.diff(np.append(cut, name.size))
+        cut, count = cut[use[cut]], count[use[cut]]
         up, down = powers(part.size + 1)
         total = np.zeros(part.size + 1, np.uint64)
         np.cumsum(mix64(part ^ _DIGEST) * up[: part.size], out=total[1:])
         content = mix64((total[cut + count + WINDOW - 1] - total[cut]) * down[cut] + (count.astype(np.uint64) << np.uint64(8)) + (start[cut] - cut).astype(np.uint64))
         found.append((name[cut], content, cut + lo, count))
-    if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     name, content, first, count = (np.concatenate(x) for x in zip(*found))
+    if not name.size:
+        return name, content, first, count
     goes_on = (name[1:] == name[:-1]) & (content[1:] == content[:-1]) & (count[1:] == 1) & (count[:-1] == 1) & (first[1:] == first[:-1] + 1)
     opens = np.flatnonzero(np.concatenate(([True], ~goes_on)))
     return name[opens], content[opens], first[opens], np.add.reduceat(count, opens)
 
 
-def _names_of(data: np.ndarray) -> np.ndarray:
-    return word_names(data, *word_places(data))
+def pieces_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """The pieces of all these texts: their text's number before those of :func:`pieces`.
+
+    The texts make one row of symbols.  Between two stands a symbol that occurs
+    once; windows over it don't count, and no other window's anchor depends on it.
+    """
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    start, end = word_places(data)
+    border = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    owner = np.searchsorted(border, start, "right") - 1
+    enough = np.bincount(owner, minlength=len(texts)) >= WINDOW
+    use = enough[owner]
+    name, owner = word_names(data, start, end)[use], owner[use]
+    rank = np.cumsum(enough) - 1
+    at = np.arange(name.size) + rank[owner]  # with one place before each text but the first
+    stream = mix64(np.arange(name.size + int(enough.sum()), dtype=np.uint64) + _BORDER)
+    stream[at] = name
+    solid = np.zeros(stream.size + 1, np.int64)
+    solid[at + 1] = 1
+    solid = np.cumsum(solid)
+    whole = solid[WINDOW:] - solid[:-WINDOW] == WINDOW if stream.size >= WINDOW else np.empty(0, bool)
+    name, content, first, count = pieces(stream, whole)
+    own = owner[np.searchsorted(at, first)]
+    opens = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if owner.size else owner
+    begin = np.zeros(len(texts), np.int64)
+    begin[owner[opens]] = at[opens]
+    return own, name, content, first - begin[own], count
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,11 +196,9 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, high in runs_of(batch.column("text"), AT_ONCE):
             part = batch.slice(low, high - low)
-            found = [pieces(_names_of(np.frombuffer(t.as_buffer(), np.uint8))) for t in part.column("text").cast(pa.binary())]
-            times = [len(f[0]) for f in found]
-            name, content, first, count = (np.concatenate(x) for x in zip(*found))
-            own = [np.repeat(part.column(c).to_numpy(), times) for c in ("h1", "h2", "id")]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name.view(np.int64), content.view(np.int64), *own, first, count)], names=["name", "content", "h1", "h2", "id", "first", "n"])
+            own, name, content, first, count = pieces_of(part.column("text").cast(pa.binary()).to_pylist())
+            named = [part.column(c).to_numpy()[own] for c in ("h1", "h2", "id")]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name.view(np.int64), content.view(np.int64), *named, first, count)], names=["name", "content", "h1", "h2", "id", "first", "n"])
 
 
 class _Text:
@@ -248,20 +273,21 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
         # no text of fewer bytes has a window
         found = durable(texts.where(F.octet_length("text") >= 2 * WINDOW - 1).mapInArrow(_find, "name long, content long, h1 long, h2 long, id long, first long, n long"))
         names = found.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most"), (F.min("content") != F.max("content")).alias("differ"))
-        # sort-merge joins, of whose larger side a hot key is split among tasks
-        live = durable(found.join(names.where("least < most").drop("most").hint("merge"), "name").select(*keys, "id", "first", "n", "least", "differ"))
-        drop(found)
+        names = durable(names.where("least < most").drop("most"))
+        # sort-merge joins of written tables, of whose larger side a hot key is split among tasks
+        live = durable(found.join(names.hint("merge"), "name").select(*keys, "id", "first", "n", "least", "differ"))
+        drop(found, names)
         at = F.struct("first", "n")
         marks = live.where("differ").groupBy(*keys).agg(F.collect_list(at).alias("marks"))
         hashed = durable(texts.join(marks.hint("merge"), keys).select(*keys, "id", "text", "marks").mapInArrow(_windows, "h1 long, h2 long, id long, at long, w1 long, w2 long"))
-        least = hashed.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
+        least = durable(hashed.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most"))
         late = hashed.join(least.hint("merge"), ["w1", "w2"]).where("id > least").select(*keys, F.col("at").alias("first"), F.lit(1).cast("long").alias("n"))
         gone = live.where("not differ and id > least").select(*keys, "first", "n").union(late)
         runs = gone.groupBy(*keys).agg(F.collect_list(at).alias("runs"))
         kept = texts.join(runs.hint("merge"), keys, "left").select(*keys, "id", "text", "runs")
         kept = kept.mapInArrow(_keep(with_text), "h1 long, h2 long, first_id long, n_words long, n_removed long, kept_sha256 string, kept binary")
         kept = durable(kept if with_text else kept.drop("kept"))
-        drop(live, hashed)
+        drop(live, hashed, least)
 
     again = (F.col("id") > F.col("first_id")) & (F.col("n_words") >= WINDOW)
     columns = [
