@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import contains_ci, kilometres, link, money, money_or_null, title
@@ -60,6 +60,17 @@ def search(items: DataFrame, contains: dict[str, str | None], at_least: dict[str
     return found.orderBy("precio", "id").limit(limit or 5).select(*card())
 
 
+def search_counted(items: DataFrame, contains: dict[str, str | None], at_least: dict[str, float | None] | None = None, at_most: dict[str, float | None] | None = None, limit: int = 5, raw_patterns: bool = False) -> tuple[DataFrame, Observation]:
+    """As :func:`search`, and an observation whose ``total`` is how many match.
+
+    The count is taken in the pass that finds the cheapest: it is there once
+    an action on the rows has run.
+    """
+    counted = Observation()
+    found = matching(available(items), contains, at_least or {}, at_most or {}, raw_patterns).observe(counted, F.count(F.lit(1)).alias("total"))
+    return found.orderBy("precio", "id").limit(limit or 5).select(*card()), counted
+
+
 def alternatives(items: DataFrame, brand: str, budget: float, limit: int = 5) -> DataFrame:
     """The cheapest of other brands within a fifth of the budget."""
     band = F.col("precio").between(budget * 0.8, budget * 1.2)

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import amounts, text
-from marlstone.operators import filters, finance, inventory, knowledge, leads, terms
+from marlstone.operators import applications, filters, finance, history, inventory, knowledge, leads, terms
 from marlstone.sources import dictionaries, tables
+from marlstone.sources.store import new_folder
+from marlstone.streaming import intake, outbox
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +47,14 @@ def inventory_search_truthiness(spark, d):
     return inventory.search(tables.inventory(spark, d), {"marca": "", "modelo": None}, {"precio": 0}, {"autoano": 0}, 0)
 
 
+@query
+def inventory_search_total(spark, d):
+    """The cheapest five, and how many match, from one pass over the items."""
+    rows, counted = inventory.search_counted(tables.inventory(spark, d), {"marca": "build"}, {"precio": 2000.0}, {"autoano": 1997})
+    found = rows.select("id", "titulo", "precio").collect()  # five rows
+    return spark.createDataFrame([(*r, counted.get["total"]) for r in found], "id long, titulo string, precio string, total long")
+
+
 @query
 def base_filter(spark, d):
     return filters.available(tables.inventory(spark, d)).select("id", "marca", "precio")
@@ -178,17 +188,20 @@ def finance_zero_term(spark, d):
     return _quotes(spark, d, 0, 15.0)
 
 
+def _asked(customers, step=1):
+    """Every customer asks for the item of the customer's number times ``step``."""
+    key = F.col("c_custkey")
+    return customers.select(key.alias("request_id"), F.concat(key.cast("string"), F.lit("@example.invalid")).alias("email_destino"), F.col("c_name").alias("nombre_cliente"), (key * step).alias("vehiculo_id"), (key % 50).cast("double").alias("enganche_porcentaje"), (key % 6 * 12).cast("int").alias("plazo_meses"))
+
+
 def _payloads(spark, d):
-    """Every customer asks for the item with the customer's own number."""
-    c, key = tables.read(spark, d, "customer"), F.col("c_custkey")
-    asked = c.select(key.alias("request_id"), F.concat(key.cast("string"), F.lit("@example.invalid")).alias("email_destino"), F.col("c_name").alias("nombre_cliente"), key.alias("vehiculo_id"), (key % 50).cast("double").alias("enganche_porcentaje"), (key % 6 * 12).cast("int").alias("plazo_meses"))
-    return finance.payloads(asked, tables.inventory(spark, d))
+    return finance.payloads(_asked(tables.read(spark, d, "customer")), tables.inventory(spark, d))
 
 
 @query
 def quote_payload_json(spark, d):
-    """What the sink writes, where nothing is null."""
-    return _payloads(spark, d).where("payload.data.financiamiento.mensualidad_estimada is not null").select("request_id", F.to_json("payload").alias("value"))
+    """What the sink writes; a part that is null is left out."""
+    return _payloads(spark, d).select("request_id", F.to_json("payload").alias("value"))
 
 
 @query
@@ -247,10 +260,10 @@ def _forms(spark, d, names):
 
 
 def _stock(spark, d, names):
-    """Names that are in stock: those at even numbers of the list."""
-    p = tables.read(spark, d, "part").where("p_partkey % 2 = 0")
-    name = F.element_at(F.array(*map(F.lit, names)), (F.col("p_partkey") % len(names) + 1).cast("int"))
-    return terms.candidates(p.select(name.alias("name")), "name")
+    """Names that are in stock: all parts have a name of an even place in the list."""
+    place = F.col("p_partkey") * 2 % len(names)
+    name = F.element_at(F.array(*map(F.lit, names)), (place - place % 2 + 1).cast("int"))
+    return terms.candidates(tables.read(spark, d, "part").select(name.alias("name")), "name")
 
 
 def _corrected(spark, d, names):
@@ -343,3 +356,87 @@ def lead_insert_set(spark, d):
 @query
 def latest_open_lead(spark, d):
     return leads.latest_open(tables.leads(spark, d))
+
+
+@query
+def lead_append(spark, d):
+    """What the insert leaves in the table of leads, and a second insert doesn't add to."""
+    path, people, now = new_folder(spark, "leads"), tables.profiles(spark, d), tables.leads(spark, d)
+    asked = tables.requests(spark, d)
+    leads.append(leads.to_insert(asked, people, now), path)
+    added = spark.read.parquet(path)
+    leads.append(leads.to_insert(asked, people, now.select("telefono", "atendido").union(added.select("telefono", "atendido"))), path)
+    return spark.read.parquet(path).select("nombre", "telefono", "email", "vehiculo_interes", "comentarios", "source", "atendido")
+
+
+@query
+def lead_intake_stream(spark, d):
+    """Events as a stream of requests; a purchase answers the user's open lead."""
+    events = tables.stream(spark, d, "events")
+    asked = events.select(F.col("user_id").cast("string").alias("telefono"), F.col("event_id").alias("id"), F.col("ts").alias("created_at"), (F.col("event_type") == "purchase").alias("answered"))
+    told = intake.judged(asked, tables.profiles(spark, d), tables.leads(spark, d).limit(0))
+    path = new_folder(spark, "intake")
+    intake.start(told, path, new_folder(spark, "intake-state")).awaitTermination()
+    return spark.read.schema(told.schema).parquet(path).select("id", "telefono", "status")
+
+
+@query
+def quote_outbox(spark, d):
+    """Every customer's quote through a stream and an outbox whose transport fails at times.
+
+    Two batches run twice, as after a failure.
+    """
+    items, sent = tables.inventory(spark, d), new_folder(spark, "sent")
+    busy = F.when((F.col("request_id") % 35 == 0) | ((F.col("request_id") % 5 == 0) & (F.col("intento") == 1)), "ocupado")
+    box = outbox.Outbox(new_folder(spark, "outbox"), lambda due: due.withColumn("motivo", busy), outbox.to_folder(sent))
+    take = lambda asked, batch: box(outbox.messages(asked, items), batch)
+    asked = _asked(tables.stream(spark, d, "customer"), 11)
+    asked.writeStream.foreachBatch(take).option("checkpointLocation", new_folder(spark, "outbox-state")).trigger(availableNow=True).start().awaitTermination()
+    again = _asked(tables.read(spark, d, "customer"), 11)
+    for batch, rows in ((0, again), (1, again), (2, again.limit(0)), (2, again.limit(0))):
+        take(rows, batch)
+    delivered = spark.read.text(sent).select(F.sha2("value", 256).alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("veces"))
+    return box.latest(spark).withColumn("hash", F.sha2("value", 256)).join(delivered, "hash", "left").select("request_id", "intento", "enviado", "motivo", F.coalesce("veces", F.lit(0)).alias("veces"))
+
+
+@query
+def application_update(spark, d):
+    """All applications after every customer's changes, by keyed update of the written table."""
+    path = new_folder(spark, "applications")
+    applications.write(tables.applications(spark, d), path)
+    applications.update(spark, path, tables.status_changes(spark, d))
+    return applications.read(spark, path)
+
+
+@query
+def application_changes(spark, d):
+    return applications.judged(tables.applications(spark, d), tables.status_changes(spark, d))
+
+
+#: Documents that a kind of application needs: what a line item shows for one.
+NEEDED = {"1-URGENT": ("AF",), "2-HIGH": ("AF", "NO"), "3-MEDIUM": ("AF", "NO", "RF"), "4-NOT SPECIFIED": ("AF", "NO", "RF", "NF"), "5-LOW": ("XX", "NO")}
+
+
+@query
+def application_documents(spark, d):
+    needed = spark.createDataFrame([(k, v) for k, docs in NEEDED.items() for v in docs], "kind string, document string")
+    held = tables.read(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("application_id"), F.concat("l_returnflag", "l_linestatus").alias("document"))
+    found = applications.documents(tables.applications(spark, d), needed, held)
+    return found.withColumn("faltantes", F.array_join("faltantes", "|"))
+
+
+def _statuses(spark, d):
+    """Events as changes of a user's status."""
+    return tables.read(spark, d, "events").select(F.col("user_id").alias("key"), F.col("ts").alias("at"), F.col("event_id").alias("seq"), F.col("event_type").alias("status"))
+
+
+@query
+def status_intervals(spark, d):
+    return history.intervals(_statuses(spark, d))
+
+
+@query
+def status_as_of(spark, d):
+    """At the time of each event: the status of the user with the next number, and since when."""
+    asked = tables.read(spark, d, "events").select("event_id", (F.col("user_id") + 1).alias("key"), F.col("ts").alias("at"))
+    return history.as_of(asked, _statuses(spark, d))

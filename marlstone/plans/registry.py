@@ -1,8 +1,9 @@
-"""The named queries: name and values in, a lazy result out.
+"""The named queries: name and values in, a result out.
 
 A result holds the rows as a DataFrame, the corrections made to the given
-values, and a message where there is nothing to show.  Bad values raise
-``InvalidParams``; nothing is swallowed.
+values, and a message where there is nothing to show.  Rows of a query that has
+a limit are taken once, so that looking whether there are any doesn't run it
+twice.  Bad values raise ``InvalidParams``; nothing is swallowed.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ class Result:
     corrections: list[str] = field(default_factory=list)
     message: str | None = None
     flags: dict[str, bool] = field(default_factory=dict)
+    total: int | None = None
 
     def documents(self) -> DataFrame:
         """``value``: one JSON document for each row."""
@@ -73,6 +75,12 @@ def _price(value: float | None, name: str, log: list[str]) -> float | None:
     return full
 
 
+def _once(t: Tables, rows: DataFrame) -> tuple[DataFrame, int]:
+    """Rows of a limited query as a local table, and how many there are."""
+    found = rows.collect()
+    return t.spark.createDataFrame(found, rows.schema), len(found)
+
+
 def _suggestions(t: Tables, n: int) -> str:
     return ", ".join(r.candidate for r in terms.top_candidates(t.inventory, "marca", n).collect())
 
@@ -83,22 +91,21 @@ def search(t: Tables, p: P.Search) -> Result:
     model, no_model = _term(t, p.modelo, "modelo", t.models, log)
     low, high = _price(p.precio_minimo, "precio_minimo", log), _price(p.precio_maximo, "precio_maximo", log)
     texts = {"marca": brand, "modelo": model, "carroceria": p.tipo_carroceria, "transmision": p.transmision, "combustible": p.combustible}
-    rows = inventory.search(t.inventory, texts, {"autoano": p.ano_minimo, "precio": low}, {"autoano": p.ano_maximo, "precio": high}, int(p.limite))
+    found, counted = inventory.search_counted(t.inventory, texts, {"autoano": p.ano_minimo, "precio": low}, {"autoano": p.ano_maximo, "precio": high}, int(p.limite))
+    rows, n = _once(t, found)
     message = None
-    if rows.isEmpty():
+    if not n:
         message = "Nothing meets these conditions; try wider ones."
         if no_brand or no_model:
             unknown = " and ".join(v for v, no in ((p.marca, no_brand), (p.modelo, no_model)) if no and v)
             message = f"Nothing is known of {unknown}; there are {_suggestions(t, 10)}."
-    return Result(rows, log, message)
+    return Result(rows, log, message, total=counted.get["total"])
 
 
 def detail(t: Tables, p: P.Detail) -> Result:
     key = F.col("id") == p.id if p.id is not None else F.col("slug") == (p.slug or None)
-    found = t.inventory.where(key).limit(2)
-    one = found.count() == 1
-    rows = (found if one else found.limit(0)).select(*inventory.detail())
-    return Result(rows, message=None if one else "No such item.")
+    rows, n = _once(t, t.inventory.where(key).limit(2).select(*inventory.detail()))
+    return Result(rows if n == 1 else rows.limit(0), message=None if n == 1 else "No such item.")
 
 
 def alternatives(t: Tables, p: P.Alternatives) -> Result:
@@ -107,18 +114,18 @@ def alternatives(t: Tables, p: P.Alternatives) -> Result:
     budget = full_price_value(p.presupuesto)
     if budget != p.presupuesto:
         log.append(f"presupuesto: {p.presupuesto:g} → {budget:g}")
-    rows = inventory.alternatives(t.inventory, brand or "", budget)
-    message = f"Nothing from {budget * 0.8:,.0f} to {budget * 1.2:,.0f}; there are {_suggestions(t, 8)}." if rows.isEmpty() else None
+    rows, n = _once(t, inventory.alternatives(t.inventory, brand or "", budget))
+    message = None if n else f"Nothing from {budget * 0.8:,.0f} to {budget * 1.2:,.0f}; there are {_suggestions(t, 8)}."
     return Result(rows, log, message)
 
 
 def compare(t: Tables, p: P.Compare) -> Result:
-    rows = inventory.by_id(t.inventory, list(p.vehiculo_ids)).select(*inventory.comparison())
-    return Result(rows, message="Fewer than two such items." if rows.limit(2).count() < 2 else None)
+    rows, n = _once(t, inventory.by_id(t.inventory, list(p.vehiculo_ids)).select(*inventory.comparison()))
+    return Result(rows, message="Fewer than two such items." if n < 2 else None)
 
 
 def statistics(t: Tables, p: P.Nothing) -> Result:
-    rows = inventory.statistics(t.inventory)
+    rows, _ = _once(t, inventory.statistics(t.inventory))
     return Result(rows, message=None if rows.first().total_vehiculos else "The inventory is empty.")
 
 
@@ -132,8 +139,8 @@ def financing(t: Tables, p: P.Financing) -> Result:
 
 
 def question(t: Tables, p: P.Question) -> Result:
-    rows = knowledge.search(t.knowledge, p.pregunta, p.categoria)
-    return Result(rows, message="Nothing was found." if rows.isEmpty() else None)
+    rows, n = _once(t, knowledge.search(t.knowledge, p.pregunta, p.categoria))
+    return Result(rows, message=None if n else "Nothing was found.")
 
 
 def topic(t: Tables, p: P.Topic) -> Result:
@@ -142,8 +149,8 @@ def topic(t: Tables, p: P.Topic) -> Result:
 
 
 def frequent(t: Tables, p: P.Frequent) -> Result:
-    rows = knowledge.frequent(t.knowledge, p.categoria)
-    return Result(rows, message="Nothing was found." if rows.isEmpty() else None)
+    rows, n = _once(t, knowledge.frequent(t.knowledge, p.categoria))
+    return Result(rows, message=None if n else "Nothing was found.")
 
 
 def contact(t: Tables, p: P.Contact) -> Result:

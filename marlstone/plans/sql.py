@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marlstone.operators import knowledge
+from marlstone.operators import applications, knowledge
 from marlstone.sources import dictionaries
 
 INV = """
@@ -103,7 +103,7 @@ def cascade(names: dict[str, list[str]]) -> str:
 form AS (SELECT c_custkey, c_acctbal, fs[c_custkey * 7 % len(fs) + 1] AS f FROM customer, forms),
 typed AS (SELECT c_custkey, c_acctbal, CASE c_custkey % 4 WHEN 0 THEN f WHEN 1 THEN ' ' || upper(f) || '  ' WHEN 2 THEN substring(f, 1, 2) || 'x' || substring(f, 3, 40) ELSE f || ' zzz' END AS term FROM form),
 dict(k, v) AS (VALUES {", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in forms.items())}),
-cand AS (SELECT DISTINCT ns[p_partkey % len(ns) + 1] AS candidate FROM part, forms WHERE p_partkey % 2 = 0),
+cand AS (SELECT DISTINCT ns[p_partkey * 2 % len(ns) // 2 * 2 + 1] AS candidate FROM part, forms),
 near AS (SELECT term, arg_min(candidate, (dist, candidate)) AS from_near
   FROM (SELECT DISTINCT term, candidate, levenshtein({one_byte("term")}, {one_byte("candidate")}) AS dist FROM typed, cand) WHERE dist <= 2 GROUP BY term),
 found AS (SELECT c_custkey, c_acctbal, typed.term, coalesce(v, candidate, from_near, typed.term) AS corrected,
@@ -111,6 +111,8 @@ found AS (SELECT c_custkey, c_acctbal, typed.term, coalesce(v, candidate, from_n
   FROM typed LEFT JOIN dict ON lower(trim(typed.term)) = k LEFT JOIN cand ON lower(trim(typed.term)) = lower(candidate) LEFT JOIN near ON near.term = typed.term)"""
 
 
+#: Documents that a kind of application needs, as in the registered query.
+NEEDED = {"1-URGENT": ("AF",), "2-HIGH": ("AF", "NO"), "3-MEDIUM": ("AF", "NO", "RF"), "4-NOT SPECIFIED": ("AF", "NO", "RF", "NF"), "5-LOW": ("XX", "NO")}
 LEADS = """
 prof AS (SELECT CAST(c_custkey AS VARCHAR) AS phone FROM customer WHERE c_mktsegment = 'BUILDING'),
 lead AS (SELECT CAST(event_id AS VARCHAR) AS id, event_type AS nombre, CAST(user_id AS VARCHAR) AS telefono, event_type <> 'signup' AS atendido, ts AS created_at FROM events),
@@ -123,7 +125,40 @@ PAYLOAD = f"""WITH {INV}, a AS (
 ), b AS (SELECT *, precio * pct / 100 AS down, precio - precio * pct / 100 AS financed, pow(1 + 15.0::DOUBLE / 100 / 12, months) AS grown FROM a),
 m AS (SELECT *, financed * (15.0::DOUBLE / 100 / 12) * grown / nullif(grown - 1, 0) AS monthly FROM b)"""
 
+#: Status changes: the allowed ones, applications, and each one's two changes.
+CHANGES = f"""
+ok(s, t) AS (VALUES {", ".join(f"('{s}', '{t}')" for s, ts in applications.ALLOWED.items() for t in ts)}),
+names AS (SELECT [{", ".join(f"'{s}'" for s in applications.STATUSES)}] AS ns),
+app AS (SELECT CAST(o_orderkey AS VARCHAR) AS application_id, CAST(o_custkey AS VARCHAR) AS user_id, o_orderpriority AS kind, ns[o_orderkey % 9 + 1] AS status FROM orders, names),
+ch AS (SELECT CAST(c_custkey * 11 AS VARCHAR) AS application_id, ns[(c_custkey * 11 + 1) % 9 + 1] AS n1, ns[c_custkey % 9 + 1] AS n2, 'nota ' || c_custkey AS nota FROM customer, names),
+one AS (SELECT ch.*, app.status AS given, app.application_id IS NOT NULL AS known, o.t IS NOT NULL AS fits1, CASE WHEN o.t IS NOT NULL THEN n1 ELSE app.status END AS s1
+  FROM ch LEFT JOIN app ON app.application_id = ch.application_id LEFT JOIN ok o ON o.s = app.status AND o.t = n1),
+two AS (SELECT one.*, o.t IS NOT NULL AS fits2, CASE WHEN o.t IS NOT NULL THEN n2 ELSE s1 END AS s2 FROM one LEFT JOIN ok o ON o.s = s1 AND o.t = n2)"""
+
 ORACLE_SQL = {
+    "inventory_search_total": f"WITH {INV}, f AS (SELECT * FROM live WHERE marca ILIKE '%build%' AND precio >= 2000 AND autoano <= 1997) SELECT id, {TITLE} AS titulo, {money('precio')} AS precio, (SELECT count(*) FROM f) AS total FROM (SELECT * FROM f ORDER BY precio, id LIMIT 5)",
+    "lead_append": f"""WITH {LEADS} SELECT nombre, telefono, nullif(email, '') AS email, vehiculo_interes, comentarios, 'chat_widget' AS source, false AS atendido FROM req
+WHERE telefono NOT IN (SELECT phone FROM prof) AND telefono NOT IN (SELECT telefono FROM lead WHERE NOT atendido)""",
+    "lead_intake_stream": f"""WITH {LEADS}, e AS (SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS telefono, ts, event_type = 'purchase' AS answered FROM events),
+b AS (SELECT *, coalesce(NOT lag(answered) OVER w AND ts - lag(ts) OVER w < INTERVAL 30 DAY, false) AS is_open FROM e WINDOW w AS (PARTITION BY telefono ORDER BY ts, id))
+SELECT id, telefono, CASE WHEN telefono IN (SELECT phone FROM prof) THEN 'perfil' WHEN answered THEN CASE WHEN is_open THEN 'respondido' ELSE 'sin_lead' END WHEN is_open THEN 'lead_abierto' ELSE 'nuevo' END AS status FROM b""",
+    "quote_outbox": f"""WITH {INV}, r AS (SELECT c_custkey AS request_id, c_custkey * 11 IN (SELECT id FROM inv GROUP BY id HAVING count(*) = 1) AS there FROM customer),
+o AS (SELECT request_id, CASE WHEN NOT there THEN 1 WHEN request_id % 35 = 0 THEN 3 WHEN request_id % 5 = 0 THEN 2 ELSE 1 END AS intento, there AND request_id % 35 <> 0 AS enviado, there FROM r)
+SELECT request_id, intento, enviado, CASE WHEN NOT there THEN 'sin_vehiculo' WHEN NOT enviado THEN 'ocupado' END AS motivo, CAST(enviado AS BIGINT) AS veces FROM o""",
+    "application_update": f"""WITH {CHANGES} SELECT app.application_id, user_id, kind, CASE WHEN fits1 OR fits2 THEN s2 ELSE status END AS status, CASE WHEN fits1 OR fits2 THEN nota END AS notas
+FROM app LEFT JOIN two ON two.application_id = app.application_id""",
+    "application_changes": f"""WITH {CHANGES} SELECT application_id, 1 AS seq, n1 AS nuevo_status, nota AS notas, CASE WHEN NOT known THEN 'desconocida' WHEN fits1 THEN 'aplicado' ELSE 'no_permitido' END AS outcome, s1 AS status FROM two
+UNION ALL SELECT application_id, 2, n2, nota, CASE WHEN NOT known THEN 'desconocida' WHEN fits2 THEN 'aplicado' ELSE 'no_permitido' END, CASE WHEN known THEN s2 END FROM two""",
+    "application_documents": f"""WITH {CHANGES}, need(kind, document) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, docs in NEEDED.items() for v in docs)}),
+held AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS application_id, l_returnflag || l_linestatus AS document FROM lineitem),
+m AS (SELECT app.application_id, app.kind, count(held.document) AS presentes, count(need.document) AS requeridos, coalesce(string_agg(need.document, '|' ORDER BY need.document) FILTER (held.document IS NULL), '') AS faltantes
+  FROM app LEFT JOIN need ON need.kind = app.kind LEFT JOIN held ON held.application_id = app.application_id AND held.document = need.document GROUP BY app.application_id, app.kind)
+SELECT *, CASE WHEN presentes = requeridos THEN 'completo' WHEN presentes > 0 THEN 'parcial' ELSE 'ninguno' END AS estado FROM m""",
+    "status_intervals": """WITH l AS (SELECT user_id AS key, ts, arg_max(event_type, event_id) AS status FROM events GROUP BY user_id, ts),
+b AS (SELECT *, lag(status) OVER w AS before, row_number() OVER w AS n FROM l WINDOW w AS (PARTITION BY key ORDER BY ts))
+SELECT key, status, ts AS valid_from, lead(ts) OVER (PARTITION BY key ORDER BY ts) AS valid_to FROM b WHERE n = 1 OR status IS DISTINCT FROM before""",
+    "status_as_of": """WITH c AS (SELECT user_id AS key, ts, arg_max(event_type, event_id) AS status FROM events GROUP BY user_id, ts)
+SELECT e.event_id, e.user_id + 1 AS key, e.ts AS at, c.status, c.ts AS since FROM events e ASOF LEFT JOIN c ON e.user_id + 1 = c.key AND e.ts >= c.ts""",
     "base_filter": f"WITH {INV} SELECT id, marca, precio FROM live",
     "inventory_search": search("marca ILIKE '%machin%' AND precio >= 50000", 5),
     "inventory_search_all_filters": search("marca ILIKE '%build%' AND modelo ILIKE '%urgent%' AND carroceria ILIKE '%1-%' AND transmision ILIKE '%o%' AND combustible ILIKE '%ing%' AND autoano BETWEEN 1996 AND 2000 AND precio BETWEEN 2000 AND 400000", 20),
@@ -158,10 +193,10 @@ SELECT total AS total_vehiculos, {money("precio_minimo")} AS minimo, {money("pre
     "finance_zero_rate": quotes(36, 0.0),
     "finance_zero_term": quotes(0, 15.0),
     "quote_payload_json": f"""{PAYLOAD}
-SELECT request_id, CAST(json_object('to', "to", 'subject', 'Cotización: ' || {TITLE}, 'type', 'cotizacion', 'data', json_object('nombre_cliente', nombre_cliente,
+SELECT request_id, CAST(json_merge_patch('{{}}', json_object('to', "to", 'subject', 'Cotización: ' || {TITLE}, 'type', 'cotizacion', 'data', json_object('nombre_cliente', nombre_cliente,
   'vehiculo', json_object('titulo', {TITLE}, 'marca', marca, 'modelo', modelo, 'ano', autoano, 'precio', {money("precio")}, 'url', coalesce({URL}, '')),
-  'financiamiento', json_object('enganche_porcentaje', pct, 'enganche', {money("down")}, 'monto_a_financiar', {money("financed")}, 'tasa_anual', '15%', 'plazo_meses', months, 'mensualidad_estimada', {money("floor(monthly + 0.5)")}))) AS VARCHAR) AS value
-FROM m WHERE monthly IS NOT NULL""",
+  'financiamiento', json_object('enganche_porcentaje', pct, 'enganche', {money("down")}, 'monto_a_financiar', {money("financed")}, 'tasa_anual', '15%', 'plazo_meses', months, 'mensualidad_estimada', {money("floor(monthly + 0.5)")})))) AS VARCHAR) AS value
+FROM m""",
     "quote_payload": f"""{PAYLOAD}
 SELECT request_id, "to", 'Cotización: ' || {TITLE} AS subject, 'cotizacion' AS type, nombre_cliente, {TITLE} AS titulo, marca, modelo, autoano AS ano, coalesce({URL}, '') AS url, {money("precio")} AS precio,
   pct AS enganche_porcentaje, {money("down")} AS enganche, {money("financed")} AS monto_a_financiar, '15%' AS tasa_anual, CAST(months AS INTEGER) AS plazo_meses, {money("floor(monthly + 0.5)")} AS mensualidad_estimada FROM m""",

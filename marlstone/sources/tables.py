@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.operators.applications import STATUSES
 from marlstone.sources import schemas
 
 
@@ -12,6 +13,12 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The same table as a stream of its files."""
+    schema = read(spark, folder, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as an inventory of 30 columns."""
     orders, customer, nation = (read(spark, folder, t) for t in ("orders", "customer", "nation"))
@@ -109,3 +116,19 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_mktsegment").alias("vehiculo_interes"),
         F.lit(None).cast("string").alias("comentarios"),
     )
+
+
+def applications(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as credit applications."""
+    key = F.col("o_orderkey")
+    status = F.element_at(F.array(*map(F.lit, STATUSES)), (key % len(STATUSES) + 1).cast("int"))
+    return read(spark, folder, "orders").select(key.cast("string").alias("application_id"), F.col("o_custkey").cast("string").alias("user_id"), F.col("o_orderpriority").alias("kind"), status.alias("status"), F.lit(None).cast("string").alias("notas"))
+
+
+def status_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Two changes that each customer asks for; some applications aren't known."""
+    key = F.col("c_custkey")
+    at = lambda n: F.element_at(F.array(*map(F.lit, STATUSES)), (n % len(STATUSES) + 1).cast("int"))
+    two = F.explode(F.array(F.struct(F.lit(1).alias("seq"), at(key * 11 + 1).alias("nuevo_status")), F.struct(F.lit(2).alias("seq"), at(key).alias("nuevo_status"))))
+    rows = read(spark, folder, "customer").select("c_custkey", two.alias("c"))
+    return rows.select((key * 11).cast("string").alias("application_id"), "c.*", F.concat(F.lit("nota "), key.cast("string")).alias("notas"))
