@@ -1,14 +1,13 @@
 """Source divergence audit over a minimal acyclic transducer vocabulary.
 
 One pass over the texts counts in how many documents of its language each term
-is; the terms of ``LEAST`` or more are the vocabulary.  A second pass counts the
-terms of every (lang, source) and streams them through transducers.  Spark deals
-vocabulary and counted terms by one range of keys (lang, 0, term) and sorts them,
-so a task first sees its sorted part of the vocabulary, builds minimal acyclic
-transducers of it (of ``KEYS`` keys each), and then recounts what follows: a term
-that its transducer takes comes out as its ordinal, the others end there.
-Ordinals are lexicographic: the partition's number above the number of keys
-before.  From there on terms are ordinals, which also settle ties.
+is; the terms of ``LEAST`` or more are the vocabulary, which Spark sorts, so that
+each has a lexicographic ordinal.  A second pass cuts the texts into terms again
+and streams them through transducers: vocabulary and terms are dealt by one hash
+of language and term, a task first sees its sorted part of the vocabulary (of
+some ``KEYS`` terms), builds the minimal acyclic transducer of it, and then
+recounts what follows: a term that the transducer takes comes out as its ordinal,
+the others end there.  From there on terms are ordinals, which also settle ties.
 
 Counts stay sparse.  The value of a pair of sources is summed over the terms that
 either has; all other terms have the same value, which is multiplied.
@@ -16,17 +15,18 @@ either has; all other terms have the same value, which is multiplied.
 Defined results: a null text, lang or source is ''; rows are documents, so equal
 rows count each; a language without kept terms has pairs of value 0; an empty
 table has no rows out; extra columns are ignored.  Texts go through in stretches.
+The sources of a language that share a term meet in one row: their pairs are
+rows of the result in any case.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,9 +34,9 @@ from marlstone.llm.common import drop, durable, runs_of, text_of
 
 LEAST, RANKS, SCALE = 3, 200, 1_000_000_000
 #: Bytes of texts taken together; pairs of sources expanded together.
-AT_ONCE, EXPANDED = 4 << 20, 1 << 20
-#: Bits of an ordinal below the partition's number; keys in one transducer.
-LOCAL, KEYS = 40, 1 << 17
+AT_ONCE, EXPANDED = 12 << 20, 1 << 20
+#: Terms of the vocabulary in one task, about.
+KEYS = 1 << 17
 
 # terms are made of ASCII letters and all other characters beyond ASCII
 _LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -96,45 +96,39 @@ def _sum_by(group: np.ndarray, terms: pa.Array, weight: np.ndarray) -> tuple[np.
 
 
 def _in_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, term, df: in how many of some documents each term is."""
+    """l, term, df: in how many of some documents of a language each term is."""
 
-    def out(langs: pa.Array, document: np.ndarray, terms: pa.Array) -> pa.RecordBatch:
+    def out(langs: np.ndarray, document: np.ndarray, terms: pa.Array) -> pa.RecordBatch:
         document, terms, _ = _sum_by(document, terms, np.ones(len(terms), np.int64))  # once a document
-        names = langs.dictionary_encode()
-        group, terms, df = _sum_by(names.indices.to_numpy().astype(np.int64)[document], terms, np.ones(len(terms), np.int64))
-        return pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(group)), terms, pa.array(df)], names=["lang", "term", "df"])
+        names, code = np.unique(langs, return_inverse=True)
+        group, terms, df = _sum_by(code[document], terms, np.ones(len(terms), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(names[group]), terms, pa.array(df)], names=["l", "term", "df"])
 
     for batch in batches:
-        long: list[pa.Array] = []  # the terms of a text in several stretches
-        owner = None
+        long, owner = pa.array([], pa.binary()), None  # the terms of a text in several stretches
         for part, document, terms in _runs(batch):
-            if not len(terms):
-                continue
             if part.num_rows > 1:
-                yield out(part.column("lang"), document, terms)
+                if len(terms):
+                    yield out(part.column("l").to_numpy(), document, terms)
                 continue
-            if long and owner is not part:
-                found = pa.concat_arrays(long)
-                yield out(owner.column("lang"), np.zeros(len(found), np.int64), found)
-                long = []
-            owner = part
-            long = [pc.unique(pa.concat_arrays([*long, pc.unique(terms)]))]
-        if long:
-            found = long[0]
-            yield out(owner.column("lang"), np.zeros(len(found), np.int64), found)
+            if owner is not part:
+                if len(long):
+                    yield out(owner.column("l").to_numpy(), np.zeros(len(long), np.int64), long)
+                long, owner = pa.array([], pa.binary()), part
+            long = pc.unique(pa.concat_arrays([long, pc.unique(terms)]))
+        if len(long):
+            yield out(owner.column("l").to_numpy(), np.zeros(len(long), np.int64), long)
 
 
 def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, source, term, n: how often each term is in some documents of a group."""
+    """l, g, term, n: how often each term is in some documents of a group."""
     for batch in batches:
         for part, document, terms in _runs(batch):
             if not len(terms):
                 continue
-            lang, source = (part.column(c).dictionary_encode() for c in ("lang", "source"))
-            group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
-            group, found, n = _sum_by(group[document], terms, np.ones(len(terms), np.int64))
-            names = [lang.dictionary.take(pa.array(group // len(source.dictionary))), source.dictionary.take(pa.array(group % len(source.dictionary)))]
-            yield pa.RecordBatch.from_arrays([*names, found, pa.array(n)], names=["lang", "source", "term", "n"])
+            names, first, code = np.unique(part.column("g").to_numpy(), return_index=True, return_inverse=True)
+            group, found, n = _sum_by(code[document], terms, np.ones(len(terms), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(part.column("l").to_numpy()[first][group]), pa.array(names[group]), found, pa.array(n)], names=["l", "g", "term", "n"])
 
 
 class Transducer:
@@ -222,46 +216,35 @@ class Transducer:
 
 
 def _recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, source, ord, n, term of rows sorted so that the vocabulary comes first.
+    """l, g, ord, n of the counted terms that are in the vocabulary.
 
-    A row of the vocabulary, which has no n, comes out with its ordinal and
-    term; a counted term with its ordinal, if it is in the vocabulary.
+    Rows of the vocabulary, which have no n, come first, by language and term.
     """
-    part = TaskContext.get().partitionId() << LOCAL
-    machines: list[tuple[bytes, int, Transducer]] = []  # first key, keys before it
-    open_: Transducer | None = None
-    n = 0
+    machines: dict[int, tuple[Transducer, list[np.ndarray]]] = {}
+    ready: dict[int, tuple[Transducer, np.ndarray]] = {}
     for batch in batches:
         counted = pc.is_valid(batch.column("n"))
         words = batch.filter(pc.invert(counted))
-        if words.num_rows:
-            for i, key in enumerate(words.column("key").to_pylist(), n):
-                if open_ is None or open_.n == KEYS:
-                    if open_ is not None:
-                        open_.finish()
-                    open_ = Transducer()
-                    machines.append((key, i, open_))
-                open_.add(key)
-            ordinal = pa.array(np.arange(n, n + words.num_rows) + part)
-            n += words.num_rows
-            none = pa.nulls(words.num_rows, pa.string())
-            yield pa.RecordBatch.from_arrays([words.column("lang"), none, ordinal, pa.nulls(words.num_rows, pa.int64()), words.column("term").cast(pa.string())], names=["lang", "source", "ord", "n", "term"])
+        langs = words.column("l").to_numpy(zero_copy_only=False)
+        for cut in np.split(np.arange(langs.size), np.flatnonzero(langs[1:] != langs[:-1]) + 1) if langs.size else []:
+            machine, ordinals = machines.setdefault(int(langs[cut[0]]), (Transducer(), []))
+            some = words.slice(int(cut[0]), cut.size)
+            for key in some.column("term").to_pylist():
+                machine.add(key)
+            ordinals.append(some.column("ord").to_numpy(zero_copy_only=False))
         rest = batch.filter(counted)
-        if rest.num_rows and machines:
-            if open_ is not None:
-                open_.finish()
-                open_ = None
-            keys = rest.column("key")
-            ordinal = np.full(rest.num_rows, -1, np.int64)
-            # both are sorted, so each transducer has a stretch of the rows
-            cuts = [0, *(bisect_left(keys, first, key=lambda k: k.as_py()) for first, _, _ in machines[1:]), rest.num_rows]
-            for (_, before, machine), lo, hi in zip(machines, cuts, cuts[1:]):
-                if lo < hi:
-                    own = machine.ordinals(keys.slice(lo, hi - lo))
-                    ordinal[lo:hi] = np.where(own < 0, -1, own + before)
-            kept = pa.array(ordinal >= 0)
-            rest, ordinal = rest.filter(kept), pa.array(ordinal[ordinal >= 0] + part)
-            yield pa.RecordBatch.from_arrays([rest.column("lang"), rest.column("source"), ordinal, rest.column("n"), pa.nulls(rest.num_rows, pa.string())], names=["lang", "source", "ord", "n", "term"])
+        langs = rest.column("l").to_numpy(zero_copy_only=False)
+        for lang in np.unique(langs).tolist():
+            if lang not in machines:
+                continue
+            if lang not in ready:
+                machine, ordinals = machines[lang]
+                ready[lang] = machine.finish(), np.concatenate(ordinals)
+            machine, ordinals = ready[lang]
+            own = rest.filter(pa.array(langs == lang))
+            number = machine.ordinals(own.column("term"))
+            own, number = own.filter(pa.array(number >= 0)), number[number >= 0]
+            yield pa.RecordBatch.from_arrays([own.column("l"), own.column("g"), pa.array(ordinals[number]), own.column("n")], names=["l", "g", "ord", "n"])
 
 
 def _divided(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -269,21 +252,18 @@ def _divided(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, source, item, value: of the sources that share a term, what each
-    pair gains by that over what it has where only one or neither has the term."""
+    """g, other, value: of the sources that share a term, what each pair gains by
+    that over what it has where only one or neither has the term."""
     for batch in batches:
         groups = batch.column("groups")
         size = np.diff(groups.offsets.to_numpy()).astype(np.int64)
         flat = groups.flatten()
-        name = flat.field("source").dictionary_encode()
-        code, p, p0 = name.indices.to_numpy().astype(np.int64), flat.field("p").to_numpy(), flat.field("p0").to_numpy()
-        lang = batch.column("lang").dictionary_encode()
-        langs = np.repeat(lang.indices.to_numpy().astype(np.int64), size)
+        name, code = np.unique(flat.field("g").to_numpy(), return_inverse=True)
+        p, p0 = flat.field("p").to_numpy(), flat.field("p0").to_numpy()
         first = np.repeat(np.cumsum(size) - size, size)  # of the row's own sources
         times = np.repeat(size, size)
-        k = len(name.dictionary)
-        lo = 0
         ends = np.cumsum(times)
+        lo = 0
         while lo < code.size:
             hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + EXPANDED, "right")))
             n = times[lo:hi]
@@ -292,13 +272,12 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             other = a != b
             a, b = a[other], b[other]
             value = _divided(p[a], p[b]) - _divided(p[a], p0[b]) - _divided(p0[a], p[b]) + _divided(p0[a], p0[b])
-            key = (langs[a] * k + code[a]) * k + code[b]
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: key.size]
-            sums = np.add.reduceat(value[order], cut) if key.size else value
-            key = key[cut]
-            yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(key // (k * k))), name.dictionary.take(pa.array(key // k % k)), name.dictionary.take(pa.array(key % k)), pa.array(sums)], names=["lang", "source", "item", "value"])
+            pair = code[a] * len(name) + code[b]
+            order = np.argsort(pair, kind="stable")
+            pair = pair[order]
+            cut = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))[: pair.size]
+            sums = np.add.reduceat(value[order], cut) if pair.size else value
+            yield pa.RecordBatch.from_arrays([pa.array(name[pair[cut] // len(name)]), pa.array(name[pair[cut] % len(name)]), pa.array(sums)], names=["g", "other", "value"])
             lo = hi
 
 
@@ -311,59 +290,75 @@ def _gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
+def _numbered(named: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """(lang, source, l, g), one row a group, and the 64-bit numbers of a
+    language and of a group as columns: hashes, salted so that no two are equal."""
+    groups = durable(named.select("lang", "source").distinct())
+    for salt in count():
+        lang, group = F.xxhash64(F.lit(salt), "lang"), F.xxhash64(F.lit(salt), "lang", "source")
+        found = groups.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(group).alias("g"), F.count_distinct("lang").alias("langs"), F.count_distinct(lang).alias("l")).first()
+        if (found.n, found.langs) == (found.g, found.l):
+            named_ = groups.withColumns({"l": lang, "g": group})
+            named_.cut_path = groups.cut_path
+            return named_, lang, group
+
+
 def audit(docs: DataFrame, least: int = LEAST, ranks: int = RANKS) -> DataFrame:
     """lang, source, part, item, value and rank; see the module's text.
 
     Part ``pair`` compares each source with each other one of its language, part
     ``term`` lists the ``ranks`` terms by which it differs most from the language.
     """
+    spark = docs.sparkSession
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     named = docs.select(blank("lang").alias("lang"), blank("source").alias("source"), text_of().alias("text"))
-    seen = named.select("lang", "text").mapInArrow(_in_documents, "lang string, term binary, df long")
-    kept = durable(seen.groupBy("lang", "term").agg(F.sum("df").alias("df")).where(F.col("df") >= least).select("lang", "term"))
-    counted = durable(named.mapInArrow(_in_groups, "lang string, source string, term binary, n long"))
-
-    none = F.lit(None)
-    key = F.concat(F.encode("lang", "UTF-8"), F.lit(b"\0"), F.col("term")).alias("key")
-    rows = kept.select(key, "lang", none.cast("string").alias("source"), "term", none.cast("long").alias("n")).union(counted.select(key, "lang", "source", none.cast("binary"), "n"))
-    dealt = rows.repartitionByRange("key").sortWithinPartitions(F.col("n").isNotNull(), "key")
-    coded = durable(dealt.mapInArrow(_recount, "lang string, source string, ord long, n long, term string"))
-    drop(counted, kept)
-    terms = coded.where("n is null").select("lang", "ord", "term")
-    counts = durable(coded.where("n is not null").groupBy("lang", "source", "ord").agg(F.sum("n").alias("n")))
+    names, lang, group = _numbered(named)
+    seen = named.select(lang.alias("l"), "text").mapInArrow(_in_documents, "l long, term binary, df long")
+    kept = durable(seen.groupBy("l", "term").agg(F.sum("df").alias("df")).where(F.col("df") >= least).select("l", "term"))
+    # numbers of rows in order: the partition's number, then the place in it
+    terms = durable(kept.repartitionByRange("l", "term").sortWithinPartitions("l", "term").select("l", "term", F.monotonically_increasing_id().alias("ord")))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-terms.count() // KEYS))
+    counted = named.select(lang.alias("l"), group.alias("g"), "text").mapInArrow(_in_groups, "l long, g long, term binary, n long")
+    none = F.lit(None).cast("long")
+    rows = terms.select("l", none.alias("g"), "term", none.alias("n"), "ord").union(counted.select("l", "g", "term", "n", none))
+    word = F.col("n").isNull()
+    dealt = rows.repartition(parts, "l", "term").sortWithinPartitions(~word, F.when(word, F.col("l")), F.when(word, F.col("term")))
+    counts = durable(dealt.mapInArrow(_recount, "l long, g long, ord long, n long").groupBy("l", "g", "ord").agg(F.sum("n").alias("n")))
+    drop(kept)
 
     # one row a language and one a group, also of those without terms
     total, size = F.coalesce("total", F.lit(0)), F.coalesce("size", F.lit(0))
-    sizes = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("own"))
-    groups = named.select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(sizes, "lang", "left")
-    groups = durable(groups.select("lang", "source", size.alias("size"), (total + size).alias("mass"), F.coalesce("own", F.lit(0)).alias("own")).withColumn("p0", F.when(F.col("mass") > 0, _share(F.lit(0), F.col("mass")))))
-    shared = durable(counts.join(groups.select("lang", "source", "mass", "p0"), ["lang", "source"]).select("lang", "source", "ord", "n", _share(F.col("n"), F.col("mass")).alias("p"), "p0"))
+    sizes = terms.groupBy("l").agg(F.count(F.lit(1)).alias("size"))
+    sums = counts.groupBy("g").agg(F.sum("n").alias("total"))
+    groups = names.join(sums, "g", "left").join(sizes, "l", "left").select("lang", "source", "l", "g", size.alias("size"), (total + size).alias("mass"))
+    groups = durable(groups.withColumn("p0", F.when(F.col("mass") > 0, _share(F.lit(0), F.col("mass")))))
+    shared = durable(counts.join(groups.select("g", "mass", "p0"), "g").select("l", "g", "ord", "n", _share(F.col("n"), F.col("mass")).alias("p"), "p0"))
     drop(counts)
 
     # terms that a group has more often than its language
-    whole = shared.groupBy("lang", "ord").agg(F.sum("n").alias("all"))
-    masses = groups.groupBy("lang").agg((F.sum("mass") - (F.count(F.lit(1)) - 1) * F.max("size")).alias("mass"))
-    usual = whole.join(masses, "lang").select("ord", _share(F.col("all"), F.col("mass")).alias("q"))
-    over = shared.join(usual, "ord").where("p > q").select("lang", "source", "ord", _gap(F.col("p"), F.col("q")).alias("value"))
-    nth = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "ord"))
+    whole = shared.groupBy("l", "ord").agg(F.sum("n").alias("all"))
+    masses = groups.groupBy("l").agg((F.sum("mass") - (F.count(F.lit(1)) - 1) * F.max("size")).alias("mass"))
+    usual = whole.join(masses, "l").select("ord", _share(F.col("all"), F.col("mass")).alias("q"))
+    over = shared.join(usual, "ord").where("p > q").select("g", "ord", _gap(F.col("p"), F.col("q")).alias("value"))
+    nth = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("value"), "ord"))
     best = over.withColumn("rank", nth).where(F.col("rank") <= ranks)
-    listed = best.join(terms.select("ord", "term"), "ord").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
+    listed = best.join(terms.select("ord", F.col("term").cast("string").alias("item")), "ord").join(groups.select("g", "lang", "source"), "g")
+    listed = listed.select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")
 
     # pairs: all terms as if neither had them, then those of the one, of the other, and of both
-    one, two = (groups.select("lang", F.col("source").alias(s), "size", F.col("p0").alias(p)) for s, p in (("source", "a0"), ("item", "b0")))
-    pairs = one.join(two.drop("size"), "lang").where("source <> item")
-    base = pairs.select("lang", "source", "item", F.coalesce(F.col("size") * _gap(F.col("a0"), F.col("b0")), F.lit(0)).alias("value"))
-    levels = shared.groupBy("lang", "source", "p", "p0").agg(F.count(F.lit(1)).alias("times"))
-    mine = levels.join(two.drop("size"), "lang").where("source <> item")
-    mine = mine.select("lang", "source", "item", (F.col("times") * (_gap(F.col("p"), F.col("b0")) - _gap(F.col("p0"), F.col("b0")))).alias("value"))
-    theirs = levels.withColumnRenamed("source", "item").join(one.drop("size"), "lang").where("source <> item")
-    theirs = theirs.select("lang", "source", "item", (F.col("times") * (_gap(F.col("a0"), F.col("p")) - _gap(F.col("a0"), F.col("p0")))).alias("value"))
-    bags = shared.groupBy("lang", "ord").agg(F.collect_list(F.struct("source", "p", "p0")).alias("groups")).where(F.size("groups") > 1)
-    both = bags.select("lang", "groups").mapInArrow(_met, "lang string, source string, item string, value long")
-    summed = base.union(mine).union(theirs).union(both).groupBy("lang", "source", "item").agg(F.sum(F.col("value").cast("decimal(38,0)")).cast("long").alias("value"))
-    place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
-    compared = summed.select("lang", "source", F.lit("pair").alias("part"), "item", "value", place.alias("rank"))
+    one, two = (groups.select("l", F.col("g").alias(s), "size", F.col("p0").alias(p)) for s, p in (("g", "a0"), ("other", "b0")))
+    base = one.join(two.drop("size"), "l").where("g <> other").select("g", "other", F.coalesce(F.col("size") * _gap(F.col("a0"), F.col("b0")), F.lit(0)).alias("value"))
+    levels = shared.groupBy("l", "g", "p", "p0").agg(F.count(F.lit(1)).alias("times"))
+    mine = levels.join(two.drop("size"), "l").where("g <> other")
+    mine = mine.select("g", "other", (F.col("times") * (_gap(F.col("p"), F.col("b0")) - _gap(F.col("p0"), F.col("b0")))).alias("value"))
+    theirs = levels.withColumnRenamed("g", "other").join(one.drop("size"), "l").where("g <> other")
+    theirs = theirs.select("g", "other", (F.col("times") * (_gap(F.col("a0"), F.col("p")) - _gap(F.col("a0"), F.col("p0")))).alias("value"))
+    bags = shared.groupBy("l", "ord").agg(F.collect_list(F.struct("g", "p", "p0")).alias("groups")).where(F.size("groups") > 1)
+    both = bags.select("groups").mapInArrow(_met, "g long, other long, value long")
+    summed = base.union(mine).union(theirs).union(both).groupBy("g", "other").agg(F.sum(F.col("value").cast("decimal(38,0)")).cast("long").alias("value"))
+    shown = summed.join(groups.select("g", "lang", "source"), "g").join(groups.select(F.col("g").alias("other"), F.col("source").alias("item")), "other")
+    place = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("value"), "item"))
+    compared = shown.select("lang", "source", F.lit("pair").alias("part"), "item", "value", place.alias("rank"))
     done = durable(compared.union(listed))
-    drop(coded, groups, shared)
+    drop(terms, groups, shared, names)
     return done
