@@ -83,6 +83,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in there.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(there)]
+
+
 def drop(*cuts: DataFrame) -> None:
     """Deletes what :func:`durable` wrote for these, once nothing reads them any more."""
     for cut in cuts:
@@ -172,32 +178,3 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     _, down = powers(prefix.size)
     raw = (prefix[end] - prefix[start]) * down[start]
     return mix64(raw + (end - start).astype(np.uint64) * _MUL)
-
-
-def word_hashes(text: str) -> np.ndarray:
-    """A hash for each word of the lower-cased text, in order."""
-    data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
-    if not data.size:
-        return np.empty(0, np.uint64)
-    solid = np.concatenate(([False], ~((data == 32) | ((data >= 9) & (data <= 13))), [False]))
-    edges = np.flatnonzero(solid[1:] != solid[:-1])
-    return span_hash(prefix_hash(data), edges[0::2], edges[1::2])
-
-
-def shingles(text: str, width: int = 5) -> np.ndarray:
-    """The sorted distinct hashes of all runs of ``width`` words.
-
-    A text of fewer words, but one at least, has one shingle of all its words;
-    a text without words has none.
-    """
-    words = word_hashes(text)
-    if not words.size:
-        return words
-    take = min(width, words.size)
-    n = words.size - take + 1
-    # word hashes are spread evenly already, so a polynomial of them is as good as one
-    out = words[:n].copy()
-    for i in range(1, take):
-        out *= _MUL
-        out += words[i : i + n]
-    return np.unique(mix64(out))

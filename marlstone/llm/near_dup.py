@@ -14,6 +14,14 @@ Buckets with the same members are looked at once, and one with many members is
 cut into blocks, so that no task holds more than two blocks.  Signatures meet
 first; texts go only to the block pairs in which they have a candidate.
 
+Many near copies of one text would make all pairs of a large bucket.  They are
+told from a middle first: the shingles that most of a bounded sample of such a
+bucket have.  As 1 - Jaccard is a metric, two documents that are both nearer to
+the middle than half the way to the threshold are a link without being compared;
+such documents form a *core*, whose links are counted by their number.  Pairs
+within a core are left out of the buckets, and so a core's blocks never meet.
+Any middle gives right results; a good one leaves little to compare.
+
 A hub of many links, a root of many documents or a class of many copies is a
 hot key of a sort-merge join, of whose larger side Spark's adaptive execution
 splits hot partitions; sums and minima are taken on the map side first.
@@ -33,14 +41,17 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import drop, durable, mix64, shingles, text_of
+from marlstone.llm.common import drop, durable, mix64, text_of
+from marlstone.llm.words import shingles
 
 BANDS, ROWS, STEP = 20, 4, 16
 HASHES = BANDS * ROWS
 BLOCK_DOCS, BLOCK_SHINGLES = 384, 3_000_000
+#: Documents whose shingles make a middle, and how many these may have at most.
+SAMPLE, SAMPLE_SHINGLES = 64, 200_000
 
 
 def _multipliers() -> np.ndarray:
@@ -75,8 +86,8 @@ def least_matches(n: int, threshold: float, tolerance: float) -> int:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         k1, k2, n, sig = [], [], [], []
-        for text in batch.column("text").to_pylist():
-            found = shingles(text)
+        for text in batch.column("text"):  # one at a time becomes a string
+            found = shingles(text.as_py())
             k1.append(int(found.sum(dtype=np.uint64).view(np.int64)))
             k2.append(int(mix64(found).sum(dtype=np.uint64).view(np.int64)))
             n.append(found.size)
@@ -109,10 +120,10 @@ def _blocks(frame: pd.DataFrame, threshold: float, floors: list[tuple[int, int]]
     order = np.lexsort((own, pair))
     pair, own = pair[order], own[order]
     sig = np.frombuffer(b"".join(frame.sig), np.uint32).reshape(len(frame), HASHES)[order]
-    size, band, low, high = (frame[c].to_numpy()[order] for c in ("n_shingles", "band", "lo", "hi"))
+    size, core, band, low, high = (frame[c].to_numpy()[order] for c in ("n_shingles", "core", "band", "lo", "hi"))
     cuts = [0, *(np.flatnonzero(pair[1:] != pair[:-1]) + 1).tolist(), len(pair)]
     for lo, hi in zip(cuts, cuts[1:]):
-        yield Block(order[lo:hi], own[lo:hi], sig[lo:hi], size[lo:hi], int(band[lo]), low[lo], high[lo], threshold, floors)
+        yield Block(order[lo:hi], own[lo:hi], sig[lo:hi], size[lo:hi], core[lo:hi], int(band[lo]), low[lo], high[lo], threshold, floors)
 
 
 def _overlaps(sets: list[np.ndarray], i: int, others: np.ndarray) -> np.ndarray:
@@ -130,8 +141,8 @@ def _overlaps(sets: list[np.ndarray], i: int, others: np.ndarray) -> np.ndarray:
 class Block:
     """Documents of one pair of blocks of a bucket, and which of them may be alike."""
 
-    def __init__(self, rows: np.ndarray, own: np.ndarray, sig: np.ndarray, size: np.ndarray, band: int, first: int, last: int, threshold: float, floors: list[tuple[int, int]]):
-        self.rows, self.sig, self.size, self.band = rows, sig, size, band
+    def __init__(self, rows: np.ndarray, own: np.ndarray, sig: np.ndarray, size: np.ndarray, core: np.ndarray, band: int, first: int, last: int, threshold: float, floors: list[tuple[int, int]]):
+        self.rows, self.sig, self.size, self.core, self.band = rows, sig, size, core, band
         self.threshold, self.floors, self.n = threshold, floors, len(rows)
         self.last = int(np.searchsorted(own, last)) if first != last else 0
         self.firsts = range(self.last if first != last else self.n)
@@ -140,6 +151,8 @@ class Block:
         """Those behind ``i`` that its values don't rule out, met here first."""
         size, sig = self.size, self.sig
         alive = np.arange(max(i + 1, self.last), self.n)
+        if self.core[i]:  # links within a core are known
+            alive = alive[self.core[alive] != self.core[i]]
         # sizes this far apart can't reach the threshold
         alive = alive[np.minimum(size[alive], size[i]) >= self.threshold * np.maximum(size[alive], size[i]) - 1e-9]
         same = np.zeros(alive.size, np.int64)
@@ -207,6 +220,53 @@ def _linked(block: Block, texts: list[str], node: np.ndarray) -> tuple[np.ndarra
     return node[kept], links[kept], node[[top(x) for x in kept]]
 
 
+def _middles(frame: pd.DataFrame) -> pd.DataFrame:
+    """The shingles that most texts of one sample have, and a name for that set."""
+    sets = [shingles(t) for t in frame.text]
+    value, times = np.unique(np.concatenate(sets), return_counts=True)
+    middle = value[2 * times > len(sets)]
+    name = int((mix64(middle).sum(dtype=np.uint64) | np.uint64(1)).view(np.int64))
+    return pd.DataFrame({"cluster": frame.cluster[:1], "core": [name], "middle": [middle.view(np.int64)]})
+
+
+def _near_middle(threshold: float) -> Callable:
+    """Documents within half the way to the threshold of their cluster's middle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for text, middle in zip(batch.column("text"), batch.column("middle")):
+                own, other = shingles(text.as_py()), middle.values.to_numpy().view(np.uint64)
+                both = np.isin(own, other, assume_unique=True).sum()
+                near.append(bool(both >= (1 + threshold) / 2 * (own.size + other.size - both) + 1e-9))
+            kept = batch.filter(pa.array(near, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(c) for c in ("uid", "text_key", "node", "core")], names=["uid", "text_key", "node", "core"])
+
+    return run
+
+
+def _cores(named: DataFrame, banded: DataFrame, buckets: DataFrame, threshold: float) -> DataFrame | None:
+    """(uid, text_key, node, core) of the documents of large buckets that are in a
+    core of two at least, or none where no bucket is large."""
+    document = ["uid", "text_key"]
+    large = buckets.where(F.col("blocks") > 1)
+    if large.isEmpty():
+        return None
+    held = banded.join(large.drop("blocks"), ["band", "key"]).select(*document, "node", "n_shingles", "n", F.xxhash64("band", "key").alias("cluster"))
+    # each document is measured once, against the middle of the largest of its buckets
+    chosen = held.groupBy(*document, "node").agg(F.max(F.struct("n", "cluster")).alias("m")).select(*document, "node", "m.cluster")
+    chosen = durable(chosen)
+    texts = durable(named.select(*document, "text").join(chosen.hint("merge"), document).groupBy(*document, "node", "cluster").agg(F.min("text").alias("text")))
+    nth = F.row_number().over(Window.partitionBy("cluster").orderBy(F.xxhash64(*document), *document))
+    picked = held.where(F.col("n_shingles") <= SAMPLE_SHINGLES).withColumn("nth", nth).where(F.col("nth") <= SAMPLE).select(*document, "cluster")
+    sample = texts.select(*document, "text").join(picked.hint("merge"), document).select("cluster", "text")
+    middles = durable(sample.groupBy("cluster").applyInPandas(_middles, "cluster long, core long, middle array<bigint>"))
+    near = durable(texts.join(middles.hint("merge"), "cluster").select(*document, "node", "core", "text", "middle").mapInArrow(_near_middle(threshold), "uid long, text_key long, node long, core long"))
+    cores = durable(near.join(near.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("root")).where("n > 1").hint("merge"), "core"))
+    drop(chosen, texts, middles, near)
+    return cores
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node of each component of edges (node, root).
 
@@ -230,6 +290,30 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _apart(members: DataFrame) -> DataFrame:
+    """``members`` with ``other``: the blocks each document's block is to meet.
+
+    In a large bucket every core of ``BLOCK_DOCS`` documents or more has blocks
+    of its own, numbered behind those of all others; its blocks meet others only.
+    """
+    bucket = ["band", "key"]
+    sizes = members.where("core <> 0 and blocks > 1").groupBy(*bucket, "core", "blocks", "n").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") >= BLOCK_DOCS)
+    of = lambda held: F.ceil(F.col("blocks") * held / F.col("n"))
+    cells = durable(sizes.select(*bucket, "core", "blocks", "n", "held", of(F.col("held")).alias("own")))
+    # what is left of a bucket has the first blocks
+    left = cells.groupBy(*bucket, "blocks", "n").agg(F.sum("held").alias("held"), F.sum("own").alias("owns")).select(*bucket, of(F.col("n") - F.col("held")).alias("rest"), "owns")
+    before = Window.partitionBy(*bucket).orderBy("core").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select(*bucket, "core", "own", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("start"))
+    placed = members.join(left.hint("merge"), bucket, "left").join(starts.hint("merge"), [*bucket, "core"], "left")
+    rest, start = F.coalesce("rest", "blocks"), F.col("rest") + F.col("start")
+    spread = lambda n: F.pmod(F.xxhash64("uid", "text_key", F.lit(3)), n)
+    at = F.when(F.col("own").isNull(), spread(F.greatest(rest, F.lit(1)))).otherwise(start + spread(F.col("own")))
+    total = rest + F.coalesce("owns", F.lit(0))
+    all_ = F.sequence(F.lit(0).cast("long"), total - 1)
+    others = F.when(F.col("own").isNull(), all_).otherwise(F.filter(all_, lambda b: (b < start) | (b >= start + F.col("own"))))
+    return placed.where(total > 0).select("uid", "text_key", *bucket, "core", at.alias("block"), F.explode(others).alias("other"))
+
+
 def identity() -> Column:
     """doc_id, or a negative hash of the text where there is none."""
     return F.coalesce(F.col("doc_id").cast("long"), -F.shiftrightunsigned(F.xxhash64(text_of()), 2) - 2**62)
@@ -266,21 +350,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
     classes = durable(classes.join(shared, "uid", "left").select("k1", "k2", *document, "n_shingles", "sig", F.when(F.col("shared"), hashed).otherwise(F.col("uid")).alias("node")))
 
     keys = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)).alias("key")) for b in range(BANDS)])
-    banded = classes.where("n_shingles > 0").select(*document, "n_shingles", F.explode(keys).alias("at")).select(*document, "n_shingles", "at.*")
+    banded = classes.where("n_shingles > 0").select(*document, "node", "n_shingles", F.explode(keys).alias("at")).select(*document, "node", "n_shingles", "at.*")
     buckets = (
         banded.groupBy("band", "key")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"), F.bit_xor(F.xxhash64(*document)).alias("members"), F.bit_xor(F.xxhash64(*document, F.lit(7))).alias("members2"))
         .where("n > 1")
         .groupBy("n", "weight", "members", "members2")
         .agg(F.min(F.struct("band", "key")).alias("at"))
-        .select("at.*", F.ceil(F.greatest(F.col("n") / BLOCK_DOCS, F.col("weight") / BLOCK_SHINGLES)).alias("blocks"))
+        .select("at.*", "n", F.ceil(F.greatest(F.col("n") / BLOCK_DOCS, F.col("weight") / BLOCK_SHINGLES)).alias("blocks"))
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    buckets = durable(buckets)
+    cores = _cores(named, banded, buckets, threshold)
+    inside = banded.join(buckets, ["band", "key"])
+    inside = inside.withColumn("core", F.lit(0).cast("long")) if cores is None else inside.join(cores.select(*document, "core"), document, "left").fillna(0, ["core"])
+    members = _apart(inside.select(*document, "band", "key", "n", "blocks", "core")) if cores is not None else inside.withColumns({"block": F.lit(0).cast("long"), "other": F.lit(0).cast("long")})  # no bucket has more than one block
     members = (
-        banded.join(buckets, ["band", "key"])
-        .select(*document, "band", "key", "blocks", F.pmod(F.xxhash64(*document, F.lit(3)), "blocks").alias("block"))
-        .select(*document, "band", "key", "block", other.alias("other"))
-        .select(*document, "band", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "key")
+        members.select(*document, "band", "block", "core", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "key")
         .withColumn("pair", F.xxhash64("band", "key", "lo", "hi"))
     )
     # signatures decide first, so that only texts of candidate pairs move
@@ -298,8 +383,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
     # texts meet their few takers by one exchange at every size of the input
     needed = possible.select(*document).distinct().hint("merge")
     texts = named.select(*document, "text").join(needed, document, "left_semi").groupBy(*document).agg(F.min("text").alias("text"))
-    found = by_pair(possible.join(texts, document).drop(*document), _all_linked, "node long, n_links long, root long")
-    drop(possible)
+    found = pairs = by_pair(possible.join(texts, document).drop(*document), _all_linked, "node long, n_links long, root long")
+    drop(possible, buckets)
+    if cores is not None:
+        found = found.union(cores.select("node", F.col("n") - 1, "root"))
     links = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
     labels = components(found)
     linked = labels.join(classes.select("node", *document), "node")
@@ -308,5 +395,5 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
     known = classes.select("k1", "k2", "node", *document).join(links, "node", "left").join(groups, "node", "left")
     named_groups = [F.coalesce("group_id", "uid").alias("group_id"), F.coalesce("group_key", "text_key").alias("group_key")]
     known = durable(known.select("k1", "k2", F.col("uid").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), *named_groups))
-    drop(classes, found, labels)
+    drop(classes, pairs, labels, *([cores] if cores is not None else []))
     return sketch.select(*document, "doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id", "n_links", "group_id", *document, "group_key")

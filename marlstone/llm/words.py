@@ -1,12 +1,14 @@
-"""Words of a text as places and 64-bit names, in bounded stretches."""
+"""Words of a text as places and 64-bit names, and its shingles, in bounded stretches."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 
-from marlstone.llm.common import prefix_hash, span_hash
+from marlstone.llm.common import mix64, prefix_hash, span_hash
 
 #: Bytes looked at together; longer words are named one by one.
 STRETCH, LONG = 1 << 20, 1 << 16
@@ -39,3 +41,51 @@ def word_names(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
             out[i] = int.from_bytes(blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
         lo = hi
     return out
+
+
+_BLANK = re.compile(r"[\x20\x09-\x0D]")
+_MUL = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _stretches(text: str) -> Iterator[str]:
+    """Stretches of about ``STRETCH`` characters that end at white space."""
+    lo = 0
+    while lo < len(text):
+        cut = _BLANK.search(text, lo + STRETCH)
+        hi = cut.end() if cut else len(text)
+        yield text[lo:hi]
+        lo = hi
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash for each word of the lower-cased text, in order."""
+    found = [np.empty(0, np.uint64)]
+    for part in _stretches(text):
+        data = np.frombuffer(part.lower().encode("utf-8", "surrogatepass"), np.uint8)
+        found.append(word_names(data, *word_places(data)))
+    return np.concatenate(found)
+
+
+def shingles(text: str, width: int = 5) -> np.ndarray:
+    """The sorted distinct hashes of all runs of ``width`` words.
+
+    A text of fewer words, but one at least, has one shingle of all its words;
+    a text without words has none.  At most some 16 bytes a word are held.
+    """
+    words = word_hashes(text)
+    if not words.size:
+        return words
+    take = min(width, words.size)
+    n = words.size - take + 1
+    out = np.empty(n, np.uint64)
+    # word hashes are spread evenly already, so a polynomial of them is as good as one
+    for lo in range(0, n, STRETCH):
+        hi = min(n, lo + STRETCH)
+        part = words[lo:hi].copy()
+        for i in range(1, take):
+            part *= _MUL
+            part += words[lo + i : hi + i]
+        out[lo:hi] = mix64(part)
+    del words
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
