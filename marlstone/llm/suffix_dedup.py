@@ -29,20 +29,19 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from contextlib import nullcontext
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import CLEANUP, drop, durable, new_path, prefix_hash, remove, runs_of, setting, span_hash, text_of
+from marlstone.llm.common import drop, durable, prefix_hash, runs_of, span_hash, text_of
+from marlstone.llm.texts import co_located
 
 WINDOW, GRAM, HOT = 100, 32, 8192
 STRETCH, MOST_WINDOWS = 1 << 20, 1 << 16
 AT_ONCE, CHUNK = 8 << 20, 1_500_000
-BUCKET_BYTES = 64 << 20
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -217,6 +216,9 @@ def _cut(place_bits: int) -> Callable:
                 place, count, key, hot = (own.field(c).to_numpy(zero_copy_only=False) for c in ("place", "windows", "hash", "hot"))
                 sort = np.argsort(place)
                 for p, n, several, k, h in zip(*(x[sort].tolist() for x in (place, count >> 1, count & 1, key, hot))):
+                    if len(rows) > 20000:
+                        yield batch_of(rows)
+                        rows = []
                     piece = data[p & mask : (p & mask) + n + WINDOW - 1]
                     if piece in seen:  # an earlier one is in this batch
                         rows.append((None, p, n, None, None, None))
@@ -240,9 +242,6 @@ def _cut(place_bits: int) -> Callable:
                         rows.append((None, p + w, 1, None, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
                     if run:
                         rows.append((None, p + n - run, run, None, None, None))
-                    if len(rows) > 20000:
-                        yield batch_of(rows)
-                        rows = []
                 if len(rows) > 20000 or held > AT_ONCE:
                     if rows:
                         yield batch_of(rows)
@@ -345,14 +344,11 @@ def _ranked(named: DataFrame) -> DataFrame:
     keys = ["h1", "h2"]
     firsts = named.groupBy(*keys).agg(F.min("id").alias("first_id"), F.first(F.octet_length("text").cast("long")).alias("n_bytes")).orderBy("first_id", *keys)
     firsts = durable(firsts.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("nth")))
-    # one number for each partition of the sort
-    parts = {r.part: r.n for r in firsts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, at = [], 0
-    for p in range(max(parts, default=-1) + 1):
-        before.append(at)
-        at += parts.get(p, 0)
-    offset = F.element_at(F.array(*map(F.lit, before or [0])), F.col("part") + 1).cast("long")
-    classes = durable(firsts.select(*keys, "first_id", "n_bytes", (offset + F.col("nth").bitwiseAND((1 << 33) - 1)).alias("uid")))
+    # one row for each partition of the sort, so small enough to be sent to all tasks
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = firsts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    numbered = firsts.join(F.broadcast(offsets), "part")
+    classes = durable(numbered.select(*keys, "first_id", "n_bytes", (F.col("offset") + F.col("nth").bitwiseAND((1 << 33) - 1)).alias("uid")))
     drop(firsts)
     return classes
 
@@ -371,7 +367,7 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     ``with_text`` adds what is left of the text, as bytes.
     """
-    spark, keys = docs.sparkSession, ["h1", "h2"]
+    keys = ["h1", "h2"]
     text = text_of()
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     named = docs.select("doc_id", ids.alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
@@ -380,45 +376,35 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     uid = F.shiftright("place", bits).alias("uid")
 
     # texts move once: by their hash, into buckets of bounded bytes that the joins below leave in place
-    total = classes.where(F.col("n_bytes") >= WINDOW).agg(F.sum("n_bytes")).first()[0] or 0
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(usual, -(-total // BUCKET_BYTES))
-    path = new_path(spark, "texts")
-    name = path.rsplit("/", 1)[-1].replace("-", "_")
-    wide = setting(spark, "spark.sql.shuffle.partitions", str(n)) if n > usual else nullcontext()
-    with wide, setting(spark, CLEANUP, "true"):
-        texts = named.where(F.octet_length("text") >= WINDOW).groupBy(*keys).agg(F.first("text").alias("text"))
-        texts = texts.join(classes.select(*keys, "uid").hint("merge"), keys).select(*keys, "uid", "text")
-        texts.write.bucketBy(n, *keys).option("path", path).option("compression", "zstd").saveAsTable(name)
-    texts = spark.table(name)
-
-    marks = "array<struct<place:bigint,windows:bigint>>"
-    found = durable(texts.select("uid", "text").mapInArrow(_find(bits), f"hash long, place long, windows long, n long, more {marks}"))
-    counts = durable(found.groupBy("hash").agg(F.sum("n").alias("total")).where("total > 1"))
-    # both joins are sort-merge joins, so a hot hash is split among tasks
-    all_of = F.concat(F.array(F.struct("place", "windows")), "more")
-    marked = found.join(counts.hint("merge"), "hash").select("hash", (F.col("total") > HOT).alias("hot"), F.explode(all_of).alias("at")).select("at.*", "hash", "hot")
-    marked = marked.groupBy(uid).agg(F.collect_list(F.struct("place", "windows", "hash", "hot")).alias("marks"))
-    numbered = classes.select("uid", *keys)
-    marked = durable(marked.join(numbered, "uid").select(*keys, "marks"))
-    drop(found, counts)
-    cut = texts.join(marked.hint("merge"), keys).select("uid", "text", "marks").mapInArrow(_cut(bits), "key long, place long, n long, piece binary, w1 long, w2 long")
-    # rows without a key only pass; they spread evenly
-    dealt = cut.repartition(F.coalesce("key", F.xxhash64("place"))).sortWithinPartitions("key", "place")
-    sorted_ = durable(dealt.mapInArrow(_sort, "place long, n long, w1 long, w2 long"))
-    drop(marked)
-
-    hashed = sorted_.where("w1 is not null").select("place", "w1", "w2")
-    least = hashed.groupBy("w1", "w2").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    late = hashed.join(least.hint("merge"), ["w1", "w2"]).where("place > least").select("place", F.lit(1).cast("long").alias("n"))
-    gone = sorted_.where("w1 is null").select("place", "n").union(late)
-    runs = gone.groupBy(uid).agg(F.collect_list(F.struct("place", "n")).alias("runs")).join(numbered, "uid").select(*keys, "runs")
-    kept = texts.join(runs.hint("merge"), keys).select(*keys, "text", "runs").mapInArrow(_keep(bits), "h1 long, h2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    kept = durable(kept if with_text else kept.drop("kept"))
-    known = durable(classes.join(kept, keys, "left"))
-    drop(sorted_, kept, classes)
-    spark.sql(f"DROP TABLE {name}")
-    remove(spark, path)
+    size = classes.where(F.col("n_bytes") >= WINDOW).agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
+    texts = named.where(F.octet_length("text") >= WINDOW).groupBy(*keys).agg(F.first("text").alias("text"))
+    texts = texts.join(classes.select(*keys, "uid").hint("merge"), keys).select(*keys, "uid", "text")
+    with co_located(texts, keys, size.bytes or 0, size.rows) as texts:
+        marks = "array<struct<place:bigint,windows:bigint>>"
+        found = durable(texts.select("uid", "text").mapInArrow(_find(bits), f"hash long, place long, windows long, n long, more {marks}"))
+        counts = durable(found.groupBy("hash").agg(F.sum("n").alias("total")).where("total > 1"))
+        # both joins are sort-merge joins, so a hot hash is split among tasks
+        all_of = F.concat(F.array(F.struct("place", "windows")), "more")
+        marked = found.join(counts.hint("merge"), "hash").select("hash", (F.col("total") > HOT).alias("hot"), F.explode(all_of).alias("at")).select("at.*", "hash", "hot")
+        marked = marked.groupBy(uid).agg(F.collect_list(F.struct("place", "windows", "hash", "hot")).alias("marks"))
+        numbered = classes.select("uid", *keys)
+        marked = durable(marked.join(numbered, "uid").select(*keys, "marks"))
+        drop(found, counts)
+        cut = texts.join(marked.hint("merge"), keys).select("uid", "text", "marks").mapInArrow(_cut(bits), "key long, place long, n long, piece binary, w1 long, w2 long")
+        # rows without a key only pass; they spread evenly
+        dealt = cut.repartition(F.coalesce("key", F.xxhash64("place"))).sortWithinPartitions("key", "place")
+        sorted_ = durable(dealt.mapInArrow(_sort, "place long, n long, w1 long, w2 long"))
+        drop(marked)
+
+        hashed = sorted_.where("w1 is not null").select("place", "w1", "w2")
+        least = hashed.groupBy("w1", "w2").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+        late = hashed.join(least.hint("merge"), ["w1", "w2"]).where("place > least").select("place", F.lit(1).cast("long").alias("n"))
+        gone = sorted_.where("w1 is null").select("place", "n").union(late)
+        runs = gone.groupBy(uid).agg(F.collect_list(F.struct("place", "n")).alias("runs")).join(numbered, "uid").select(*keys, "runs")
+        kept = texts.join(runs.hint("merge"), keys).select(*keys, "text", "runs").mapInArrow(_keep(bits), "h1 long, h2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        kept = durable(kept if with_text else kept.drop("kept"))
+        known = durable(classes.join(kept, keys, "left"))
+        drop(sorted_, kept, classes)
 
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     again = (F.col("id") != F.col("first_id")) & (F.col("n_bytes") >= WINDOW)
