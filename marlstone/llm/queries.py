@@ -35,7 +35,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    ledger = secrets.extended_at(docs, secrets.ledger_path(spark, sf_dir))
+    ledger = secrets.extended_at(docs, secrets.lasting_ledger(spark))
     return secrets.digest(secrets.findings(docs, ledger))
 
 

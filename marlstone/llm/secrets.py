@@ -4,7 +4,8 @@ Every version of every path is addressed by the SHA-256 of its content, so the
 same content is scanned once however many paths hold it.  The ledger has, for
 each blob, the versioned rules that have been applied and the spans found; a
 run scans only the pairs of blob and rule version that the ledger lacks, and
-findings join back to all paths by content address.
+findings join back to all paths by content address.  Addresses go first: texts
+move only for blobs that are to be scanned, so a run that has none moves none.
 
 Defined results: a null text is an empty one; repeated rows have equal
 findings; an empty table has no rows out; the order of rows and extra columns
@@ -14,12 +15,10 @@ held whole, with its spans, by one task.
 
 from __future__ import annotations
 
-from hashlib import sha256
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import durable, exists, fresh, shared_folder, text_of, write_cut
+from marlstone.llm.common import CLEANUP, children, durable, exists, fresh, new_path, remove, setting, text_of
 from marlstone.llm.spans import before, counted, joined, let, with_spans
 
 LEDGER = "blob string, rules array<string>, spans array<struct<start:bigint,rank:int,end:bigint,kind:string,rule:string>>"
@@ -38,6 +37,9 @@ KINDS = [*BASE, *MORE]
 #: Raise a rule's version when its pattern changes; then only that rule runs again.
 VERSIONS = {k: f"{k}@1" for k in KINDS} | {"pem": "pem@2"}
 MARK = "[SECRET]"
+#: Unseen blobs whose addresses and rules (some 150 bytes each) are sent to all
+#: tasks; files of a ledger that is compacted.
+AT_ONCE, MOST_FILES = 50_000, 1000
 
 
 def _valid(kind: str, text: Column) -> Column:
@@ -73,23 +75,36 @@ def blobs_of(versions: DataFrame) -> DataFrame:
     return named.select(F.sha2("text", 256).alias("blob"), "text").groupBy("blob").agg(F.first("text").alias("text"))
 
 
+def unseen(versions: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(blob, rules): what is to be scanned, by addresses alone."""
+    rules = F.array(*map(F.lit, VERSIONS.values()))
+    blobs = versions.select(F.sha2(text_of(), 256).alias("blob")).distinct()
+    seen = blobs.join(ledger.select("blob", F.col("rules").alias("_seen")), "blob", "left").groupBy("blob").agg(F.flatten(F.collect_list("_seen")).alias("_seen"))
+    return seen.select("blob", F.array_except(rules, "_seen").alias("rules")).where(F.size("rules") > 0)
+
+
 def extend(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """What the ledger lacks: (blob, rules, spans) of the pairs not yet scanned.
 
-    A ledger has the same columns and one row for each blob; the result is one
-    itself, and :func:`merged` joins the two.
+    A ledger has the same columns; the result is one itself, and :func:`merged`
+    joins the two.  Up to ``AT_ONCE`` unseen blobs, whose addresses and rules
+    are then sent to all tasks, no other text is moved.
     """
-    blobs, rules = blobs_of(versions), F.array(*map(F.lit, VERSIONS.values()))
     if ledger is None:
-        return scan(blobs).select("blob", rules.alias("rules"), "spans")
-    todo = blobs.join(ledger.select("blob", F.col("rules").alias("seen")), "blob", "left")
-    todo = todo.withColumn("rules", F.array_except(rules, F.coalesce("seen", F.array().cast("array<string>"))))
-    return scan(todo.where(F.size("rules") > 0), "rules").select("blob", "rules", "spans")
+        return scan(blobs_of(versions)).select("blob", F.array(*map(F.lit, VERSIONS.values())).alias("rules"), "spans")
+    todo = durable(unseen(versions, ledger))
+    n = todo.count()
+    if n <= AT_ONCE:
+        named = versions.select(F.sha2(text_of(), 256).alias("blob"), text_of().alias("text")).join(F.broadcast(todo), "blob") if n else todo.withColumn("text", F.lit(""))
+        blobs = named.groupBy("blob").agg(F.first("text").alias("text"), F.first("rules").alias("rules"))
+    else:
+        blobs = blobs_of(versions).join(todo.hint("merge"), "blob")
+    return scan(blobs, "rules").select("blob", "rules", "spans")
 
 
 def merged(ledger: DataFrame, new: DataFrame) -> DataFrame:
-    """One ledger of both."""
-    return _one_row_each(ledger.unionByName(new))
+    """One ledger of both, one row for each blob."""
+    return _one_row_each(ledger.select("blob", "rules", "spans").unionByName(new))
 
 
 def _one_row_each(rows: DataFrame) -> DataFrame:
@@ -97,31 +112,72 @@ def _one_row_each(rows: DataFrame) -> DataFrame:
     return rows.groupBy("blob").agg(rules, F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
-def ledger_at(spark: SparkSession, path: str) -> DataFrame | None:
-    """The ledger kept at ``path``, one row for each blob, or none."""
+def _generation(spark: SparkSession, path: str) -> int | None:
+    """The last compaction of the ledger that came to its end, or the first rows."""
     if not exists(spark, path):
         return None
-    return _one_row_each(spark.read.schema(LEDGER).parquet(path))
+    names = children(spark, path)
+    done = [int(n.removeprefix("gen=")) for n in names if n.startswith("gen=") and exists(spark, f"{path}/{n}/_SUCCESS")]
+    return max(done, default=None)
 
 
-def extended_at(versions: DataFrame, path: str) -> DataFrame:
-    """The ledger at ``path`` once it covers ``versions``.
+def ledger_at(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of the ledger kept at ``path``, or none; ``found`` tells of any spans.
+
+    A blob has one row for each time that rules were applied to it.
+    """
+    last = _generation(spark, path)
+    return None if last is None else spark.read.schema(f"{LEDGER}, found boolean").parquet(f"{path}/gen={last}")
+
 
-    Only pairs of blob and rule version that it lacks are scanned; they are
-    appended.  A run that ends early leaves what was there; a pair that two
-    runs add at once counts once.  The result is a written table, so that joins
-    with it split a hot blob.
+def _add(rows: DataFrame, path: str, generation: int) -> None:
+    with setting(rows.sparkSession, CLEANUP, "true"):
+        rows.withColumn("found", F.size("spans") > 0).write.mode("append").option("compression", "zstd").partitionBy("found").parquet(f"{path}/gen={generation}")
+
+
+def compact(spark: SparkSession, path: str, most_files: int = 0) -> bool:
+    """Rewrites a ledger of more than ``most_files`` files with one row for each blob.
+
+    Readers see the old rows until the new ones are whole.  Rows that another
+    run adds meanwhile may be lost, and their blobs are then scanned again.
+    """
+    last = _generation(spark, path)
+    if last is None or len(ledger_at(spark, path).inputFiles()) <= most_files:
+        return False
+    _add(_one_row_each(ledger_at(spark, path)), path, last + 1)
+    remove(spark, f"{path}/gen={last}")
+    return True
+
+
+def extended_at(versions: DataFrame, path: str) -> DataFrame:
+    """The findings for ``versions``, once the ledger at ``path`` covers them: one
+    row (blob, rules, spans) for each of their blobs that has any.
+
+    Only pairs of blob and rule version that the ledger lacks are scanned; they
+    are appended, and the ledger is compacted where it has too many files.  A
+    run that ends early leaves what was there; a pair that two runs add at once
+    counts once.  The result is a written table, so that joins with it split a
+    hot blob; nothing else of the ledger is copied.
     """
     spark = versions.sparkSession
-    write_cut(extend(versions, ledger_at(spark, path)), path, "append")
-    return durable(ledger_at(spark, path))
+    ledger = ledger_at(spark, path)
+    _add(extend(versions, ledger), path, _generation(spark, path) or 0)
+    found = ledger_at(spark, path).where("found")
+    if ledger is not None:  # of other versions, too
+        found = found.join(versions.select(F.sha2(text_of(), 256).alias("blob")).distinct(), "blob", "left_semi")
+    found = durable(_one_row_each(found))
+    compact(spark, path, MOST_FILES)
+    return found
+
+
+def lasting_ledger(spark: SparkSession) -> str:
+    """The ledger that the setting ``marlstone.secrets.ledger`` names, for all
+    corpora, or else one of this run alone."""
+    return spark.conf.get("marlstone.secrets.ledger", None) or new_path(spark, "secrets-ledger")
 
 
 def ledger_path(spark: SparkSession, name: str) -> str:
-    """Where the ledger of a corpus stays: in the folder that the setting
-    ``marlstone.secrets.ledger`` names, or else in the shared one."""
-    folder = spark.conf.get("marlstone.secrets.ledger", None) or f"{shared_folder(spark)}/secrets-ledger"
-    return f"{folder}/{sha256(name.encode()).hexdigest()[:16]}"
+    return lasting_ledger(spark)
 
 
 def findings(versions: DataFrame, ledger: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -258,15 +258,48 @@ def test_overlaps_equal_brute_force(spark):
         assert got[i] == sorted(base + [m for m in more if not any(b[1] < m[2] and m[1] < b[2] for b in base)])
 
 
-def test_a_second_run_scans_nothing(spark, folder, tmp_path, monkeypatch):
-    monkeypatch.setattr(secrets, "ledger_path", lambda spark, name: str(tmp_path / "ledger"))
-    first = sorted(tuple(r) for r in queries.op6_secrets(spark, folder).collect())
-    assert spark.read.parquet(str(tmp_path / "ledger")).count() == spark.read.parquet(f"{folder}/documents.parquet").select(F.coalesce("text", F.lit(""))).distinct().count()
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    assert secrets.extend(docs, secrets.ledger_at(spark, str(tmp_path / "ledger"))).count() == 0
-    rows = spark.read.parquet(str(tmp_path / "ledger")).count()
+def test_a_second_run_scans_nothing_and_moves_no_text(spark, folder, tmp_path):
+    path = str(tmp_path / "ledger")
+    spark.conf.set("marlstone.secrets.ledger", path)
+    try:
+        first = sorted(tuple(r) for r in queries.op6_secrets(spark, folder).collect())
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        ledger = secrets.ledger_at(spark, path)
+        rows = ledger.count()
+        assert rows == docs.select(F.coalesce("text", F.lit(""))).distinct().count()
+        again = secrets.extend(docs, ledger)
+        # with a complete ledger texts are not even read: only addresses meet
+        assert again.count() == 0 and "documents" not in again._jdf.queryExecution().optimizedPlan().toString()
+        moved = secrets.unseen(docs, ledger)._jdf.queryExecution().executedPlan()
+        exchanges = [line for line in moved.toString().splitlines() if "Exchange" in line]
+        assert exchanges and not any("text" in line for line in exchanges)
+        assert sorted(tuple(r) for r in queries.op6_secrets(spark, folder).collect()) == first
+        assert secrets.ledger_at(spark, path).count() == rows
+    finally:
+        spark.conf.unset("marlstone.secrets.ledger")
+    # without that setting each run starts from nothing
     assert sorted(tuple(r) for r in queries.op6_secrets(spark, folder).collect()) == first
-    assert spark.read.parquet(str(tmp_path / "ledger")).count() == rows
+
+
+@pytest.mark.parametrize("at_once", [50_000, 0])
+def test_ledgers_grow_by_content_and_are_compacted(spark, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(secrets, "AT_ONCE", at_once)
+    path = str(tmp_path / "ledger")
+    table = lambda *texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = lambda docs: {r.doc_id: [s.kind for s in r.spans] for r in secrets.findings(docs, secrets.extended_at(docs, path)).collect()}
+    one, two = table("token=abcdefgh", "clean", None), table("clean", "secret=qwertyui", "token=abcdefgh", "token=abcdefgh")
+    assert spans(one) == {0: ["assign"], 1: [], 2: []}
+    assert spans(two) == {0: [], 1: ["assign"], 2: ["assign"], 3: ["assign"]}
+    assert secrets.ledger_at(spark, path).count() == 4  # equal content of another corpus isn't scanned again
+    monkeypatch.setitem(secrets.VERSIONS, "assign", "assign@2")
+    assert spans(two)[2] == ["assign"] and secrets.ledger_at(spark, path).count() == 7
+    assert not secrets.compact(spark, path, 1000)
+    assert secrets.compact(spark, path) and common.children(spark, path) == ["gen=1"]
+    assert secrets.ledger_at(spark, path).count() == 4 and spans(one) == {0: ["assign"], 1: [], 2: []}
+    # a compaction that breaks off counts for nothing
+    spark.range(2).selectExpr("string(id) as blob").write.parquet(f"{path}/gen=9")
+    common.remove(spark, f"{path}/gen=9/_SUCCESS")
+    assert spans(one) == {0: ["assign"], 1: [], 2: []}
 
 
 def test_empty_tables_and_clashing_names(spark):
