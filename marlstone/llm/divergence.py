@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import drop, durable, runs_of, text_of
 
 LEAST, RANKS, SCALE = 3, 200, 1_000_000_000
-#: Bytes of texts taken together; pairs of sources expanded together.
-AT_ONCE, EXPANDED = 12 << 20, 1 << 20
+#: Bytes of texts taken together; pairs of sources expanded together; rows recounted together.
+AT_ONCE, EXPANDED, ROWS = 4 << 20, 1 << 20, 200_000
 #: Terms of the vocabulary in one task, about.
 KEYS = 1 << 17
 
@@ -222,6 +222,26 @@ def _recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     machines: dict[int, tuple[Transducer, list[np.ndarray]]] = {}
     ready: dict[int, tuple[Transducer, np.ndarray]] = {}
+    held: list[pa.RecordBatch] = []
+
+    def recounted() -> Iterator[pa.RecordBatch]:
+        """Equal terms of the held rows go through their transducer once."""
+        rows = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        langs = rows.column("l").to_numpy()
+        for lang in np.unique(langs).tolist():
+            if lang not in machines:
+                continue
+            if lang not in ready:
+                machine, ordinals = machines[lang]
+                ready[lang] = machine.finish(), np.concatenate(ordinals)
+            machine, ordinals = ready[lang]
+            own = rows.filter(pa.array(langs == lang))
+            terms = own.column("term").combine_chunks().dictionary_encode()
+            number = machine.ordinals(terms.dictionary)[terms.indices.to_numpy()]
+            own, number = own.select(["l", "g", "n"]).filter(pa.array(number >= 0)), number[number >= 0]
+            yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("l", "g")), pa.array(ordinals[number]), own.column("n").combine_chunks()], names=["l", "g", "ord", "n"])
+
     for batch in batches:
         counted = pc.is_valid(batch.column("n"))
         words = batch.filter(pc.invert(counted))
@@ -232,19 +252,12 @@ def _recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for key in some.column("term").to_pylist():
                 machine.add(key)
             ordinals.append(some.column("ord").to_numpy(zero_copy_only=False))
-        rest = batch.filter(counted)
-        langs = rest.column("l").to_numpy(zero_copy_only=False)
-        for lang in np.unique(langs).tolist():
-            if lang not in machines:
-                continue
-            if lang not in ready:
-                machine, ordinals = machines[lang]
-                ready[lang] = machine.finish(), np.concatenate(ordinals)
-            machine, ordinals = ready[lang]
-            own = rest.filter(pa.array(langs == lang))
-            number = machine.ordinals(own.column("term"))
-            own, number = own.filter(pa.array(number >= 0)), number[number >= 0]
-            yield pa.RecordBatch.from_arrays([own.column("l"), own.column("g"), pa.array(ordinals[number]), own.column("n")], names=["l", "g", "ord", "n"])
+        if len(words) < len(batch):
+            held.append(batch.filter(counted))
+            if sum(map(len, held)) >= ROWS:
+                yield from recounted()
+    if held:
+        yield from recounted()
 
 
 def _divided(p: np.ndarray, q: np.ndarray) -> np.ndarray:
