@@ -176,10 +176,6 @@ def lasting_ledger(spark: SparkSession) -> str:
     return spark.conf.get("marlstone.secrets.ledger", None) or new_path(spark, "secrets-ledger")
 
 
-def ledger_path(spark: SparkSession, name: str) -> str:
-    return lasting_ledger(spark)
-
-
 def findings(versions: DataFrame, ledger: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns of every version and the spans of its content.
 
