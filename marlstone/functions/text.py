@@ -15,8 +15,21 @@ def escaped(term: str) -> str:
     return term.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
 
 
-def contains_ci(c: Column, term: str, raw_pattern: bool = False) -> Column:
-    """Whether ``c`` holds ``term`` in any case; null stays null."""
+#: A collation under which neither case nor accents count.
+FOLDED = "UNICODE_CI_AI"
+
+
+def folded(c: Column) -> Column:
+    return F.collate(c, FOLDED)
+
+
+def contains_ci(c: Column, term: str, raw_pattern: bool = False, fold: bool = False) -> Column:
+    """Whether ``c`` holds ``term`` in any case; null stays null.
+
+    ``fold`` lets accents differ too; a folded term is never a pattern.
+    """
+    if fold:
+        return F.contains(folded(c), folded(F.lit(term)))
     return c.ilike(f"%{term if raw_pattern else escaped(term)}%")
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.text import contains_ci, tokens
+from marlstone.functions.text import contains_ci
+from marlstone.operators import search_index
 from marlstone.operators.filters import any_of
+from marlstone.sources.store import new_folder
 
 # The categories of the interface, and as stored.
 CATEGORIES = {"politicas": "politica", "procesos": "proceso", "garantias": "garantia", "faq": "faq", "financiamiento": "financiamiento", "general": "general"}
@@ -37,63 +39,36 @@ def words_of(question: str) -> list[str]:
     return [w for w in re.split(r"\s+", question.lower()) if len(w) > 2]
 
 
-def search(articles: DataFrame, question: str, category: str | None = None, limit: int = 5) -> DataFrame:
-    """Active articles with any word of the question in title or content."""
+def search(articles: DataFrame, question: str, category: str | None = None, limit: int = 5, fold: bool = False) -> DataFrame:
+    """Active articles with any word of the question in title or content.
+
+    ``fold`` finds words whatever accents they have.
+    """
     found = articles.where("is_active")
     if category:
         found = found.where(F.col("category") == CATEGORIES.get(category, category))
     words = words_of(question)
     if words:
-        found = found.where(any_of([contains_ci(F.col(c), w) for w in words for c in ("title", "content")]))
+        found = found.where(any_of([contains_ci(F.col(c), w, fold=fold) for w in words for c in ("title", "content")]))
     return _first(found, limit).select("id", F.col("category").alias("categoria"), F.col("title").alias("titulo"), F.col("content").alias("contenido"))
 
 
-#: Tokens are looked up by their first so many characters.
-GRAM = 3
-
-
-def search_many(articles: DataFrame, questions: DataFrame, limit: int = 5) -> DataFrame:
+def search_many(articles: DataFrame, questions: DataFrame, limit: int = 5, index_path: str | None = None) -> DataFrame:
     """The best articles for each of ``questions`` (question_id, question).
 
-    Words of articles and tokens of questions meet by runs of three characters
-    and are then compared, so a word of any length has no more rows than
-    characters.  The order of articles is the same for every question, so the
-    best of a question are among the best of its tokens, and those among the
-    best of the words that hold them: no more than ``limit`` rows of a word go
-    on.  A question without words finds all articles, as in :func:`search`.
-    """
-    asked = questions.select("question_id", tokens(F.col("question")).alias("tokens"))
-    by_token = asked.select("question_id", F.explode("tokens").alias("token")).distinct()
-    text = F.lower(F.concat_ws(" ", "title", "content"))
-    none_last = F.struct(F.col("priority").isNull().alias("u"), F.coalesce("priority", F.lit(0)).alias("p"), (-F.col("id")).alias("i"))
-    live = articles.where("is_active").select(none_last.alias("s"), text.alias("text"))
-    words = live.select("s", F.explode(F.array_distinct(F.split("text", r"(?U)\s+"))).alias("word")).where(F.length("word") >= GRAM)
-    of_word = _best(words, "word", limit)
-    gram = F.explode(F.array_distinct(F.regexp_extract_all("word", F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1)))).alias("gram")
-    wanted = by_token.select("token", F.substring("token", 1, GRAM).alias("gram")).distinct()
-    pieces = of_word.select("word").distinct().select("word", gram).join(wanted, "gram").where(F.contains("word", "token")).select("word", "token")
-    of_token = _best(pieces.join(of_word, "word"), "token", limit)
-    hits = by_token.join(of_token, "token").select("question_id", "s")
-    # no more than ``limit`` rows
-    top = live.select("s").orderBy(F.desc("s")).limit(limit).withColumn("_one", F.lit(1))
-    wordless = asked.where(F.coalesce(F.size("tokens"), F.lit(0)) == 0).select("question_id", F.lit(1).alias("_one")).join(F.broadcast(top), "_one").select("question_id", "s")
-    hits = hits.union(wordless).distinct()
-    nth = F.row_number().over(Window.partitionBy("question_id").orderBy(F.desc("s")))
-    return hits.select("question_id", nth.alias("rank"), "s").where(F.col("rank") <= limit).select("question_id", "rank", (-F.col("s.i")).alias("id"))
-
-
-def _best(ranked: DataFrame, key: str, limit: int) -> DataFrame:
-    """The ``limit`` highest distinct ``s`` of each key.
-
-    Each task drops the rest before anything moves.
+    The articles' words are indexed first, at ``index_path`` or in a folder that
+    goes as Python ends; see :mod:`search_index` for an index that stays.  A
+    question without words finds all articles, as in :func:`search`.
     """
-    nth = F.dense_rank().over(Window.partitionBy(key).orderBy(F.desc("s")))
-    return ranked.select(key, "s", nth.alias("nth")).where(F.col("nth") <= limit).select(key, "s").distinct()
+    index = search_index.build(articles, index_path or new_folder(articles.sparkSession, "index"), max(limit, 1))
+    return search_index.search(index, questions, limit)
 
 
-def topic(articles: DataFrame, name: str, topics: dict[str, tuple[str, str]] = TOPICS) -> DataFrame:
+def topic(articles: DataFrame, name: str, topics: dict[str, tuple[str, str]] = TOPICS, fold: bool = False) -> DataFrame:
+    """Articles on a topic; ``fold`` takes its pattern as a term whose accents don't count."""
     category, pattern = topics[name]
-    found = articles.where((F.col("category") == category) & F.col("is_active") & F.col("title").ilike(pattern))
+    titled = contains_ci(F.col("title"), pattern.strip("%"), fold=True) if fold else F.col("title").ilike(pattern)
+    found = articles.where((F.col("category") == category) & F.col("is_active") & titled)
     return _first(found, None).select("id", F.col("title").alias("titulo"), F.col("content").alias("contenido"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.text import trimmed
+from marlstone.functions.text import folded, trimmed
 
 MAX_DISTANCE = 2
 
@@ -25,23 +25,26 @@ def by_dictionary(terms: DataFrame, dictionary: DataFrame) -> DataFrame:
     return terms.withColumn("_key", F.lower(trimmed(F.col("term")))).join(known, "_key", "left").drop("_key")
 
 
-def by_value(terms: DataFrame, found: DataFrame) -> DataFrame:
+def by_value(terms: DataFrame, found: DataFrame, fold: bool = False) -> DataFrame:
     """``terms`` with the candidate that equals it in another case, or null.
 
-    Of several such candidates the first in order is taken.
+    Of several such candidates the first in order is taken.  ``fold`` lets
+    accents differ as well: keys are compared under :data:`FOLDED`.
     """
-    known = found.groupBy(F.lower("candidate").alias("_key")).agg(F.min("candidate").alias("from_value"))
-    return terms.withColumn("_key", F.lower(trimmed(F.col("term")))).join(known, "_key", "left").drop("_key")
+    key = (lambda c: folded(c)) if fold else F.lower
+    known = found.groupBy(key(F.col("candidate")).alias("_key")).agg(F.min("candidate").alias("from_value"))
+    return terms.withColumn("_key", key(trimmed(F.col("term")))).join(known, "_key", "left").drop("_key")
 
 
-def nearest(terms: DataFrame, found: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+def nearest(terms: DataFrame, found: DataFrame, max_distance: int = MAX_DISTANCE, all_within: bool = False) -> DataFrame:
     """``terms`` with the nearest candidate within reach, or null.
 
     A term and a candidate within d edits agree in at least one of d + 1 equal
     stretches of the candidate, shifted by up to d places; they meet by those
     stretches and by nothing else, so no list of all pairs is made.  Candidates
     of up to d characters have empty stretches and meet all terms short enough.
-    Ties go to the first candidate in order.
+    Ties go to the first candidate in order.  ``all_within`` gives a row for
+    each candidate within reach instead, and none for a term without.
     """
     d = max_distance
     parts = d + 1
@@ -56,6 +59,8 @@ def nearest(terms: DataFrame, found: DataFrame, max_distance: int = MAX_DISTANCE
     sizes = sizes.select("term", "t", "m", "n", "p", F.explode(F.sequence(F.greatest(lo - d, F.lit(0)), lo + d)).alias("at"), (hi - lo).alias("width"))
     right = sizes.where("at + width <= m").select("term", "t", "n", "p", F.col("t").substr(F.col("at") + 1, F.col("width")).alias("stretch")).distinct()
     near = right.join(left, ["n", "p", "stretch"]).select("term", "candidate", F.levenshtein("t", "c", d).alias("distance")).where("distance >= 0")
+    if all_within:
+        return near.distinct().withColumnRenamed("candidate", "from_near")
     best = near.groupBy("term").agg(F.min(F.struct("distance", "candidate")).alias("b")).select("term", F.col("b.candidate").alias("from_near"), F.col("b.distance").alias("distance"))
     return terms.join(best, "term", "left")
 

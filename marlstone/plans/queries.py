@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import amounts, text
-from marlstone.operators import applications, filters, finance, history, inventory, knowledge, leads, terms
+from marlstone.operators import applications, filters, finance, history, inventory, knowledge, leads, people, search_index, term_table, terms
 from marlstone.sources import dictionaries, tables
 from marlstone.sources.store import new_folder
 from marlstone.streaming import intake, outbox
@@ -440,3 +440,58 @@ def status_as_of(spark, d):
     """At the time of each event: the status of the user with the next number, and since when."""
     asked = tables.read(spark, d, "events").select("event_id", (F.col("user_id") + 1).alias("key"), F.col("ts").alias("at"))
     return history.as_of(asked, _statuses(spark, d))
+
+
+@query
+def knowledge_index_deep(spark, d):
+    """An index that stays: the first twenty articles of each part's name, so the deeper postings count."""
+    index = search_index.build(tables.knowledge(spark, d), new_folder(spark, "index"), 64)
+    asked = tables.read(spark, d, "part").groupBy(F.col("p_name").alias("question")).agg(F.min("p_partkey").alias("question_id"))
+    return search_index.search(index, asked, 20)
+
+
+@query
+def knowledge_topics_folded(spark, d):
+    """Topics whose titles have accents and cases of their own."""
+    k = F.col("id")
+    titles = ("DEVOLUCIÓN ", "devolución ", "Devolucion ", "Intercámbio ", "otro ")
+    at = F.element_at(F.array(*map(F.lit, titles)), (k % len(titles) + 1).cast("int"))
+    articles = tables.knowledge(spark, d).withColumns({"category": F.when(k % 2 == 0, "politica").otherwise("servicio"), "title": F.concat(at, k.cast("string"))})
+    found = [knowledge.topic(articles, name, fold=True).withColumn("tema", F.lit(name)) for name in ("devoluciones", "intercambio")]
+    return reduce(DataFrame.unionByName, found).select("tema", "id", "titulo")
+
+
+@query
+def term_folded(spark, d):
+    """Segments as customers might accent them, by a join whose keys fold."""
+    accented = F.translate("c_mktsegment", "AEIOU", "ÁÉÍÓÚ")
+    typed = tables.read(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, accented).otherwise(F.lower(accented)).alias("term"))
+    return terms.by_value(typed, _segments(spark, d), fold=True)
+
+
+@query
+def term_table_fresh(spark, d):
+    """Names and brands of parts as they come, and then some deleted again; every batch runs twice."""
+    path, part = new_folder(spark, "terms"), tables.read(spark, d, "part")
+    row = lambda c, n: part.select(F.col(c).alias("term"), F.lit(n).alias("n"))
+    gone = part.where("p_partkey % 3 = 0").select(F.col("p_brand").alias("term"), F.lit(-1).alias("n"))
+    for batch, changes in enumerate((row("p_brand", 1), row("p_name", 1), row("p_name", -1).union(gone))):
+        for _ in range(2):
+            term_table.fold(changes, path, batch)
+    return term_table.read(spark, path)
+
+
+@query
+def person_found(spark, d):
+    """Customers ask by a phone, an e-mail or a name as they might write it."""
+    c, key = tables.read(spark, d, "customer"), F.col("c_custkey")
+    tel, mail = F.lpad(key.cast("string"), 10, "5"), F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))), F.lit("@example.invalid"))
+    people_ = c.select(key.alias("person_id"), key.alias("id"), tel.alias("telefono"), mail.alias("email"), F.col("c_name").alias("nombre"))
+    asked = c.select(
+        key.alias("request_id"),
+        F.when(key % 5 == 0, key + 1).alias("id"),
+        F.when(key % 5 == 1, F.concat(F.lit("+52 ("), tel, F.lit(")"))).alias("telefono"),
+        F.when(key % 5 < 3, F.concat(F.lit(" "), F.upper(mail))).alias("email"),
+        F.when(key % 5 > 1, F.when(key % 2 == 0, F.concat(F.lit("customer, "), F.regexp_extract("c_name", "#0*(.*)", 1))).otherwise(F.col("c_name"))).alias("nombre"),
+    )
+    return people.find(asked, people_)

@@ -218,6 +218,29 @@ t AS (SELECT DISTINCT question_id, unnest(list_filter(regexp_split_to_array(lowe
 h AS (SELECT DISTINCT question_id, id, priority FROM t JOIN know ON is_active AND (contains(lower(title), token) OR contains(lower(content), token))),
 r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY priority DESC NULLS FIRST, id) AS rank FROM h)
 SELECT question_id, CAST(rank AS INTEGER) AS rank, id FROM r WHERE rank <= 5""",
+    "knowledge_index_deep": f"""WITH {KNOW}, q AS (SELECT min(p_partkey) AS question_id, p_name AS question FROM part GROUP BY p_name),
+t AS (SELECT DISTINCT question_id, unnest(list_filter(regexp_split_to_array(lower(question), '\\s+'), lambda t: length(t) > 2)) AS token FROM q),
+h AS (SELECT DISTINCT question_id, id, priority FROM t JOIN know ON is_active AND (contains(lower(title), token) OR contains(lower(content), token))),
+r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY priority DESC NULLS FIRST, id) AS rank FROM h)
+SELECT question_id, CAST(rank AS INTEGER) AS rank, id FROM r WHERE rank <= 20""",
+    "knowledge_topics_folded": f"""WITH {KNOW}, k AS (SELECT id, is_active, CASE WHEN id % 2 = 0 THEN 'politica' ELSE 'servicio' END AS category, (['DEVOLUCIÓN ', 'devolución ', 'Devolucion ', 'Intercámbio ', 'otro '])[id % 5 + 1] || id AS titulo FROM know),
+t(tema, cat, word) AS (VALUES ('devoluciones', 'politica', 'devolucion'), ('intercambio', 'servicio', 'intercambio'))
+SELECT tema, id, titulo FROM k JOIN t ON category = cat AND contains(strip_accents(lower(titulo)), word) WHERE is_active""",
+    "term_folded": """WITH a AS (SELECT c_custkey, translate(c_mktsegment, 'AEIOU', 'ÁÉÍÓÚ') AS t, c_mktsegment FROM customer)
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN t ELSE lower(t) END AS term, c_mktsegment AS from_value FROM a""",
+    "term_table_fresh": """SELECT term, sum(n)::BIGINT AS n FROM (SELECT p_brand AS term, CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE 1 END AS n FROM part WHERE p_brand IS NOT NULL) GROUP BY term HAVING sum(n) > 0""",
+    "person_found": r"""WITH p AS (SELECT c_custkey AS k, c_name, lpad(CAST(c_custkey AS VARCHAR), 10, '5') AS tel, lower(replace(c_name, '#', '.')) || '@example.invalid' AS mail,
+  list_aggregate(list_sort(list_filter(regexp_split_to_array(lower(c_name), '[\s,.#]+'), lambda w: w <> '')), 'string_agg', ' ') AS nm FROM customer),
+a AS (SELECT k, CASE WHEN k % 5 = 0 THEN k + 1 END AS id, CASE WHEN k % 5 = 1 THEN tel END AS tel, CASE WHEN k % 5 < 3 THEN mail END AS mail,
+  CASE WHEN k % 5 > 1 THEN CASE WHEN k % 2 = 0 THEN list_aggregate(list_sort(list_filter(regexp_split_to_array('customer, ' || regexp_extract(c_name, '#0*(.*)', 1), '[\s,.#]+'), lambda w: w <> '')), 'string_agg', ' ') ELSE nm END END AS nm FROM p),
+m AS (
+  SELECT a.k AS request_id, p.k AS person_id, 'id' AS por, 100 AS puntos FROM a JOIN p ON a.id = p.k
+  UNION ALL SELECT a.k, p.k, 'telefono', 40 FROM a JOIN p ON a.tel = p.tel
+  UNION ALL SELECT a.k, p.k, 'email', 40 FROM a JOIN p ON a.mail = p.mail
+  UNION ALL SELECT a.k, p.k, 'nombre', 20 FROM a JOIN p ON a.nm = p.nm
+  UNION ALL SELECT a.k, p.k, 'nombre_parecido', 10 FROM a JOIN p ON a.nm <> p.nm AND abs(length(a.nm) - length(p.nm)) <= 2 AND levenshtein(a.nm, p.nm) <= 2),
+s AS (SELECT request_id, person_id, CAST(sum(puntos) AS BIGINT) AS puntos, string_agg(por, ',' ORDER BY por) AS evidencia FROM m GROUP BY request_id, person_id)
+SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY puntos DESC, person_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 3""",
     "knowledge_search_wordless": f"""WITH {KNOW}, q AS (SELECT p_partkey AS question_id, CASE p_partkey % 3 WHEN 0 THEN 'a de' WHEN 1 THEN p_name END AS question FROM part),
 w AS (SELECT question_id, coalesce(list_filter(regexp_split_to_array(lower(question), '\\s+'), lambda t: length(t) > 2), []) AS ts FROM q),
 h AS (SELECT DISTINCT question_id, id, priority FROM (SELECT question_id, unnest(ts) AS token FROM w) JOIN know ON is_active AND (contains(lower(title), token) OR contains(lower(content), token))

@@ -43,6 +43,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(there)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder."""
+    system, there = _at(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(there)]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, there = _at(spark, path)
     system.delete(there, True)
