@@ -71,10 +71,15 @@ def search_counted(items: DataFrame, contains: dict[str, str | None], at_least:
     return found.orderBy("precio", "id").limit(limit or 5).select(*card()), counted
 
 
-def alternatives(items: DataFrame, brand: str, budget: float, limit: int = 5) -> DataFrame:
-    """The cheapest of other brands within a fifth of the budget."""
+#: By what alternatives are chosen: the cheapest, or the newest.
+PRIORITIES = ("precio", "año")
+
+
+def alternatives(items: DataFrame, brand: str, budget: float, limit: int = 5, priority: str = "precio") -> DataFrame:
+    """The cheapest, or the newest, of other brands within a fifth of the budget."""
     band = F.col("precio").between(budget * 0.8, budget * 1.2)
-    return available(items).where(~contains_ci(F.col("marca"), brand) & band).orderBy("precio", "id").limit(limit).select(*card())
+    first = [F.desc_nulls_last("autoano")] if priority == "año" else []
+    return available(items).where(~contains_ci(F.col("marca"), brand) & band).orderBy(*first, "precio", "id").limit(limit).select(*card())
 
 
 def by_id(items: DataFrame, ids: list[int]) -> DataFrame:

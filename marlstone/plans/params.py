@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from typing import Any
 
+from marlstone.operators.inventory import PRIORITIES
 from marlstone.operators.knowledge import CATEGORIES, TOPICS
 
 
@@ -52,9 +53,15 @@ class Search(Params):
     tipo_carroceria: str | None = None
     transmision: str | None = None
     combustible: str | None = None
+    kilometraje_maximo: float | None = None
+    con_oferta: bool | None = None
     limite: int = 5
     TEXTS = ("marca", "modelo", "tipo_carroceria", "transmision", "combustible")
-    NUMBERS = ("ano_minimo", "ano_maximo", "precio_minimo", "precio_maximo", "limite")
+    NUMBERS = ("ano_minimo", "ano_maximo", "precio_minimo", "precio_maximo", "kilometraje_maximo", "limite")
+
+    def __post_init__(self) -> None:
+        super().__post_init__()
+        _need(self.con_oferta is None or isinstance(self.con_oferta, bool), "con_oferta must be true or false")
 
 
 @dataclass(frozen=True)
@@ -74,7 +81,12 @@ class Alternatives(Params):
     presupuesto: float
     modelo_original: str | None = None
     tipo_uso: str | None = None
-    TEXTS, NUMBERS = ("marca_original", "modelo_original", "tipo_uso"), ("presupuesto",)
+    prioridad: str = "precio"
+    TEXTS, NUMBERS = ("marca_original", "modelo_original", "tipo_uso", "prioridad"), ("presupuesto",)
+
+    def __post_init__(self) -> None:
+        super().__post_init__()
+        _need(self.prioridad in PRIORITIES, "unknown prioridad")
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import amounts, text
-from marlstone.operators import applications, filters, finance, history, inventory, knowledge, leads, people, search_index, term_table, terms
+from marlstone.operators import applications, filters, finance, history, inventory, knowledge, layout, leads, people, search_index, term_table, terms
 from marlstone.sources import dictionaries, tables
 from marlstone.sources.store import new_folder
 from marlstone.streaming import intake, outbox
@@ -495,3 +495,23 @@ def person_found(spark, d):
         F.when(key % 5 > 1, F.when(key % 2 == 0, F.concat(F.lit("customer, "), F.regexp_extract("c_name", "#0*(.*)", 1))).otherwise(F.col("c_name"))).alias("nombre"),
     )
     return people.find(asked, people_)
+
+
+@query
+def inventory_search_layout(spark, d):
+    """A search for a whole brand by ranges of year and price, from the files that may have it."""
+    path = new_folder(spark, "layout")
+    layout.write(tables.inventory(spark, d), path, files=24)
+    conditions = {"autoano": 1995, "precio": 100000.0}, {"autoano": 1998, "precio": 300000.0}
+    return inventory.search(layout.read(spark, path, "BUILDING", *conditions), {}, limit=50)
+
+
+@query
+def inventory_search_offers(spark, d):
+    """The cheapest offers that have run no further than that."""
+    return inventory.search(tables.inventory(spark, d).where("con_oferta"), {}, {}, {"kilometraje": 9000.0}, 20)
+
+
+@query
+def alternatives_newest(spark, d):
+    return inventory.alternatives(tables.inventory(spark, d), "auto", 300000.0, priority="año")

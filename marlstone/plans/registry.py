@@ -91,7 +91,9 @@ def search(t: Tables, p: P.Search) -> Result:
     model, no_model = _term(t, p.modelo, "modelo", t.models, log)
     low, high = _price(p.precio_minimo, "precio_minimo", log), _price(p.precio_maximo, "precio_maximo", log)
     texts = {"marca": brand, "modelo": model, "carroceria": p.tipo_carroceria, "transmision": p.transmision, "combustible": p.combustible}
-    found, counted = inventory.search_counted(t.inventory, texts, {"autoano": p.ano_minimo, "precio": low}, {"autoano": p.ano_maximo, "precio": high}, int(p.limite))
+    items = t.inventory.where("con_oferta") if p.con_oferta else t.inventory
+    at_most = {"autoano": p.ano_maximo, "precio": high} | ({"kilometraje": p.kilometraje_maximo} if p.kilometraje_maximo else {})
+    found, counted = inventory.search_counted(items, texts, {"autoano": p.ano_minimo, "precio": low}, at_most, int(p.limite))
     rows, n = _once(t, found)
     message = None
     if not n:
@@ -114,7 +116,7 @@ def alternatives(t: Tables, p: P.Alternatives) -> Result:
     budget = full_price_value(p.presupuesto)
     if budget != p.presupuesto:
         log.append(f"presupuesto: {p.presupuesto:g} → {budget:g}")
-    rows, n = _once(t, inventory.alternatives(t.inventory, brand or "", budget))
+    rows, n = _once(t, inventory.alternatives(t.inventory, brand or "", budget, priority=p.prioridad))
     message = None if n else f"Nothing from {budget * 0.8:,.0f} to {budget * 1.2:,.0f}; there are {_suggestions(t, 8)}."
     return Result(rows, log, message)
 

@@ -137,6 +137,9 @@ two AS (SELECT one.*, o.t IS NOT NULL AS fits2, CASE WHEN o.t IS NOT NULL THEN n
 
 ORACLE_SQL = {
     "inventory_search_total": f"WITH {INV}, f AS (SELECT * FROM live WHERE marca ILIKE '%build%' AND precio >= 2000 AND autoano <= 1997) SELECT id, {TITLE} AS titulo, {money('precio')} AS precio, (SELECT count(*) FROM f) AS total FROM (SELECT * FROM f ORDER BY precio, id LIMIT 5)",
+    "inventory_search_layout": search("marca = 'BUILDING' AND autoano BETWEEN 1995 AND 1998 AND precio BETWEEN 100000 AND 300000", 50),
+    "inventory_search_offers": search("con_oferta AND kilometraje <= 9000", 20),
+    "alternatives_newest": f"WITH {INV}, top AS (SELECT * FROM live WHERE NOT marca ILIKE '%auto%' AND precio BETWEEN 300000 * 0.8::DOUBLE AND 300000 * 1.2::DOUBLE ORDER BY autoano DESC NULLS LAST, precio, id LIMIT 5) SELECT {CARD} FROM top",
     "lead_append": f"""WITH {LEADS} SELECT nombre, telefono, nullif(email, '') AS email, vehiculo_interes, comentarios, 'chat_widget' AS source, false AS atendido FROM req
 WHERE telefono NOT IN (SELECT phone FROM prof) AND telefono NOT IN (SELECT telefono FROM lead WHERE NOT atendido)""",
     "lead_intake_stream": f"""WITH {LEADS}, e AS (SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS telefono, ts, event_type = 'purchase' AS answered FROM events),

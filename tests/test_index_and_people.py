@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators import knowledge, people, search_index, term_table, terms
+from marlstone.operators import knowledge, layout, people, search_index, term_table, terms
 
 ARTICLE = "id long, category string, title string, content string, keywords array<string>, priority long, is_active boolean"
 
@@ -155,3 +155,23 @@ def test_people_equal_brute_force(spark):
     columns = "id string, telefono string, email string, nombre string"
     got = people.find(spark.createDataFrame(asked, f"request_id long, {columns}"), spark.createDataFrame(known, f"person_id long, {columns}"))
     assert sorted((r.request_id, r.person_id, r.puntos, r.evidencia, r["rank"]) for r in got.collect()) == slow_find(asked, known)
+
+
+# layout
+
+
+def test_layout_opens_fewer_files_for_the_same_rows(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["A", "B", "C", "D", None]), rng.choice([2000 + rng.randrange(20)] * 9 + [None]), rng.choice([float(rng.randrange(1, 9999))] * 9 + [None])) for i in range(3000)]
+    items = spark.createDataFrame(rows, "id long, marca string, autoano int, precio double")
+    layout.write(items, str(tmp_path / "t"), files=32)
+    asked = ("B", {"autoano": 2005, "precio": 3000.0}, {"autoano": 2007, "precio": 5000.0})
+    found = layout.read(spark, str(tmp_path / "t"), *asked)
+    expected = sorted(r for r in rows if r[1] == "B" and r[2] and 2005 <= r[2] <= 2007 and r[3] and 3000 <= r[3] <= 5000)
+    assert sorted(map(tuple, found.collect())) == expected and expected
+    everything = layout.files_for(spark, str(tmp_path / "t"))
+    assert len(found.inputFiles()) * 4 <= len(everything) == 32
+    assert sorted(map(tuple, layout.read(spark, str(tmp_path / "t")).collect()), key=str) == sorted(rows, key=str)
+    assert layout.read(spark, str(tmp_path / "t"), "none of these").count() == 0  # no file is opened
+    layout.write(items.limit(0), str(tmp_path / "none"))
+    assert layout.read(spark, str(tmp_path / "none"), *asked).count() == 0
