@@ -32,8 +32,9 @@ def shared_folder(spark: SparkSession) -> str:
         master = spark.conf.get("spark.master", "local")
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        named = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="spark-"))
+        named = _local[0]
     return named
 
 
@@ -51,6 +52,7 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
 #: Spark then drops a job's shuffle files as the job ends, not when the driver collects garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: set[str] = set()
+_local: list[str] = []
 
 
 def new_path(spark: SparkSession, name: str = "cut") -> str:
@@ -109,6 +111,21 @@ def _remove_all() -> None:
             remove(spark, path)
 
 
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """What operators write to the shared folder in here goes at its end.
+
+    Results must be written or collected inside: they may read such files.  One
+    thread at a time.
+    """
+    before = set(_written)
+    try:
+        yield
+    finally:
+        for path in _written - before:
+            remove(spark, path)
+
+
 def runs_of(texts: pa.Array, at_once: int, least: int = 1) -> list[tuple[int, int]]:
     """Runs of texts of at most ``at_once`` bytes, or of one text.
 

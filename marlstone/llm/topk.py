@@ -39,8 +39,9 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import drop, durable
 
 LEAF, SAMPLE, REGIONS = 256, 16384, 1024
-#: Root boxes, and queries, that meet at once.
+#: Root boxes, and queries, that meet in a task; bytes of the sample, and of bounds computed at once.
 BOXES, BLOCK = 1024, 16384
+SAMPLE_BYTES, BOUND_BYTES = 32 << 20, 16 << 20
 LEAST, MOST = -(2**63), 2**63 - 1
 
 
@@ -168,7 +169,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int |
     for d, n in sizes.items():
         wanted = min(REGIONS, -(-n // some(shard_rows, d)))
         if wanted > 1 and d:
-            sample = rows.where(F.size("v") == d).orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(SAMPLE).select("v").toPandas()
+            sample = rows.where(F.size("v") == d).orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(max(256, min(SAMPLE, SAMPLE_BYTES // (8 * d)))).select("v").toPandas()
             plans[d] = regions_of(_stacked(sample.v), wanted)
 
     def dealt(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,14 +211,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int |
         def meet(keys: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             out = {"vec_id": [], "shard": [], "bound": []}
             if not left.empty and not right.empty:
-                ids, shard = right.vec_id.to_numpy(np.int64), left["shard"].to_numpy()
-                bound = bounds(_stacked(right.v), _stacked(left.low), _stacked(left.high))
-                if home:
-                    q, s = np.arange(len(ids)), bound.argmax(axis=1)
-                else:
-                    allowed = (bound >= right.floor.to_numpy(np.float64)[:, None]) & (shard[None, :] != right.home.to_numpy()[:, None])
-                    q, s = np.nonzero(allowed)
-                out = {"vec_id": ids[q], "shard": shard[s], "bound": bound[q, s]}
+                shard, low, high = left["shard"].to_numpy(), _stacked(left.low), _stacked(left.high)
+                found = []
+                step = max(1, BOUND_BYTES // (8 * len(shard)))
+                for lo in range(0, len(right), step):
+                    some = right.iloc[lo : lo + step]
+                    ids, bound = some.vec_id.to_numpy(np.int64), bounds(_stacked(some.v), low, high)
+                    if home:
+                        q, s = np.arange(len(ids)), bound.argmax(axis=1)
+                    else:
+                        q, s = np.nonzero((bound >= some.floor.to_numpy(np.float64)[:, None]) & (shard[None, :] != some.home.to_numpy()[:, None]))
+                    found.append((ids[q], shard[s], bound[q, s]))
+                out = {c: np.concatenate(x) for c, x in zip(out, zip(*found))}
             return pd.DataFrame(out).astype({"vec_id": "int64", "shard": "int32", "bound": "float64"})
 
         boxes = trees.select("d", "shard", "low", "high", F.floor(F.col("shard") / BOXES).cast("int").alias("group"))
