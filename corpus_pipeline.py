@@ -6,13 +6,11 @@ as Parquet and read again as the next stage's ``docs``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import mixing, near_dup, packing, quality, secrets
-from marlstone.llm.common import fresh, shared_folder, table
+from marlstone.llm.common import fresh, new_path, owned, remove, table
 
 #: Documents below this quality go.
 LEAST_QUALITY = 0.3
@@ -69,11 +67,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; each stage's result is kept in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
-    where = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """The last stage's rows.
+
+    Each stage's result is kept in the shared folder until the next one is
+    written, and what a stage itself writes there goes as it ends; the last
+    result goes as Python ends.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
-        done = stage(spark, docs, sf_dir)
-        done.write.parquet(f"{where}/{number}")
-        docs = spark.read.parquet(f"{where}/{number}")
+        path = new_path(spark, f"pipeline-{number}")
+        with owned(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
