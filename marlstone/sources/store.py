@@ -10,6 +10,7 @@ from contextlib import suppress
 from pyspark.sql import SparkSession
 
 _written: set[str] = set()
+_local: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,8 +23,9 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="spark-"))
+    return _local[0]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
