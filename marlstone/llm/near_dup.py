@@ -52,6 +52,8 @@ HASHES = BANDS * ROWS
 BLOCK_DOCS, BLOCK_SHINGLES = 384, 3_000_000
 #: Documents whose shingles make a middle, and how many these may have at most.
 SAMPLE, SAMPLE_SHINGLES = 64, 200_000
+#: Documents of large buckets that are sent to all tasks (four numbers each).
+AT_ONCE = 100_000
 
 
 def _multipliers() -> np.ndarray:
@@ -252,18 +254,20 @@ def _cores(named: DataFrame, banded: DataFrame, buckets: DataFrame, threshold: f
     large = buckets.where(F.col("blocks") > 1)
     if large.isEmpty():
         return None
-    held = banded.join(large.drop("blocks"), ["band", "key"]).select(*document, "node", "n_shingles", "n", F.xxhash64("band", "key").alias("cluster"))
+    held = durable(banded.join(large.drop("blocks"), ["band", "key"]).select(*document, "node", "n_shingles", "n", F.xxhash64("band", "key").alias("cluster")))
     # each document is measured once, against the middle of the largest of its buckets
     chosen = held.groupBy(*document, "node").agg(F.max(F.struct("n", "cluster")).alias("m")).select(*document, "node", "m.cluster")
     chosen = durable(chosen)
-    texts = durable(named.select(*document, "text").join(chosen.hint("merge"), document).groupBy(*document, "node", "cluster").agg(F.min("text").alias("text")))
+    # so few of them are sent to all tasks, else all texts meet them by one exchange
+    few = F.broadcast(chosen) if chosen.count() <= AT_ONCE else chosen.hint("merge")
+    texts = durable(named.select(*document, "text").join(few, document).groupBy(*document, "node", "cluster").agg(F.min("text").alias("text")))
     nth = F.row_number().over(Window.partitionBy("cluster").orderBy(F.xxhash64(*document), *document))
     picked = held.where(F.col("n_shingles") <= SAMPLE_SHINGLES).withColumn("nth", nth).where(F.col("nth") <= SAMPLE).select(*document, "cluster")
     sample = texts.select(*document, "text").join(picked.hint("merge"), document).select("cluster", "text")
     middles = durable(sample.groupBy("cluster").applyInPandas(_middles, "cluster long, core long, middle array<bigint>"))
     near = durable(texts.join(middles.hint("merge"), "cluster").select(*document, "node", "core", "text", "middle").mapInArrow(_near_middle(threshold), "uid long, text_key long, node long, core long"))
     cores = durable(near.join(near.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("root")).where("n > 1").hint("merge"), "core"))
-    drop(chosen, texts, middles, near)
+    drop(held, chosen, texts, middles, near)
     return cores
 
 
@@ -363,7 +367,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
     cores = _cores(named, banded, buckets, threshold)
     inside = banded.join(buckets, ["band", "key"])
     inside = inside.withColumn("core", F.lit(0).cast("long")) if cores is None else inside.join(cores.select(*document, "core"), document, "left").fillna(0, ["core"])
-    members = _apart(inside.select(*document, "band", "key", "n", "blocks", "core")) if cores is not None else inside.withColumns({"block": F.lit(0).cast("long"), "other": F.lit(0).cast("long")})  # no bucket has more than one block
+    inside = durable(inside.select(*document, "band", "key", "n", "blocks", "core"))
+    members = _apart(inside) if cores is not None else inside.withColumns({"block": F.lit(0).cast("long"), "other": F.lit(0).cast("long")})  # no bucket has more than one block
     members = (
         members.select(*document, "band", "block", "core", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "key")
         .withColumn("pair", F.xxhash64("band", "key", "lo", "hi"))
@@ -384,7 +389,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
     needed = possible.select(*document).distinct().hint("merge")
     texts = named.select(*document, "text").join(needed, document, "left_semi").groupBy(*document).agg(F.min("text").alias("text"))
     found = pairs = by_pair(possible.join(texts, document).drop(*document), _all_linked, "node long, n_links long, root long")
-    drop(possible, buckets)
+    drop(possible, inside, buckets)
     if cores is not None:
         found = found.union(cores.select("node", F.col("n") - 1, "root"))
     links = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))

@@ -45,9 +45,10 @@ def brute(rows):
     return {rows[i][0]: (links[i], rows[top(i)][0]) for i in range(len(rows))}
 
 
-@pytest.mark.parametrize("block", [20, 384])
-def test_groups_and_links_equal_brute_force_with_cores(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "at_once"), [(20, 100_000), (20, 0), (384, 100_000)])
+def test_groups_and_links_equal_brute_force_with_cores(spark, monkeypatch, block, at_once):
     monkeypatch.setattr(near_dup, "BLOCK_DOCS", block)
+    monkeypatch.setattr(near_dup, "AT_ONCE", at_once)
     rng = random.Random(2)
     rows = group(rng, 120, lambda i: 1, 0) + group(rng, 90, lambda i: i % 4, 1000) + group(rng, 50, lambda i: 2, 2000) + group(rng, 60, lambda i: i % 7, 3000, 300)
     rows += [(5000 + i, " ".join(rng.choice(VOCABULARY) for _ in range(50))) for i in range(40)]
