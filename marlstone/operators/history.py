@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,7 +22,7 @@ def intervals(changes: DataFrame) -> DataFrame:
     return opened.select("key", "status", F.col("at").alias("valid_from"), F.lead("at").over(w).alias("valid_to"))
 
 
-def as_of(probes: DataFrame, changes: DataFrame, unit: str = "day") -> DataFrame:
+def as_of(probes: DataFrame, changes: DataFrame, unit: str | Callable[[Column], Column] = "day") -> DataFrame:
     """``probes`` (key, at, ...) with ``status`` and ``since`` of the last change until then.
 
     Probes and changes of a key meet in stretches of time of one ``unit``, so a
@@ -29,11 +31,14 @@ def as_of(probes: DataFrame, changes: DataFrame, unit: str = "day") -> DataFrame
     one row a stretch.  Nothing is paired: each row looks back along one order.
     A change at the probe's own time counts; of several the last by ``seq``.
     A probe before the first change, or without key or time, has no status.
+    ``at`` may be any ordered type where ``unit`` is a function that tells a
+    value's stretch, in the same order.
     """
     columns = probes.columns
-    known = changes.where("key is not null and at is not null").select("key", "at", F.date_trunc(unit, "at").alias("_unit"), F.struct("at", "seq", "status").alias("_change"))
+    stretch = unit(F.col("at")) if callable(unit) else F.date_trunc(unit, "at")
+    known = changes.where("key is not null and at is not null").select("key", "at", stretch.alias("_unit"), F.struct("at", "seq", "status").alias("_change"))
     usable = F.col("key").isNotNull() & F.col("at").isNotNull()
-    asked = probes.where(usable).select("*", F.date_trunc(unit, "at").alias("_unit"), F.struct(*columns).alias("_row"))
+    asked = probes.where(usable).select("*", stretch.alias("_unit"), F.struct(*columns).alias("_row"))
     # what each stretch ends with, and so what a later one starts with
     ends = known.groupBy("key", "_unit").agg(F.max("_change").alias("_end"))
     stretches = ends.unionByName(asked.select("key", "_unit").distinct().join(ends.select("key", "_unit"), ["key", "_unit"], "left_anti"), allowMissingColumns=True)

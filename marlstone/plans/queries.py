@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import amounts, text
-from marlstone.operators import applications, filters, finance, history, inventory, knowledge, layout, leads, people, search_index, term_table, terms
+from marlstone.operators import applications, filters, finance, history, inventory, knowledge, layout, leads, messages, people, search_index, term_table, terms
 from marlstone.sources import dictionaries, tables
 from marlstone.sources.store import new_folder
 from marlstone.streaming import intake, outbox
@@ -515,3 +515,17 @@ def inventory_search_offers(spark, d):
 @query
 def alternatives_newest(spark, d):
     return inventory.alternatives(tables.inventory(spark, d), "auto", 300000.0, priority="año")
+
+
+@query
+def search_messages(spark, d):
+    """What a search tells every customer: a segment as it was typed, or none, and a band of prices."""
+    k = F.col("c_custkey")
+    asked = _typed(spark, d).select(
+        k.alias("request_id"),
+        F.when(k % 7 != 0, F.when(k % 4 == 3, F.concat("term", F.lit("?!zz"))).when(k % 9 == 0, F.lit("il")).otherwise(F.trim("term"))).alias("marca"),
+        F.when(k % 3 != 0, 300.0 + k % 250).alias("precio_minimo"),
+        F.when(k % 3 != 1, 450000.0 - (k % 500) * 900).alias("precio_maximo"),
+    )
+    told = messages.search(asked, tables.inventory(spark, d), dictionaries.dictionary(spark, SEGMENTS))
+    return told.withColumn("corrections", F.array_join("corrections", "; "))

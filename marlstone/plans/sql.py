@@ -140,6 +140,16 @@ ORACLE_SQL = {
     "inventory_search_layout": search("marca = 'BUILDING' AND autoano BETWEEN 1995 AND 1998 AND precio BETWEEN 100000 AND 300000", 50),
     "inventory_search_offers": search("con_oferta AND kilometraje <= 9000", 20),
     "alternatives_newest": f"WITH {INV}, top AS (SELECT * FROM live WHERE NOT marca ILIKE '%auto%' AND precio BETWEEN 300000 * 0.8::DOUBLE AND 300000 * 1.2::DOUBLE ORDER BY autoano DESC NULLS LAST, precio, id LIMIT 5) SELECT {CARD} FROM top",
+    "search_messages": f"""WITH {INV}, {TYPED.strip()},
+r AS (SELECT c_custkey AS request_id, CASE WHEN c_custkey % 7 <> 0 THEN CASE WHEN c_custkey % 4 = 3 THEN term || '?!zz' WHEN c_custkey % 9 = 0 THEN 'il' ELSE trim(term) END END AS marca,
+  CASE WHEN c_custkey % 3 <> 0 THEN 300.0::DOUBLE + c_custkey % 250 END AS precio_minimo, CASE WHEN c_custkey % 3 <> 1 THEN 450000.0::DOUBLE - (c_custkey % 500) * 900 END AS precio_maximo FROM typed),
+nr AS (SELECT marca, arg_min(candidate, (dist, candidate)) AS from_near FROM (SELECT DISTINCT marca, candidate, levenshtein(lower(marca), lower(candidate)) AS dist FROM r, cand WHERE marca IS NOT NULL) WHERE dist <= 2 GROUP BY marca),
+c AS (SELECT r.*, CASE WHEN precio_minimo < 1000 THEN precio_minimo * 1000 ELSE precio_minimo END AS low, CASE WHEN precio_maximo < 1000 THEN precio_maximo * 1000 ELSE precio_maximo END AS high,
+  coalesce(v, candidate, from_near, r.marca) AS corrected, v IS NOT NULL OR (candidate IS NULL AND from_near IS NOT NULL) AS was_corrected, r.marca IS NOT NULL AND coalesce(v, candidate, from_near) IS NULL AS unmatched
+  FROM r LEFT JOIN dict ON lower(trim(r.marca)) = k LEFT JOIN cand ON lower(trim(r.marca)) = lower(candidate) LEFT JOIN nr ON nr.marca = r.marca),
+m AS (SELECT c.*, EXISTS (SELECT 1 FROM live WHERE (c.corrected IS NULL OR contains(lower(live.marca), lower(c.corrected))) AND (low IS NULL OR precio >= low) AND (high IS NULL OR precio <= high)) AS met FROM c)
+SELECT request_id, concat_ws('; ', CASE WHEN was_corrected THEN 'marca: ' || marca || ' → ' || corrected END, CASE WHEN low <> precio_minimo THEN 'precio_minimo: ' || precio_minimo || ' → ' || low END, CASE WHEN high <> precio_maximo THEN 'precio_maximo: ' || precio_maximo || ' → ' || high END) AS corrections,
+  CASE WHEN NOT met THEN CASE WHEN unmatched THEN 'Nothing is known of ' || marca || '; there are ' || (SELECT string_agg(candidate, ', ' ORDER BY candidate) FROM cand) || '.' ELSE 'Nothing meets these conditions; try wider ones.' END END AS message FROM m""",
     "lead_append": f"""WITH {LEADS} SELECT nombre, telefono, nullif(email, '') AS email, vehiculo_interes, comentarios, 'chat_widget' AS source, false AS atendido FROM req
 WHERE telefono NOT IN (SELECT phone FROM prof) AND telefono NOT IN (SELECT telefono FROM lead WHERE NOT atendido)""",
     "lead_intake_stream": f"""WITH {LEADS}, e AS (SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS telefono, ts, event_type = 'purchase' AS answered FROM events),

@@ -4,10 +4,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators import filters, finance, inventory, knowledge, leads, terms
+from marlstone.operators import filters, finance, inventory, knowledge, leads, messages, terms
 from marlstone.plans import params as P
 from marlstone.plans.registry import TOOLS, Tables, UnknownTool, call_tool, list_tools
-from marlstone.sources import schemas
+from marlstone.sources import dictionaries, schemas
 from marlstone.streaming import leads as stream
 
 
@@ -213,3 +213,18 @@ def test_bad_values_raise(tables):
 def test_missing_columns_raise(spark):
     with pytest.raises(schemas.MissingColumns):
         schemas.checked(spark.range(1), schemas.PROFILES)
+
+
+def test_messages_of_many_searches_equal_those_of_each(spark, tables):
+    asked = [
+        {"marca": "toyoda", "precio_maximo": 300.0}, {"marca": "toyota", "precio_minimo": 300001.0}, {"marca": "zzzzzzz"}, {"marca": "oyo"}, {"marca": "o", "precio_minimo": 260.0, "precio_maximo": 299.0}, {"marca": "yz", "precio_minimo": 5.0},
+        {}, {"marca": ""}, {"precio_minimo": 400001.0}, {"precio_minimo": 0.0, "precio_maximo": 0.0}, {"precio_minimo": 360000.0, "precio_maximo": 360000.0}, {"marca": "KIA", "precio_maximo": 360000.0}, {"marca": " mazda "}, {"precio_maximo": -5.0},
+    ]
+    rows = [(i, a.get("marca"), a.get("precio_minimo"), a.get("precio_maximo")) for i, a in enumerate(asked)]
+    told = messages.search(spark.createDataFrame(rows, "request_id int, marca string, precio_minimo double, precio_maximo double"), tables.inventory, dictionaries.dictionary(spark, tables.brands))
+    got = {r.request_id: r for r in told.collect()}
+    single = [call_tool("buscar_vehiculos", a, tables) for a in asked]
+    assert [got[i].message for i in range(len(asked))] == [r.message for r in single]
+    assert [len(got[i].corrections) for i in range(len(asked))] == [len(r.corrections) for r in single]
+    assert len({r.message for r in single}) == 3
+    assert single[0].total == 2 and single[2].total == 0  # how many match, beside the rows
