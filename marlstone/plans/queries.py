@@ -42,6 +42,13 @@ def inventory_search_literal_wildcards(spark, d):
     return inventory.search(tables.inventory(spark, d), {"modelo": "4_NOT%"}, {}, {}, 10)
 
 
+@query
+def inventory_search_literal_found(spark, d):
+    """A term whose wildcards are in the items themselves."""
+    items = tables.inventory(spark, d).withColumn("modelo", F.when(F.col("id") % 50 == 0, F.concat("modelo", F.lit("_5%"))).otherwise(F.col("modelo")))
+    return inventory.search(items, {"modelo": "d_5%"}, {}, {}, 10)
+
+
 @query
 def inventory_search_truthiness(spark, d):
     return inventory.search(tables.inventory(spark, d), {"marca": "", "modelo": None}, {"precio": 0}, {"autoano": 0}, 0)

@@ -176,6 +176,7 @@ SELECT e.event_id, e.user_id + 1 AS key, e.ts AS at, c.status, c.ts AS since FRO
     "inventory_search": search("marca ILIKE '%machin%' AND precio >= 50000", 5),
     "inventory_search_all_filters": search("marca ILIKE '%build%' AND modelo ILIKE '%urgent%' AND carroceria ILIKE '%1-%' AND transmision ILIKE '%o%' AND combustible ILIKE '%ing%' AND autoano BETWEEN 1996 AND 2000 AND precio BETWEEN 2000 AND 400000", 20),
     "inventory_search_literal_wildcards": search("contains(lower(modelo), '4_not%')", 10),
+    "inventory_search_literal_found": f"WITH {INV}, top AS (SELECT * FROM (SELECT * REPLACE (CASE WHEN id % 50 = 0 THEN modelo || '_5%' ELSE modelo END AS modelo) FROM live) WHERE contains(lower(modelo), 'd_5%') ORDER BY precio NULLS LAST, id LIMIT 10) SELECT {CARD} FROM top",
     "inventory_search_truthiness": search("true", 5),
     "inventory_detail": f"WITH {INV} SELECT {CARD}, cilindros, descripcion, {shown('enganche_recomendado')} AS enganche_recomendado, {shown('mensualidad_recomendada')} AS mensualidad_recomendada, {shown('oferta')} AS precio_oferta, plazomax AS plazo_maximo, con_oferta, motor, feature_image_url, array_to_string(promociones, '|') AS promociones, array_to_string(galeria_exterior, '|') AS galeria_exterior, array_to_string(galeria_interior, '|') AS galeria_interior FROM inv",
     "single_row_guard": f"WITH {INV}, k AS (SELECT id, modelo, modelo || '/' || CAST(trunc(precio) AS BIGINT) AS key FROM inv) SELECT id, modelo FROM k WHERE key IN (SELECT key FROM k GROUP BY key HAVING count(*) = 1)",
