@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import blank_to_null, trimmed
+from marlstone.sources.store import new_folder
 
 #: What each kind of agreement counts.
 WEIGHTS = {"id": 100, "telefono": 40, "email": 40, "nombre": 20, "nombre_parecido": 10}
@@ -60,10 +61,11 @@ def _groups(keys: DataFrame, own: str) -> DataFrame:
 
 
 def _with_branches(named: DataFrame) -> DataFrame:
-    """``named`` (sets, key, nombre) with ``starts`` and ``ends``, positions where names part.
+    """``named`` (sets, key, nombre) with ``starts``, ``either`` and ``pairs``: positions where names part.
 
     Characters before one of ``starts`` begin another name of the group too,
-    which goes on otherwise; those after one of ``ends`` end another name.
+    which goes on otherwise; those after one of ``ends`` end another name;
+    ``pairs`` has each start with each later end.
     """
     x = F.col("nombre")
     at = F.sequence(F.lit(0), F.length(x))
@@ -73,7 +75,12 @@ def _with_branches(named: DataFrame) -> DataFrame:
     each = named.select(*_GROUP, F.explode(F.concat(start, end)).alias("e")).select(*_GROUP, "e.*")
     shared = ["sets", "key", "start", "stretch"]
     parting = each.groupBy(*shared).agg(F.min("beside").alias("a"), F.max("beside").alias("b")).where("a <> b").select(*shared)
-    return each.join(parting, shared, "left_semi").groupBy(*_GROUP).agg(F.collect_list(F.when(F.col("start"), F.col("at"))).alias("starts"), F.collect_list(F.when(~F.col("start"), F.col("at"))).alias("ends"))
+    found = each.join(parting, shared, "left_semi").groupBy(*_GROUP).agg(F.collect_list(F.when(F.col("start"), F.col("at"))).alias("starts"), F.collect_list(F.when(~F.col("start"), F.col("at"))).alias("ends"))
+    pairs = F.flatten(F.transform("starts", lambda p: F.transform(F.filter("ends", lambda q: q > p), lambda q: F.struct(p.alias("p"), q.alias("q")))))
+    either = F.array_distinct(F.filter(F.concat("starts", "ends"), lambda i: (i >= 0) & (i < F.length(x))))
+    # small rows that much is made of: adaptive execution would put them into few tasks
+    tasks = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return found.select(*_GROUP, "starts", either.alias("either"), pairs.alias("pairs")).repartition(tasks, *_GROUP)
 
 
 def _forms(asked: bool) -> Column:
@@ -86,10 +93,8 @@ def _forms(asked: bool) -> Column:
     x, n = F.col("nombre"), F.length("nombre")
     before, after = lambda p: F.substr(x, F.lit(1), p), lambda q: F.substr(x, q + 2)
     between = lambda p, q: F.substr(x, p + 2, q - p - 1)
-    pairs = F.flatten(F.transform("starts", lambda p: F.transform(F.filter("ends", lambda q: q > p), lambda q: F.struct(p.alias("p"), q.alias("q")))))
-    either = F.array_distinct(F.filter(F.concat("starts", "ends"), lambda i: (i >= 0) & (i < n)))
-    two = lambda first, last: F.transform(pairs, lambda s: F.concat(before(s["p"]), F.lit(first), between(s["p"], s["q"]), F.lit(last), after(s["q"])))
-    one = lambda mark: F.transform(either, lambda i: F.concat(before(i), F.lit(mark), after(i)))
+    two = lambda first, last: F.transform("pairs", lambda s: F.concat(before(s["p"]), F.lit(first), between(s["p"], s["q"]), F.lit(last), after(s["q"])))
+    one = lambda mark: F.transform("either", lambda i: F.concat(before(i), F.lit(mark), after(i)))
     run = lambda size: F.transform(F.filter("starts", lambda p: p + size <= n), lambda p: F.concat(before(p), after(p + size - 1)))
     replaced_and_less, replaced = F.concat(two(MARK, ""), two("", MARK)), one(MARK)
     less, itself = F.concat(run(1), run(2), two("", "")), F.array(x)
@@ -134,15 +139,24 @@ def find(requests: DataFrame, people: DataFrame, limit: int = 3, weights: dict[s
     id, ...), one row each, meet by each key on its own, names also within two
     edits; what agrees adds up, so no weight may be negative.  A name that is
     equal isn't counted as near as well.  Equal sums stand by person_id.
-    Requests that nothing agrees with have no row.
+    Requests that nothing agrees with have no row.  The sets of keys are written
+    to a folder that goes as Python ends, as they are read several times.
     """
     if min(weights.values()) < 0:
         raise ValueError("what agrees can't count against a person")
-    asked, known = _groups(_keys(requests, "request_id"), "request_id"), _groups(_keys(people, "person_id"), "person_id")
+    spark, path, named = requests.sparkSession, new_folder(requests.sparkSession, "people"), F.col("nombre") != ""
+
+    def written(df: DataFrame, table: str) -> DataFrame:
+        df.write.parquet(f"{path}/{table}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{table}")
+
+    asked = written(_groups(_keys(requests, "request_id"), "request_id"), "asked")
+    # sixteen rows at most: the sets that any request has
+    used = asked.select("sets", named.alias("named")).distinct()
+    known = _groups(_keys(people, "person_id"), "person_id").withColumn("named", named).join(F.broadcast(used), ["sets", "named"], "left_semi")
     nth = F.row_number().over(Window.partitionBy(*_GROUP).orderBy("person_id"))
-    first = known.select("*", nth.alias("nth")).where(F.col("nth") <= limit).groupBy(*_GROUP).agg(F.array_sort(F.collect_list("person_id")).alias("ids"))
-    equal = asked.join(first, _GROUP).select("request_id", F.explode("ids").alias("person_id"), "sets", F.when(F.col("nombre") != "", "nombre").alias("por"))
-    named = F.col("nombre") != ""
+    first = written(known.select("*", nth.alias("nth")).where(F.col("nth") <= limit).groupBy(*_GROUP).agg(F.array_sort(F.collect_list("person_id")).alias("ids")), "first")
+    equal = asked.join(first, _GROUP).select("request_id", F.explode("ids").alias("person_id"), "sets", F.when(named, "nombre").alias("por"))
     near = _near(asked.where(named).select(*_GROUP).distinct(), first.where(named), limit)
     by_near = asked.join(near, _GROUP).select("request_id", "person_id", "sets", F.lit("nombre_parecido").alias("por"))
 

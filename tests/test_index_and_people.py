@@ -157,6 +157,31 @@ def test_people_equal_brute_force(spark):
     assert sorted((r.request_id, r.person_id, r.puntos, r.evidencia, r["rank"]) for r in got.collect()) == slow_find(asked, known)
 
 
+@pytest.mark.parametrize("few", [0, 32])
+def test_near_names_of_large_and_small_groups_equal_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(people, "FEW", few)
+    rng = random.Random(few)
+    name = lambda: "".join(rng.choice("ab é") for _ in range(rng.randrange(9)))
+    person = lambda i: (i, None, rng.choice([None, None, "55 5-1"]), rng.choice([None, None, " A@B.mx "]), name())
+    known, asked = [person(i) for i in range(150)], [person(1000 + i) for i in range(100)]
+    rng.shuffle(known)
+    columns = "id string, telefono string, email string, nombre string"
+    got = people.find(spark.createDataFrame(asked, f"request_id long, {columns}"), spark.createDataFrame(known, f"person_id long, {columns}"))
+    assert sorted((r.request_id, r.person_id, r.puntos, r.evidencia, r["rank"]) for r in got.collect()) == slow_find(asked, known)
+
+
+def test_people_who_share_an_email_or_a_stretch_of_their_names_make_no_pairs(spark):
+    """4,000 requests and people of one e-mail, whose names are a number and the same word: 16 million pairs."""
+    n = 4000
+    rows = spark.range(n).select("id", F.format_string("Customer#%09d", "id").alias("nombre"), F.lit("a@b.mx").alias("email"), F.lit(None).cast("string").alias("telefono"))
+    asked = rows.select(F.col("id").alias("request_id"), F.lit(None).cast("string").alias("id"), "telefono", "email", "nombre")
+    got = people.find(asked, rows.select(F.col("id").alias("person_id"), "*"))
+    rows = {(r.request_id, r["rank"]): (r.person_id, r.puntos) for r in got.collect()}
+    assert len(rows) == 3 * n and all(rows[i, 1] == (i, 60) for i in range(n))
+    # by one edit from 1234: 0234; by two: 34 (both replaced), 123 (one in front, one less at the end)
+    assert (rows[1234, 2], rows[1234, 3]) == ((34, 50), (123, 50))
+
+
 # layout
 
 
