@@ -51,6 +51,22 @@ def test_index_is_read_no_further_than_the_limit_needs(spark, articles, tmp_path
         search_index.search(index, asked, 65)
 
 
+@pytest.mark.parametrize("depth", [1, 3])
+def test_common_words_are_sorted_for_the_first_articles_only(spark, articles, tmp_path, monkeypatch, depth):
+    monkeypatch.setattr(search_index, "HEAD", 12)
+    rows = articles + [(i - 1000, "faq", "abc común", f"raro{i}", None, None if i % 50 == 0 else i % 4, True) for i in range(400)]
+    df = spark.createDataFrame(rows, ARTICLE)
+    words = search_index._open_words(df.where("is_active").withColumn("s", search_index.order()), depth).groupBy("word").count().collect()
+    counts = {r.word: r["count"] for r in words}
+    assert counts["abc"] <= 12 * depth and counts["común"] <= 12 * depth and all(counts[f"raro{i}"] == 1 for i in range(400))
+    questions = [(1, "abc"), (2, "común"), (3, "raro37 raro399"), (4, "bcé aab"), (5, "a"), (6, "omú")]
+    index = search_index.build(df, str(tmp_path / "index"), depth)
+    got = {}
+    for r in search_index.search(index, spark.createDataFrame(questions, "question_id int, question string"), depth).orderBy("question_id", "rank").collect():
+        got.setdefault(r.question_id, []).append(r.id)
+    assert got == {i: slow_search(rows, q, depth) for i, q in questions if slow_search(rows, q, depth)}
+
+
 def test_index_of_nothing(spark, tmp_path):
     index = search_index.build(spark.createDataFrame([], ARTICLE), str(tmp_path / "index"))
     assert search_index.search(index, spark.createDataFrame([(1, "abc"), (2, "")], "question_id int, question string")).count() == 0
